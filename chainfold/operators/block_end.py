@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chainfold import schema as S
 from chainfold.functions import scalars as X
 from chainfold.operators import persistence as P
+from chainfold.session import cut
 
 # Fixed value: from this block time on, only accounts created in the same transaction vanish.
 DELETION_FORK_TIME = 1_718_863_500
@@ -61,6 +62,30 @@ def execution_address(call: Column, calls: Column) -> Column:
         "delegated call without an execution context")).cast("binary"))
 
 
+def execution_accounts(calls: DataFrame, tx: str = "tx") -> DataFrame:
+    """The same climb for a flat table of calls(tx, index, parent_index, delegated, address).
+
+    Every unresolved call points at its parent and each round doubles the distance it looks up, so a
+    chain of any length ends after log2(length) joins on (tx, index). A call whose chain leaves the
+    table or runs in a circle keeps a NULL account.
+    """
+    up = F.when(~F.col("delegated"), F.col("index")).when(
+        F.col("parent_index") != F.col("index"), F.col("parent_index"))
+    state = cut(calls.select(tx, "index", "address", "delegated", up.alias("at")))
+    longest, distance = state.count(), 1          # no chain is longer than the table
+    while distance <= longest:
+        target = state.select(tx, F.col("index").alias("at"), F.col("at").alias("next"),
+                              F.col("delegated").alias("open"))
+        moved = cut(state.join(target, [tx, "at"], "left"))
+        if moved.where("delegated AND open AND next IS NOT NULL").isEmpty():
+            break
+        state = moved.select(tx, "index", "address", "delegated",
+                             F.when(F.col("open"), F.col("next")).otherwise(F.col("at")).alias("at"))
+        distance *= 2
+    ends = state.where("NOT delegated").select(tx, F.col("index").alias("at"), F.col("address").alias("account"))
+    return state.join(ends, [tx, "at"], "left").select(tx, "index", "account")
+
+
 def destroying_calls(blocks: DataFrame) -> DataFrame:
     """Committed destroying calls with their account, transaction end and creation flag."""
     live = lambda c: ~F.coalesce(c["state_reverted"], F.lit(False))
