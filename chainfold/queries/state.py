@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from chainfold.functions import scalars as X
 from chainfold.operators import block_end as E, current_state as C, digest as D, latest as L, quality as Q
-from chainfold.queries.base import (EV, LATEST, ZERO, changes, events, query, resets, sql_word, table)
+from chainfold.queries.base import (EV, LATEST, ZERO, changes, events, query, resets, sql_address, sql_word,
+                                    table)
 
 STATE = f"WITH {EV}, {LATEST}"
 NONZERO = f"{STATE}, nz AS (SELECT * FROM st WHERE value <> '{ZERO}')"
@@ -116,11 +117,11 @@ def account_fields_overlay(spark, d):
     return merged.select("address", "balance", F.col("nonce").cast("string").alias("nonce"), "code_hash", "code")
 
 
-@query("filled_fields", f"""WITH {EV}, f AS ({FIELDS_SQL.split('SELECT', 1)[0].replace('WITH ' + EV, '')}
+@query("filled_fields", f"""WITH {EV}, f AS (
 SELECT address, arg_max(CAST(cents AS VARCHAR), (number, ordinal)) FILTER (WHERE event_type = 'purchase') AS balance,
   arg_max(CAST(ordinal AS VARCHAR), (number, ordinal)) FILTER (WHERE event_type = 'click') AS nonce
   FROM ev WHERE event_type IN ('purchase', 'click', 'view') GROUP BY address),
-p AS (SELECT {"('0x' || lpad(lower(to_hex(c_custkey)), 40, '0'))"} AS address,
+p AS (SELECT {sql_address('c_custkey')} AS address,
   CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) AS balance, CAST(c_nationkey AS VARCHAR) AS nonce FROM customer)
 SELECT p.address, coalesce(f.balance, p.balance) AS balance, coalesce(f.nonce, p.nonce) AS nonce,
   CASE WHEN f.balance IS NOT NULL AND f.balance <> p.balance THEN 1 ELSE 0 END
