@@ -93,16 +93,18 @@ def destroying_calls(blocks: DataFrame) -> DataFrame:
     seconds = F.coalesce(F.col("header.timestamp.seconds"), F.lit(0))
     system = F.exists(F.coalesce(F.col("system_calls"), F.array()), destroys)
     guarded = F.when(system, F.raise_error(F.lit("destroying call in system execution")).cast("boolean"))
-    tx = F.explode(F.filter("transaction_traces", lambda t: (t["status"] == P.SUCCEEDED)
-                            & F.exists(F.coalesce(t["calls"], F.array()), destroys))).alias("tx")
+    traces = F.filter("transaction_traces", lambda t: (t["status"] == P.SUCCEEDED)
+                      & F.exists(F.coalesce(t["calls"], F.array()), destroys))
     calls = F.col("tx.calls")
     created = F.transform(F.filter(calls, lambda c: live(c) & (c["call_type"] == P.CREATE)), lambda c: c["address"])
     rows = F.transform(F.filter(calls, destroys), lambda c: F.struct(
         execution_address(c, calls).alias("account"), c["end_ordinal"].alias("call_end"),
         F.coalesce(F.col("tx.end_ordinal"), F.lit(0)).alias("tx_end")))
     return (blocks.where(F.coalesce(guarded, F.lit(True)))
-            .select("number", seconds.alias("timestamp"), tx)
-            .select("number", "timestamp", created.alias("created"), F.explode(rows).alias("d"))
+            .select("number", seconds.alias("timestamp"), traces.alias("traces"))
+            .select("number", "timestamp", F.explode("traces").alias("tx"))
+            .select("number", "timestamp", created.alias("created"), rows.alias("rows"))
+            .select("number", "timestamp", "created", F.explode("rows").alias("d"))
             .select("number", "timestamp", X.hex_text("d.account").alias("address"), "d.call_end", "d.tx_end",
                     F.array_contains("created", F.col("d.account")).alias("created_here")))
 

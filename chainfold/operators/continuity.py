@@ -138,3 +138,40 @@ def continuation_defects(sources: DataFrame, base_accounts: DataFrame, base: dic
     return per.where((F.col("known_accounts") > 0) & (wrong_start | wrong_parent)).select(
         "cohort", F.when(wrong_start, "does not start behind the base")
         .otherwise("parent is not the base block").alias("reason"))
+
+
+# ---------------------------------------------------------------- batches of several sources
+
+def last_blocks(batch: DataFrame, last: DataFrame) -> DataFrame:
+    """Newest (number, hash) per source over the carried rows and the batch."""
+    rows = last.select("source", "number", "hash").unionByName(batch.select("source", "number", "hash"))
+    best = F.max(F.struct("number", "hash")).alias("b")
+    return rows.groupBy("source").agg(best).select("source", "b.number", "b.hash")
+
+
+def link_defects(batch: DataFrame, last: DataFrame) -> DataFrame:
+    """Defects of batch(source, number, hash, parent_hash) behind the carried last block per source."""
+    none = F.lit(None).cast("string")
+    carried = last.select("source", F.col("number").alias("last_number"), F.col("hash").alias("last_hash"))
+    placed = batch.join(carried, "source", "left")
+    stale = F.col("last_number").isNotNull() & (F.col("number") <= F.col("last_number"))
+    again = (F.col("number") == F.col("last_number")) & (F.col("hash") == F.col("last_hash"))
+    late = placed.where(stale & ~again).select("source", "number", F.lit("conflicting or late block").alias("reason"))
+    fresh = placed.where(~stale)
+    own = fresh.select("source", "number", F.lit(1).alias("own"), "hash", "parent_hash", none.alias("expected"))
+    after = fresh.select("source", "number", "hash").unionByName(last.select("source", "number", "hash")).select(
+        "source", (F.col("number") + 1).alias("number"), F.lit(0).alias("own"), none.alias("hash"),
+        none.alias("parent_hash"), F.col("hash").alias("expected"))
+    grouped = own.unionByName(after).groupBy("source", "number").agg(
+        F.sum("own").alias("rows"), F.min("hash").alias("h1"), F.max("hash").alias("h2"),
+        F.min("parent_hash").alias("p1"), F.max("parent_hash").alias("p2"),
+        F.min("expected").alias("e1"), F.max("expected").alias("e2"))
+    tops = fresh.groupBy("source").agg(F.max("number").alias("top"))
+    reasons = F.array_compact(F.array(
+        F.when((F.col("rows") > 1) & (F.col("h1") != F.col("h2")), F.lit("conflicting or late block")),
+        F.when((F.col("rows") == 0) & (F.col("number") <= F.col("top")), F.lit("missing block")),
+        F.when((F.col("rows") > 0) & F.col("e1").isNotNull()
+               & ((F.col("p1") != F.col("e1")) | (F.col("p2") != F.col("e2"))), F.lit("broken parent"))))
+    found = grouped.join(tops, "source").select("source", "number", reasons.alias("_r")).select(
+        "source", "number", F.explode("_r").alias("reason"))
+    return found.unionByName(late)

@@ -12,7 +12,7 @@ def violations(rows: DataFrame, keys: list[str], rules: dict[str, Column]) -> Da
     """One row per broken rule; NULL counts as broken."""
     broken = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]),
                       lambda name: name.isNotNull())
-    return rows.select(*keys, F.explode(broken).alias("rule"))
+    return rows.select(*keys, broken.alias("_r")).select(*keys, F.explode("_r").alias("rule"))
 
 
 def snapshot_rules(head: dict) -> dict[str, Column]:

@@ -60,7 +60,7 @@ def live_window_defects(samples: DataFrame, group: list[str]) -> DataFrame:
         F.when(F.col("back") > 0, F.lit("durable block went back")),
         F.when(F.col("same_time") > 0, F.lit("sample times do not rise")),
         F.when(F.col("negative") > 0, F.lit("negative sample duration"))), lambda r: r.isNotNull())
-    return facts.select(*group, F.explode(reasons).alias("reason"))
+    return facts.select(*group, reasons.alias("_r")).select(*group, F.explode("_r").alias("reason"))
 
 
 def live_window(samples: DataFrame, group: list[str]) -> DataFrame:
