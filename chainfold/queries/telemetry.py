@@ -37,14 +37,14 @@ def admission_reasons(spark, d):
 
 
 @query("admitted_growth", """SELECT event_id FROM events WHERE event_type <> 'error' AND user_id > 3
-AND epoch_us(ts) * 1000 BETWEEN epoch_us(TIMESTAMP '2024-01-20') * 1000 - 60000000000 AND epoch_us(TIMESTAMP '2024-01-20') * 1000""")
+AND event_id % 120 - 20 BETWEEN 0 AND 60""")
 def admitted_growth(spark, d):
-    """Samples that count at one moment: admitted, complete and at most a minute old."""
-    rows = table(spark, d, "events").select(
-        "event_id", (F.col("event_type") != "error").alias("admitted"),
-        F.when(F.col("user_id") > 3, F.col("user_id")).alias("accounted_allocated_bytes"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("sample_finished_ns"))
-    return T.admit_growth(rows, 1705708800 * 1_000_000_000).select("event_id")
+    """Samples that count: admitted, complete, not from the future and at most a minute old."""
+    finished = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    now = finished + (F.col("event_id") % 120 - 20) * 1_000_000_000
+    used = F.when(F.col("user_id") > 3, F.col("user_id"))
+    return table(spark, d, "events").where(T.counts_as_evidence(F.col("event_type") != "error", used, finished, now)).select(
+        "event_id")
 
 
 def lag_samples(spark, d):
@@ -59,21 +59,21 @@ def lag_samples(spark, d):
         F.when((n % 4 == 3) & (F.col("event_type") == "error"), "timeout").alias("error_type"))
 
 
-LAG = """s AS (SELECT 'p' || event_id % 4 AS phase, epoch_us(ts) * 1000 AS at, event_id AS rpc, event_id - user_id % 5 AS dur, user_id % 5 AS lag,
+LAG = """s AS (SELECT 'p' || event_id % 4 AS phase, epoch_us(ts) * 1000 AS t0, event_id AS rpc, event_id - user_id % 5 AS dur, user_id % 5 AS lag,
   value AS age, value / 8 AS call, event_id % 4 = 3 AND event_type = 'error' AS failed FROM events),
-lk AS (SELECT *, lag(dur) OVER w AS pd, lag(at) OVER w AS pa FROM s WINDOW w AS (PARTITION BY phase ORDER BY at, rpc, dur))"""
+lk AS (SELECT *, lag(dur) OVER w AS pd, lag(t0) OVER w AS pa FROM s WINDOW w AS (PARTITION BY phase ORDER BY t0, rpc, dur))"""
 
 
 @query("live_window_defects", f"""WITH {LAG}
 SELECT phase, 'failed sample' AS reason FROM lk GROUP BY phase HAVING count(*) FILTER (WHERE failed) > 0
 UNION ALL SELECT phase, 'durable block went back' FROM lk GROUP BY phase HAVING count(*) FILTER (WHERE dur < pd) > 0
-UNION ALL SELECT phase, 'sample times do not rise' FROM lk GROUP BY phase HAVING count(*) FILTER (WHERE at <= pa) > 0""")
+UNION ALL SELECT phase, 'sample times do not rise' FROM lk GROUP BY phase HAVING count(*) FILTER (WHERE t0 <= pa) > 0""")
 def live_window_defects(spark, d):
     return T.live_window_defects(lag_samples(spark, d), ["phase"])
 
 
-@query("live_window", f"""WITH {LAG} SELECT phase, count(*) AS samples, (max(at) - min(at)) / 1e9 AS window_seconds,
-  max(rpc) - min(rpc) AS chain_advanced, arg_max(dur, (at, rpc, dur)) - arg_min(dur, (at, rpc, dur)) AS durable_advanced,
+@query("live_window", f"""WITH {LAG} SELECT phase, count(*) AS samples, (max(t0) - min(t0)) / 1e9 AS window_seconds,
+  max(rpc) - min(rpc) AS chain_advanced, arg_max(dur, (t0, rpc, dur)) - arg_min(dur, (t0, rpc, dur)) AS durable_advanced,
   CAST(min(lag) AS DOUBLE) AS lag_min, CAST(quantile_disc(lag, 0.5) AS DOUBLE) AS lag_p50, CAST(quantile_disc(lag, 0.95) AS DOUBLE) AS lag_p95, CAST(max(lag) AS DOUBLE) AS lag_max,
   min(age) AS age_min, quantile_disc(age, 0.5) AS age_p50, quantile_disc(age, 0.95) AS age_p95, max(age) AS age_max,
   min(call) AS call_min, quantile_disc(call, 0.5) AS call_p50, quantile_disc(call, 0.95) AS call_p95, max(call) AS call_max
@@ -82,7 +82,7 @@ def live_window(spark, d):
     return T.live_window(lag_samples(spark, d), ["phase"])
 
 
-@query("run_overlap", f"""WITH {LAG}, r AS (SELECT phase, min(at) AS started, max(at) AS finished FROM s GROUP BY phase)
+@query("run_overlap", f"""WITH {LAG}, r AS (SELECT phase, min(t0) AS started, max(t0) AS finished FROM s GROUP BY phase)
 SELECT max(started) + 60000000000 AS start, min(finished) AS finish, max(started) + 60000000000 <= min(finished) AS overlaps FROM r""")
 def run_overlap(spark, d):
     runs = lag_samples(spark, d).groupBy("phase").agg(F.min("started_at_unix_ns").alias("started"),
@@ -90,8 +90,8 @@ def run_overlap(spark, d):
     return T.run_overlap(runs)
 
 
-@query("overlap_samples", f"""WITH {LAG}, r AS (SELECT phase, min(at) AS started, max(at) AS finished FROM s GROUP BY phase),
-o AS (SELECT max(started) + 60000000000 AS a, min(finished) AS b FROM r) SELECT phase, count(*) AS n FROM s, o WHERE at BETWEEN a AND b GROUP BY phase""")
+@query("overlap_samples", f"""WITH {LAG}, r AS (SELECT phase, min(t0) AS started, max(t0) AS finished FROM s GROUP BY phase),
+o AS (SELECT max(started) + 60000000000 AS a, min(finished) AS b FROM r) SELECT phase, count(*) AS n FROM s, o WHERE t0 BETWEEN a AND b GROUP BY phase""")
 def overlap_samples(spark, d):
     window = run_overlap(spark, d).first()
     return T.within(lag_samples(spark, d), window["start"], window["finish"]).groupBy("phase").agg(F.count("*").alias("n"))
@@ -114,9 +114,9 @@ def freshness(spark, d):
     return T.freshness(samples, blocks).select("event_id", "finalized_lag_blocks", "durable_block_age_seconds")
 
 
-@query("sample_gaps", """WITH e AS (SELECT user_id % 3 AS host, epoch_us(ts) AS at, CAST(round(value * 100) AS BIGINT) AS used, event_type = 'error' AS bad,
+@query("sample_gaps", """WITH e AS (SELECT user_id % 3 AS host, epoch_us(ts) AS t0, CAST(round(value * 100) AS BIGINT) AS used, event_type = 'error' AS bad,
   CASE WHEN event_type IN ('view', 'click') AND value > 60 THEN event_type END AS stage FROM events),
-g AS (SELECT host, at, used, at - lag(at) OVER (PARTITION BY host ORDER BY at) AS gap FROM e WHERE NOT bad),
+g AS (SELECT host, t0, used, t0 - lag(t0) OVER (PARTITION BY host ORDER BY t0) AS gap FROM e WHERE NOT bad),
 a AS (SELECT host, count(*) AS samples, max(used) AS peak, max(gap) AS largest_gap FROM g GROUP BY host)
 SELECT a.*, f.failures, coalesce(r.rejected, '') AS rejected FROM a JOIN (SELECT host, count(*) FILTER (WHERE bad) AS failures FROM e GROUP BY host) f USING (host)
 LEFT JOIN (SELECT host, string_agg(DISTINCT stage, ',' ORDER BY stage) AS rejected FROM e WHERE stage IS NOT NULL GROUP BY host) r USING (host)""")
