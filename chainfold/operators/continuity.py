@@ -143,9 +143,10 @@ def continuation_defects(sources: DataFrame, base_accounts: DataFrame, base: dic
 # ---------------------------------------------------------------- batches of several sources
 
 def last_blocks(batch: DataFrame, last: DataFrame) -> DataFrame:
-    """Newest (number, hash) per source over the carried rows and the batch."""
-    rows = last.select("source", "number", "hash").unionByName(batch.select("source", "number", "hash"))
-    best = F.max(F.struct("number", "hash")).alias("b")
+    """Newest (number, hash) per source. At one number the carried block stays, not its rival."""
+    rows = last.select("source", "number", F.lit(1).alias("carried"), "hash").unionByName(
+        batch.select("source", "number", F.lit(0).alias("carried"), "hash"))
+    best = F.max(F.struct("number", "carried", "hash")).alias("b")
     return rows.groupBy("source").agg(best).select("source", "b.number", "b.hash")
 
 

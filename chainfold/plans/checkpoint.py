@@ -10,6 +10,7 @@ from chainfold.functions.keccak import keccak256
 from chainfold.operators import continuity as N, digest as D, latest as L, proofs as V, trie
 from chainfold.plans import reduction, store
 from chainfold.plans.reduction import Source
+from chainfold.session import cut
 
 TRUST = ("provider-finalized-header", "operator-pinned-hash")
 
@@ -33,9 +34,9 @@ def check_header(spark: SparkSession, bundle: dict) -> None:
 
 
 def proven_accounts(proofs: DataFrame, state_root: str) -> DataFrame:
-    """Accounts whose proof holds; any failing proof stops the build."""
-    audited = V.audit_proofs(proofs.select(
-        "address", "proof_address", "nonce", "balance", "storageHash", "codeHash", "accountProof"), state_root)
+    """Accounts whose proof holds; any failing proof stops the build. Proofs are walked once."""
+    audited = cut(V.audit_proofs(proofs.select(
+        "address", "proof_address", "nonce", "balance", "storageHash", "codeHash", "accountProof"), state_root))
     N.require_none(audited.where("error IS NOT NULL"), "account proof fails")
     return audited.drop("error")
 
@@ -85,7 +86,7 @@ def build_checkpoint(spark: SparkSession, root: str, bundle: dict, proofs: DataF
     storage = store.snapshot_storage(spark, root, snapshot_id)
 
     proven = proven_accounts(proofs, header["state_root"])
-    observed = reduction.observed_fields(sources, end, base_accounts)
+    observed = cut(reduction.observed_fields(sources, end, base_accounts))
     N.require_none(observed.select("address").join(proven.select("address"), "address", "left_anti"),
                    "stream contains account metadata outside its declared filter")
     evidence = proofs.select(F.lower("address").alias("address"), "code")
@@ -157,7 +158,7 @@ def verify_state(storage: DataFrame, accounts: DataFrame, record: dict, proofs:
     N.require_none(wrong.where(F.size("fields") > 0), "stored account differs from its proof")
     roots = trie.account_roots(accounts, storage).select("address", F.col("storage_root").alias("computed_root"),
                                                          F.col("nonzero_slots").alias("counted"))
-    checked = accounts.join(roots, "address")
+    checked = cut(accounts.join(roots, "address"))
     N.require_none(checked.where("counted <> nonzero_slots").select("address", "counted", "nonzero_slots"),
                    "account slot count differs")
     verify_rows(checked, storage)
