@@ -112,14 +112,20 @@ def current_accounts(balances: DataFrame, nonces: DataFrame, codes: DataFrame) -
 
 def merge_storage(old: DataFrame, new: DataFrame) -> DataFrame:
     """Fold a batch into the stored state by chain position: order of arrival does not matter."""
+    return newest_storage(old.unionByName(new))
+
+
+def newest_storage(rows: DataFrame) -> DataFrame:
     best = F.max(F.struct("block_num", "ordinal", "value")).alias("b")
-    return old.unionByName(new).groupBy("address", "slot").agg(best).select(
-        "address", "slot", "b.value", "b.block_num", "b.ordinal")
+    return rows.groupBy("address", "slot").agg(best).select("address", "slot", "b.value", "b.block_num", "b.ordinal")
 
 
 def merge_accounts(old: DataFrame, new: DataFrame) -> DataFrame:
     """Field-wise merge: a batch that only knows a balance leaves nonce and code alone."""
-    rows = old.unionByName(new)
+    return newest_accounts(old.unionByName(new))
+
+
+def newest_accounts(rows: DataFrame) -> DataFrame:
     pairs = {"balance": "balance_block_num", "nonce": "nonce_block_num", "code_hash": "code_block_num"}
     best = [F.max(F.when(F.col(n).isNotNull(), F.struct(b, n))).alias(f"_{n}") for n, b in pairs.items()]
     merged = rows.groupBy("address").agg(F.max("block_num").alias("block_num"), *best)

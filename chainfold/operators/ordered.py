@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from chainfold.session import cut
 
-_PART, _PLACE = "_part", "_place"
+_PART, _PLACE, _TIE = "_part", "_place", "_tie"
 
 
 def _ranged(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -60,8 +60,13 @@ def row_rank(rows: DataFrame, group: list[str], order: list[str], name: str = "r
 
 def previous_row(rows: DataFrame, group: list[str], order: list[str], values: list[str],
                  name: str = "previous") -> DataFrame:
-    """The preceding row of the group as one struct column, NULL for the first row."""
-    ranged = _ranged(rows, group, order)
+    """The preceding row of the group as one struct column, NULL for the first row.
+
+    Rows with equal order keys follow each other in any order; a row number keeps many such rows
+    from landing in one range.
+    """
+    order = [*order, _TIE]
+    ranged = _ranged(rows.withColumn(_TIE, F.monotonically_increasing_id()), group, order)
     payload = F.struct(*values)
     last = (ranged.groupBy(*group, _PART)
             .agg(F.max(F.struct(*order, payload.alias(_PLACE))).alias("_last")))
@@ -69,7 +74,7 @@ def previous_row(rows: DataFrame, group: list[str], order: list[str], values: li
         Window.partitionBy(*group).orderBy(_PART))).where("_carry IS NOT NULL").drop("_last"))
     local = ranged.withColumn("_here", F.lag(payload).over(_local(group, order)))
     return (_with_border(local, carry, group)
-            .withColumn(name, F.coalesce("_here", "_carry")).drop("_here", "_carry", _PART))
+            .withColumn(name, F.coalesce("_here", "_carry")).drop("_here", "_carry", _PART, _TIE))
 
 
 def nearest_rank(samples: DataFrame, group: list[str], value: str,

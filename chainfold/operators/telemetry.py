@@ -100,20 +100,21 @@ def freshness(samples: DataFrame, blocks: DataFrame) -> DataFrame:
         "durable_block_age_seconds", F.col("now_seconds") - F.col("block_seconds")).drop("block_seconds")
 
 
-def sample_gaps(samples: DataFrame, group: list[str], at: str, used: str, failed: Column,
-                rejected_stage: Column) -> DataFrame:
-    """Count, failures, peak use, largest gap between good samples, and rejected stages."""
+def sample_gaps(samples: DataFrame, group: list[str], at: str, used: str, failed: Column) -> DataFrame:
+    """Count, failures, peak use and the largest gap between good samples."""
     good = previous_row(samples.where(~failed), group, [at], [at])
     gaps = good.groupBy(*group).agg(
         F.count("*").alias("samples"), F.max(used).alias("peak"),
         F.max(F.coalesce(F.greatest(F.col(at) - F.col(f"previous.{at}"), F.lit(0)), F.lit(0))).alias("largest_gap"))
-    # The distinct stages are few by nature and are made distinct before they are listed.
-    stages = (samples.select(*group, rejected_stage.alias("stage")).where("stage IS NOT NULL").distinct()
-              .groupBy(*group).agg(F.array_join(F.array_sort(F.collect_list("stage")), ",").alias("rejected")))
     failures = samples.groupBy(*group).agg(F.count(F.when(failed, 1)).alias("failures"))
-    return (failures.join(gaps, group, "left").join(stages, group, "left")
-            .select(*group, F.coalesce("samples", F.lit(0)).alias("samples"), "failures", "peak",
-                    "largest_gap", F.coalesce("rejected", F.lit("")).alias("rejected")))
+    return failures.join(gaps, group, "left").select(*group, F.coalesce("samples", F.lit(0)).alias("samples"),
+                                                     "failures", "peak", "largest_gap")
+
+
+def rejected_stages(guards: DataFrame, group: list[str]) -> DataFrame:
+    """Distinct stages that were not admitted, with each reason."""
+    return guards.where(~F.coalesce("admitted", F.lit(False))).select(
+        *group, "stage", F.explode("reasons").alias("reason")).distinct()
 
 
 def changes_only(records: DataFrame, group: list[str], order: list[str], values: list[str]) -> DataFrame:
@@ -132,7 +133,7 @@ def admit_growth(samples: DataFrame, now_ns: int) -> DataFrame:
 
 def latest_record(records: DataFrame, group: list[str], order: str) -> DataFrame:
     rest = [c for c in records.columns if c not in group and c != order]
-    best = F.max_by(F.struct(order, *rest), F.col(order)).alias("r")
+    best = F.max(F.struct(order, *rest)).alias("r")
     return records.groupBy(*group).agg(best).select(*group, "r.*")
 
 

@@ -45,8 +45,8 @@ def compact(spark: SparkSession, folder: str, envelopes: DataFrame, accounts: li
             end_block: int | None = None, generation: str | None = None, published: DataFrame | None = None) -> dict:
     """Fold all blocks up to ``end_block`` (default: the newest) into a new generation.
 
-    Candidate data is written first, then the manifest, and the stored rows are measured again
-    before older generations go. A repeated call for the same block changes nothing.
+    Candidate data is written and measured as stored, then the manifest follows, then older generations
+    go. A repeated call for the same block changes nothing.
     """
     chosen = account_table(spark, accounts)
     if published is not None:
@@ -78,7 +78,6 @@ def compact(spark: SparkSession, folder: str, envelopes: DataFrame, accounts: li
               "header": header, "accounts": accounts, **measured}
     store.write_row(spark, store.part(folder, store.GENERATIONS, "generation", name),
                     (name, end, store.canonical(record)), store.GENERATION)
-    audit_prefix(spark, folder)
     drop_old_generations(spark, folder)
     return record
 

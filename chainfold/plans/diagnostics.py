@@ -10,14 +10,10 @@ from chainfold.plans.reduction import Source, check_interval, observed_fields, r
 
 
 def read_current(spark: SparkSession, folder: str) -> tuple[dict, DataFrame, DataFrame]:
-    """Head, accounts and storage of one stored version: the version is chosen once for all three."""
-    from chainfold.streaming.current import newest_version
-    version = newest_version(spark, folder)
-    if version is None:
-        raise LookupError("no current state yet")
-    at = f"{folder}/version={version}"
-    head = spark.read.parquet(f"{at}/head").first().asDict()
-    return head, spark.read.parquet(f"{at}/accounts"), spark.read.parquet(f"{at}/storage")
+    """Head, accounts and storage of one stored batch."""
+    from chainfold.streaming.current import read_current as read
+    tables = read(spark, folder)
+    return tables["head"].first().asDict(), tables["accounts"], tables["storage"]
 
 
 def verify_current_state(spark: SparkSession, head: dict, accounts: DataFrame, storage: DataFrame, proofs: DataFrame,

@@ -213,17 +213,29 @@ r AS (SELECT number, 'storage' AS kind, address, slot, arg_max(value, ordinal) A
   UNION ALL SELECT number, 'lifecycle', address, '', 'storage_reset', ordinal FROM de WHERE event_type = 'signup')
 SELECT r.*, b.hash, b.parent_hash FROM r JOIN b USING (number)""")
 def envelope_roundtrip(spark, d):
-    """Assemble one row per block, read it back as parallel arrays, and un-nest."""
-    from chainfold.sources.blocks import parallel_arrays, unnest, zip_arrays
-    env = zip_arrays(parallel_arrays(envelopes(spark, d)))
-    empty = F.lit("")
-    keep = ["number", "hash", "parent_hash"]
-    parts = [unnest(env, "storage", keep).withColumn("kind", F.lit("storage")),
-             unnest(env, "balances", keep).withColumn("kind", F.lit("balances")).withColumn("slot", empty),
-             unnest(env, "lifecycle", keep).withColumn("slot", empty).withColumnRenamed("kind", "value")
-             .withColumn("kind", F.lit("lifecycle"))]
-    columns = ["number", "kind", "address", "slot", "value", "ordinal", "hash", "parent_hash"]
-    return parts[0].select(columns).unionByName(parts[1].select(columns)).unionByName(parts[2].select(columns))
+    """Assemble one row per block, read it back as parallel arrays, and un-nest all groups in one pass."""
+    from chainfold.sources.blocks import parallel_arrays, zip_arrays
+    env = zip_arrays(parallel_arrays(envelopes(spark, d).select("number", "hash", "parent_hash", "storage", "balances", "lifecycle")))
+
+    def listed(group, slot, value):
+        return F.transform(group, lambda c: F.struct(
+            F.lit(group).alias("kind"), c["address"].alias("address"), slot(c).alias("slot"), value(c).alias("value"),
+            c["ordinal"].alias("ordinal")))
+    none = lambda c: F.lit("")
+    rows = F.concat(listed("storage", lambda c: c["slot"], lambda c: c["value"]),
+                    listed("balances", none, lambda c: c["value"]), listed("lifecycle", none, lambda c: c["kind"]))
+    return env.select("number", "hash", "parent_hash", rows.alias("rows")).select(
+        "number", "hash", "parent_hash", F.inline("rows"))
+
+
+@query("wide_state", """SELECT l_suppkey AS address, l_partkey AS slot, max({'number': l_orderkey, 'ordinal': l_linenumber,
+  'value': CAST(round(l_extendedprice * 100) AS BIGINT)}).value AS value FROM lineitem GROUP BY 1, 2""")
+def wide_state(spark, d):
+    """Newest value per key over the largest table: line items as changes."""
+    rows = table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("address"), F.col("l_partkey").alias("slot"), F.col("l_orderkey").alias("number"),
+        F.col("l_linenumber").alias("ordinal"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("value"))
+    return L.latest_slots(rows).select("address", "slot", "value")
 
 
 @query("patch_sizes", f"""WITH {DENSE}, s AS (SELECT DISTINCT number, address, slot FROM de WHERE event_type <> 'signup')

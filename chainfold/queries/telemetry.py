@@ -114,18 +114,24 @@ def freshness(spark, d):
     return T.freshness(samples, blocks).select("event_id", "finalized_lag_blocks", "durable_block_age_seconds")
 
 
-@query("sample_gaps", """WITH e AS (SELECT user_id % 3 AS host, epoch_us(ts) AS t0, CAST(round(value * 100) AS BIGINT) AS used, event_type = 'error' AS bad,
-  CASE WHEN event_type IN ('view', 'click') AND value > 60 THEN event_type END AS stage FROM events),
+@query("sample_gaps", """WITH e AS (SELECT user_id % 3 AS host, epoch_us(ts) AS t0, CAST(round(value * 100) AS BIGINT) AS used, event_type = 'error' AS bad, FROM events),
 g AS (SELECT host, t0, used, t0 - lag(t0) OVER (PARTITION BY host ORDER BY t0) AS gap FROM e WHERE NOT bad),
 a AS (SELECT host, count(*) AS samples, max(used) AS peak, max(gap) AS largest_gap FROM g GROUP BY host)
-SELECT a.*, f.failures, coalesce(r.rejected, '') AS rejected FROM a JOIN (SELECT host, count(*) FILTER (WHERE bad) AS failures FROM e GROUP BY host) f USING (host)
-LEFT JOIN (SELECT host, string_agg(DISTINCT stage, ',' ORDER BY stage) AS rejected FROM e WHERE stage IS NOT NULL GROUP BY host) r USING (host)""")
+SELECT a.*, f.failures FROM a JOIN (SELECT host, count(*) FILTER (WHERE bad) AS failures FROM e GROUP BY host) f USING (host)""")
 def sample_gaps(spark, d):
     rows = table(spark, d, "events").select(
         (F.col("user_id") % 3).alias("host"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
-        F.round(F.col("value") * 100).cast("bigint").alias("used"), "event_type", "value")
-    stage = F.when(F.col("event_type").isin("view", "click") & (F.col("value") > 60), F.col("event_type"))
-    return T.sample_gaps(rows, ["host"], "at", "used", F.col("event_type") == "error", stage)
+        F.round(F.col("value") * 100).cast("bigint").alias("used"), "event_type")
+    return T.sample_gaps(rows, ["host"], "at", "used", F.col("event_type") == "error")
+
+
+@query("rejected_stages", """SELECT DISTINCT user_id % 3 AS host, event_type AS stage, CASE WHEN value > 200 THEN 'budget' ELSE 'floor' END AS reason
+FROM events WHERE value > 60 AND event_type IN ('view', 'click')""")
+def rejected_stages(spark, d):
+    guards = table(spark, d, "events").where("event_type IN ('view', 'click')").select(
+        (F.col("user_id") % 3).alias("host"), F.col("event_type").alias("stage"), (F.col("value") <= 60).alias("admitted"),
+        F.array(F.when(F.col("value") > 200, "budget").otherwise("floor")).alias("reasons"))
+    return T.rejected_stages(guards, ["host"])
 
 
 @query("growth_changes", """WITH g AS (SELECT event_id, user_id % 2 AS cohort, event_id // 40 AS generation, event_type = 'signup' AS phase FROM events),
@@ -153,9 +159,8 @@ def telemetry_rollup(spark, d):
     body = F.to_json(F.struct(jobs.alias("progress_running_jobs"), F.when(F.col("event_type") == "click", n)
                               .alias("progress_total_processed_blocks"), n.cast("string").alias("last_block")))
     stamp = F.concat(F.lpad(n.cast("string"), 12, "0"), F.lit("|"), (u % 4).cast("string"))
-    shape = F.when(F.col("event_type") == "error", "substreams stream stats").otherwise("substreams stream stats")
     noise = table(spark, d, "events").select(F.concat(stamp, F.lit(" INFO something else "), body).alias("value"))
-    lines = table(spark, d, "events").select(F.concat(stamp, F.lit(" INFO "), shape, F.lit(" "), body).alias("value"))
+    lines = table(spark, d, "events").select(F.concat(stamp, F.lit(" INFO stream stats "), body).alias("value"))
     progress = log_lines(lines.unionByName(noise), "progress")
     run = F.split("timestamp", r"\|")
     return T.telemetry_rollup(progress.withColumn("run", run[1].cast("bigint")).withColumn("timestamp", run[0]), ["run"])
@@ -299,7 +304,7 @@ def stream_current_state(spark, d):
 
     event_stream(spark, d).writeStream.option("checkpointLocation", f"{at}/offsets").foreachBatch(merge).trigger(
         availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{at}/state/version={CU.newest_version(spark, f'{at}/state')}/storage")
+    return CU.read_current(spark, f"{at}/state")["storage"]
 
 
 @query("compacted_prefix", f"""WITH {EV}, de AS (SELECT number, ordinal, event_type, value,

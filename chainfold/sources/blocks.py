@@ -25,7 +25,7 @@ def read_envelopes(spark: SparkSession, path: str, start: int | None = None, end
         rows = rows.where(F.col("number") >= start)
     if end is not None:
         rows = rows.where(F.col("number") <= end)
-    return newest_versions(rows) if "_version_" in rows.columns else rows
+    return resolve_retries(rows) if "_version_" in rows.columns else rows
 
 
 def newest_versions(rows: DataFrame, keys: tuple[str, ...] = ("number", "hash"), version: str = "_version_",
@@ -35,11 +35,25 @@ def newest_versions(rows: DataFrame, keys: tuple[str, ...] = ("number", "hash"),
     The reduction combines on the map side, so many retries of one block stay cheap.
     """
     rest = [c for c in rows.columns if c not in (*keys, version)]
-    best = F.max_by(F.struct(*rest), F.col(version)).alias("_best")
-    newest = rows.groupBy(*keys).agg(best).select(*keys, "_best.*")
+    best = F.max(F.struct(version, *rest)).alias("_best")
+    newest = rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
     return newest.where(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)
 
 
+def resolve_retries(rows: DataFrame, keys: tuple[str, ...] = ("number", "hash"), version: str = "_version_",
+                    deleted: str = "_deleted_") -> DataFrame:
+    """The same result for wide rows with few retries.
+
+    Only keys and versions are grouped. Keys that need a decision are few, AQE then broadcasts them,
+    and the wide rows of all other blocks pass without a shuffle.
+    """
+    gone = F.coalesce(F.col(deleted), F.lit(False))
+    contested = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(gone).alias("_gone")).where("_n > 1 OR _gone")
+    clean = rows.join(contested.select(*keys), list(keys), "left_anti").drop(version, deleted)
+    settled = newest_versions(rows.join(contested.select(*keys), list(keys), "left_semi"), keys, version, deleted)
+    return clean.unionByName(settled)
+
+
 # ---------------------------------------------------------------- nested arrays
 
 def flat_names(group: str) -> list[str]:

@@ -39,10 +39,10 @@ def append_rows(rows: DataFrame, path: str) -> None:
 LINE_SHAPES = {
     "session": ("session initialized with remote endpoint",
                 "max_parallel_workers bigint, linear_handoff_block bigint, resolved_start_block bigint, trace_id string"),
-    "setting": ("Relational Mappings Mode sink settings",
+    "setting": ("sink settings",
                 "decode_workers bigint, decode_batch_size bigint, spool_max_idle string, spool_max_size bigint, "
                 "db_write_target_duration string, db_write_max_size bigint"),
-    "progress": ("substreams stream stats",
+    "progress": ("stream stats",
                  "progress_running_jobs map<string,bigint>, progress_total_processed_blocks bigint, is_live boolean, "
                  "last_block string, data_msg_rate string, undo_msg_rate string"),
 }

@@ -5,35 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chainfold.operators import current_state as C
-from chainfold.sources import folders
-
-TABLES = ("storage", "accounts")
-
-
-def newest_version(spark: SparkSession, folder: str) -> int | None:
-    """Newest complete version: its head is written last."""
-    done = [int(v) for v in folders.partition_values(spark, folder, "version")
-            if folders.written(spark, f"{folder}/version={v}/head")]
-    return max(done) if done else None
-
-
-def merge_batch(spark: SparkSession, folder: str, version: int, storage: DataFrame, accounts: DataFrame,
-                head: DataFrame) -> None:
-    """Write version ``version`` = newest older version merged with a batch. Repeats are harmless.
-
-    ``head`` has block_num, number, hash and state_root of the batch's newest block.
-    """
-    before = [int(v) for v in folders.partition_values(spark, folder, "version")
-              if int(v) < version and folders.written(spark, f"{folder}/version={v}/head")]
-    at = f"{folder}/version={version}"
-    if before:
-        old = f"{folder}/version={max(before)}"
-        storage = C.merge_storage(spark.read.parquet(f"{old}/storage"), storage)
-        accounts = C.merge_accounts(spark.read.parquet(f"{old}/accounts"), accounts)
-        head = spark.read.parquet(f"{old}/head").unionByName(head)
-    storage.write.mode("overwrite").parquet(f"{at}/storage")
-    accounts.write.mode("overwrite").parquet(f"{at}/accounts")
-    head.orderBy(F.desc("number")).limit(1).write.mode("overwrite").parquet(f"{at}/head")
-    for gone in before:
-        if gone != max(before):
-            folders.delete(spark, f"{folder}/version={gone}")
+from chainfold.streaming import tiers
+
+TABLES = ["storage", "accounts", "head"]
+
+
+def _merge(tables: tiers.Tables) -> tiers.Tables:
+    return {"storage": C.newest_storage(tables["storage"]), "accounts": C.newest_accounts(tables["accounts"]),
+            "head": tables["head"].orderBy(F.desc("number")).limit(1)}
+
+
+def merge_batch(spark: SparkSession, folder: str, batch_id: int, storage: DataFrame, accounts: DataFrame,
+                head: DataFrame, merge_every: int = tiers.MERGE_EVERY) -> None:
+    """Add a batch of reduced rows. ``head`` has block_num, number, hash and state_root of its newest block."""
+    tiers.append(spark, folder, batch_id, {"storage": storage, "accounts": accounts, "head": head}, _merge, merge_every)
+
+
+def read_current(spark: SparkSession, folder: str) -> tiers.Tables:
+    """Head, accounts and storage of one and the same batch."""
+    found = tiers.state(spark, folder, TABLES, _merge)
+    if found is None:
+        raise LookupError("no current state yet")
+    return found

@@ -10,7 +10,7 @@ from chainfold import schema as S
 from chainfold.functions import scalars as X
 from chainfold.operators.continuity import check_range
 from chainfold.sources import folders
-from chainfold.sources.blocks import newest_versions
+from chainfold.sources.blocks import resolve_retries
 
 
 def stream_files(spark: SparkSession, path: str, schema: StructType, form: str = "parquet",
@@ -31,7 +31,7 @@ def finalized(blocks: DataFrame, start: int, stop: int | None = None, tip: str =
 
 def append_envelopes(batch: DataFrame, path: str, batch_id: int) -> None:
     """Daily partitions sorted by (number, hash); one folder per batch makes a repeat harmless."""
-    dated = batch.withColumn("block_date", X.day_partition("timestamp").cast("string"))
+    dated = batch.dropDuplicates(["number", "hash"]).withColumn("block_date", X.day_partition("timestamp").cast("string"))
     (dated.repartition("block_date", F.expr("number div 10000")).sortWithinPartitions("block_date", "number", "hash")
      .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("block_date")
      .parquet(f"{path}/batch={batch_id}"))
@@ -45,7 +45,7 @@ def read_envelope_table(spark: SparkSession, path: str, start: int | None = None
     if end is not None:
         rows = rows.where(F.col("number") <= end)
     keyed = rows.withColumn("_version_", F.col("batch").cast("bigint")).withColumn("_deleted_", F.lit(False))
-    return newest_versions(keyed.drop("batch"))
+    return resolve_retries(keyed.drop("batch"))
 
 
 def follow(blocks: DataFrame, path: str, checkpoint: str, start: int, stop: int | None = None,

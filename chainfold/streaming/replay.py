@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chainfold.operators import latest as L
 from chainfold.plans import compaction
 from chainfold.sources import folders
-from chainfold.streaming import follow as W
+from chainfold.streaming import follow as W, tiers
 
 
 def fold_batch(spark: SparkSession, batch: DataFrame, batch_id: int, history: str, prefix: str,
@@ -42,29 +42,25 @@ def replay(spark: SparkSession, blocks: DataFrame, history: str, prefix: str, ch
             .trigger(availableNow=True).start())
 
 
-def fold_changes(spark: SparkSession, changes: DataFrame, resets_of: str, path: str, checkpoint: str) -> DataFrame:
-    """Fold a flat change stream(number, ordinal, address, slot, value, kind) batch by batch.
+def _merge(tables: tiers.Tables) -> tiers.Tables:
+    newest = L.latest_resets(tables["resets"]).select("reset.number", "reset.ordinal", "address")
+    return {"slots": L.latest_slots(tables["slots"]), "resets": newest}
 
-    The state of batch n is its own folder, made from the folder before it and the batch, so a
-    repeated batch rewrites the same rows. Positions stay in the rows: late changes cannot win.
+
+def fold_changes(spark: SparkSession, changes: DataFrame, resets_of: str, path: str, checkpoint: str,
+                 merge_every: int = tiers.MERGE_EVERY) -> DataFrame:
+    """Fold a flat change stream(number, ordinal, address, slot, value, kind) and return its state.
+
+    Positions stay in the rows, so a change that arrives late cannot win.
     """
     def fold(batch: DataFrame, batch_id: int) -> None:
-        older = [int(v) for v in folders.partition_values(spark, path, "batch") if int(v) < batch_id]
         cuts = batch.where(F.col("kind") == resets_of).select("number", "ordinal", "address")
         rows = batch.where(F.col("kind") != resets_of).select("number", "ordinal", "address", "slot", "value")
-        if older:
-            base = f"{path}/batch={max(older)}"
-            rows = rows.unionByName(spark.read.parquet(f"{base}/slots"))
-            cuts = cuts.unionByName(spark.read.parquet(f"{base}/resets"))
-        L.latest_slots(rows).write.mode("overwrite").parquet(f"{path}/batch={batch_id}/slots")
-        newest = L.latest_resets(cuts).select("reset.number", "reset.ordinal", "address")
-        newest.write.mode("overwrite").parquet(f"{path}/batch={batch_id}/resets")
-        for gone in older:
-            if gone != max(older):                 # the base stays until its successor is complete
-                folders.delete(spark, f"{path}/batch={gone}")
+        tiers.append(spark, path, batch_id, _merge({"slots": rows, "resets": cuts}), _merge, merge_every)
 
     (changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fold)
      .trigger(availableNow=True).start().awaitTermination())
-    last = max(int(v) for v in folders.partition_values(spark, path, "batch"))
-    base = f"{path}/batch={last}"
-    return L.nonzero(L.after_resets(spark.read.parquet(f"{base}/slots"), spark.read.parquet(f"{base}/resets")))
+    found = tiers.state(spark, path, ["slots", "resets"], _merge)
+    if found is None:
+        raise LookupError("the stream held no changes")
+    return L.nonzero(L.after_resets(found["slots"], found["resets"]))

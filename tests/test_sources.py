@@ -75,12 +75,12 @@ def test_blocks_and_envelopes_from_files(spark, tmp_path):
 
 
 LOG = """2026-01-01T00:00:00Z INFO session initialized with remote endpoint {"max_parallel_workers": 5, "trace_id": "t", "more": 1}
-2026-01-01T00:00:01Z INFO Relational Mappings Mode sink settings {"decode_workers": 2}
-2026-01-01T00:00:02Z INFO substreams stream stats {"progress_running_jobs": {"0": 3, "1": 4}, "progress_total_processed_blocks": 10}
-2026-01-01T00:00:03Z INFO substreams stream stats {"is_live": true}
-2026-01-01T00:00:04Z INFO substreams stream stats {"progress_running_jobs": {"0": 2}}
+2026-01-01T00:00:01Z INFO sink settings {"decode_workers": 2}
+2026-01-01T00:00:02Z INFO stream stats {"progress_running_jobs": {"0": 3, "1": 4}, "progress_total_processed_blocks": 10}
+2026-01-01T00:00:03Z INFO stream stats {"is_live": true}
+2026-01-01T00:00:04Z INFO stream stats {"progress_running_jobs": {"0": 2}}
 2026-01-01T00:00:05Z INFO other line {"a": 1}
-substreams stream stats without payload
+stream stats without payload
 """
 
 
@@ -95,7 +95,7 @@ def test_log_lines(spark, tmp_path):
     assert (rolled.max_running_jobs, rolled.last_processed) == (7, 10)
     quiet = T.telemetry_rollup(read("progress").where("is_live")).first()
     assert (quiet.max_running_jobs, quiet.last_processed) == (None, None)     # unknown stays unknown
-    path.write_text("t INFO substreams stream stats {broken\n")
+    path.write_text("t INFO stream stats {broken\n")
     with pytest.raises(Exception):
         read("progress").collect()
 

@@ -65,7 +65,7 @@ def test_late_change_does_not_win(spark, tmp_path):
     feed(spark, source, [(9, 1, "a", w(1), w(5), "s"), (3, 1, "a", w(1), w(4), "s"), (2, 1, "a", w(2), w(9), "s"),
                          (5, 1, "a", None, None, "reset"), (4, 1, "a", w(3), w(9), "s"), (9, 2, "a", w(4), w(0), "s")], schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-    got = replay.fold_changes(spark, stream, "reset", str(tmp_path / "state"), str(tmp_path / "o"))
+    got = replay.fold_changes(spark, stream, "reset", str(tmp_path / "state"), str(tmp_path / "o"), merge_every=2)
     assert [(r.slot, r.value) for r in got.collect()] == [(w(1), w(5))]
 
 
@@ -89,15 +89,15 @@ def test_current_state_versions(spark, tmp_path):
                "balance_block_num bigint, nonce_block_num bigint, code_block_num bigint")
     head = "block_num bigint, number bigint, hash string, state_root string"
 
-    def batch(version, number, value, balance):
+    def batch(number_of_batch, number, value, balance):
         current.merge_batch(
-            spark, folder, version, spark.createDataFrame([("a", w(1), w(value), number, 1)], slot),
+            spark, folder, number_of_batch, spark.createDataFrame([("a", w(1), w(value), number, 1)], slot),
             spark.createDataFrame([("a", balance, None, None, number, number if balance else None, None, None)], account),
-            spark.createDataFrame([(number, number, f"h{number}", "r")], head))
+            spark.createDataFrame([(number, number, f"h{number}", "r")], head), merge_every=2)
     batch(0, 5, 50, "7")
     batch(1, 3, 30, None)                       # older block, later batch
     batch(1, 3, 30, None)                       # repeated batch
-    assert current.newest_version(spark, folder) == 1
+    batch(2, 4, 40, None)
     from chainfold.plans.diagnostics import read_current
     top, accounts, storage = read_current(spark, folder)
     assert top["number"] == 5 and storage.first().value == w(50) and accounts.first().balance == "7"
