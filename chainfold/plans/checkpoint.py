@@ -112,6 +112,7 @@ def build_checkpoint(spark: SparkSession, root: str, bundle: dict, proofs: DataF
               "sources": [{"name": s.name, "start_block": s.start_block, "accounts": len(s.accounts)} for s in sources],
               "state_sha256": totals["state_sha256"], "nonzero_slots": totals["nonzero_slots"],
               "accounts_sha256": known["accounts_sha256"], "account_count": known["rows"], "created_at": store.now_ns()}
+    store.write_index(spark, root, snapshot_id)
     publish(spark, root, record)
     return record
 

@@ -181,5 +181,6 @@ def import_checkpoint(spark: SparkSession, root: str, path: str, expected_hash:
      .write.mode("errorifexists").parquet(store.part(root, store.ACCOUNTS, "snapshot_id", snapshot_id)))
     record = {**source, "snapshot_id": snapshot_id, "restored_from": source["snapshot_id"], "created_at": store.now_ns()}
     checkpoint.verify_stored(spark, root, snapshot_id, record, exported_proofs(spark, path))
+    store.write_index(spark, root, snapshot_id)
     checkpoint.publish(spark, root, record)
     return record

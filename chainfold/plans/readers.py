@@ -60,7 +60,8 @@ def page(spark: SparkSession, root: str, pin_id: str, address: str, cursor: str
     snapshot_id, account = pinned["snapshot_id"], _address(address)
     metadata = show(spark, root, snapshot_id, account)
     after = G.token_slot(cursor, snapshot_id, account) if cursor else ""
-    rows = G.keyset_rows(store.snapshot_storage(spark, root, snapshot_id), account, after, limit).collect()
+    files = store.page_storage(spark, root, snapshot_id, account, after, min(limit, G.MAX_PAGE) + 1)
+    rows = G.keyset_rows(files, account, after, limit).collect()
     more, rows = len(rows) > limit, rows[:limit]
     return {"pin_id": pin_id, "snapshot_id": snapshot_id, "header": metadata["header"],
             "account": {**metadata, "nonce": str(metadata["nonce"])},

@@ -23,7 +23,7 @@ def prune_checkpoints(spark: SparkSession, root: str, keep_latest: int) -> list[
         raise ValueError("a pinned checkpoint is missing; nothing was removed")
     gone = sorted(row["snapshot_id"] for row in plan if row["action"] == "remove")
     for snapshot_id in gone:
-        for table in (store.MANIFESTS, store.ACCOUNTS, store.STORAGE):
+        for table in (store.MANIFESTS, store.ACCOUNTS, store.INDEX, store.STORAGE):
             folders.delete(spark, store.part(root, table, "snapshot_id", snapshot_id))
     return gone
 

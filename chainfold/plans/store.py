@@ -16,10 +16,12 @@ from chainfold import schema as S
 from chainfold.sources import folders
 
 STORAGE, ACCOUNTS, MANIFESTS, PINS = "checkpoint_storage", "checkpoint_accounts", "checkpoints", "pins"
+INDEX = "checkpoint_index"
 GENERATIONS, PREFIX_STORAGE, PREFIX_FIELDS = "generations", "prefix_storage", "prefix_fields"
 MANIFEST = "snapshot_id string, block_number bigint, block_hash string, created_at bigint, manifest string"
 GENERATION = "generation string, number bigint, manifest string"
 PIN = "pin_id string, snapshot_id string, created_at bigint, purpose string"
+INDEX_ROW = "address string, file string, rows bigint, first_slot string, last_slot string"
 FIELDS = "address string, balance string, nonce decimal(20,0), code_hash string, code string"
 
 
@@ -41,6 +43,31 @@ def write_sorted(state: DataFrame, path: str) -> None:
      .sortWithinPartitions("address", "slot").write.mode("errorifexists").parquet(path))
 
 
+def write_index(spark: SparkSession, root: str, snapshot_id: str) -> None:
+    """Which file holds which slots of which account: about one row per account plus one per file."""
+    files = snapshot_storage(spark, root, snapshot_id).groupBy("address", F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("rows"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
+    (files.repartitionByRange("address", "first_slot").sortWithinPartitions("address", "first_slot")
+     .write.mode("errorifexists").parquet(part(root, INDEX, "snapshot_id", snapshot_id)))
+
+
+def page_storage(spark: SparkSession, root: str, snapshot_id: str, address: str, after: str, limit: int) -> DataFrame:
+    """Only the files that can hold the ``limit`` slots behind ``after``, however large the account is."""
+    index = spark.read.schema(INDEX_ROW).parquet(part(root, INDEX, "snapshot_id", snapshot_id))
+    # Every file behind the first gives at least one slot, so limit + 1 files are always enough.
+    ahead = (index.where((F.col("address") == address) & (F.col("last_slot") > after))
+             .orderBy("first_slot").limit(limit + 1).collect())
+    chosen, sure = [], 0
+    for row in ahead:
+        if sure >= limit:
+            break
+        chosen.append(row["file"])
+        sure += row["rows"] if row["first_slot"] > after else 0
+    if not chosen:
+        return spark.createDataFrame([], S.CHECKPOINT_STORAGE)
+    return spark.read.schema(S.CHECKPOINT_STORAGE).parquet(*chosen)
+
+
 def write_row(spark: SparkSession, path: str, row: tuple, schema: str) -> None:
     spark.createDataFrame([row], schema).coalesce(1).write.mode("errorifexists").parquet(path)
 
