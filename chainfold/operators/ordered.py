@@ -37,8 +37,11 @@ def _with_border(local: DataFrame, border: DataFrame, group: list[str]) -> DataF
 
 
 def running_total(rows: DataFrame, group: list[str], order: list[str], amount: str | None = None,
-                  name: str = "running") -> DataFrame:
-    """Inclusive running sum of ``amount`` (1 when None) per group. Order keys must be unique."""
+                  name: str = "running", total: str | None = None) -> DataFrame:
+    """Inclusive running sum of ``amount`` (1 when None) per group. Order keys must be unique.
+
+    ``total`` names a column that repeats the group's whole sum, made from the ranges' sums.
+    """
     ranged = _ranged(rows, group, order)
     step = F.col(amount) if amount else F.lit(1).cast("bigint")
     per_range = ranged.groupBy(*group, _PART).agg(F.sum(step).alias("_sum"))
@@ -48,9 +51,12 @@ def running_total(rows: DataFrame, group: list[str], order: list[str], amount: s
                .drop("_sum"))
     local = ranged.withColumn("_here", F.sum(step).over(
         _local(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return (_with_border(local, offsets, group)
-            .withColumn(name, F.col("_here") + F.coalesce("_before", F.lit(0)))
-            .drop("_here", "_before", _PART))
+    placed = (_with_border(local, offsets, group)
+              .withColumn(name, F.col("_here") + F.coalesce("_before", F.lit(0)))
+              .drop("_here", "_before", _PART))
+    if total is None:
+        return placed
+    return placed.join(per_range.groupBy(*group).agg(F.sum("_sum").alias(total)), group)
 
 
 def row_rank(rows: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:
@@ -93,11 +99,8 @@ def nearest_rank(samples: DataFrame, group: list[str], value: str,
     checked = samples.select(*group, F.when(bad, F.raise_error(F.lit("non-finite observation")).cast("double"))
                              .otherwise(v).alias("_v"))
     counts = checked.groupBy(*group, "_v").agg(F.count("*").alias("_n"))
-    placed = running_total(counts, group, ["_v"], "_n", "_upto")
-    totals = placed.groupBy(*group).agg(F.sum("_n").alias("samples"), F.min("_v").alias("min"),
-                                        F.max("_v").alias("max"))
-    joined = placed.join(totals.select(*group, "samples"), group)
-    found = joined.groupBy(*group).agg(*[
-        F.min(F.when(F.col("_upto") >= F.ceil(F.col("samples") * F.lit(level)), F.col("_v"))).alias(name)
-        for name, level in levels.items()])
-    return totals.join(found, group).select(*keys, "samples", "min", *levels, "max")
+    placed = running_total(counts, group, ["_v"], "_n", "_upto", "_all_rows")
+    return placed.groupBy(*group).agg(
+        F.max("_all_rows").alias("samples"), F.min("_v").alias("min"),
+        *[F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all_rows") * F.lit(level)), F.col("_v"))).alias(name)
+          for name, level in levels.items()], F.max("_v").alias("max")).select(*keys, "samples", "min", *levels, "max")

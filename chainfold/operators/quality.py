@@ -93,12 +93,13 @@ def multiset_differences(observed: DataFrame, expected: DataFrame, columns: list
 
 def unexpected_changes(envelopes: DataFrame, quiet: DataFrame, groups: list[str]) -> DataFrame:
     """Patches of the named groups that touch accounts which must not change: (number, group, address)."""
-    parts = None
-    for group in groups:
-        part = envelopes.select("number", F.lit(group).alias("group"), F.explode(group).alias("c")).select(
-            "number", "group", F.col("c.address").alias("address"))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.join(quiet.select("address").distinct(), "address", "left_semi").distinct()
+    def owners(group: str) -> Column:
+        return F.transform(group, lambda c: F.struct(F.lit(group).alias("group"), c["address"].alias("address")))
+
+    touched = F.array_distinct(F.concat(*[owners(group) for group in groups])).alias("touched")
+    rows = envelopes.select("number", touched).select(
+        "number", F.inline("touched"))
+    return rows.join(quiet.select("address").distinct(), "address", "left_semi").distinct()
 
 
 def side_claims(states: DataFrame, fields: list[str]) -> DataFrame:
@@ -118,13 +119,18 @@ def snapshot_json(head: DataFrame, accounts: DataFrame, storage: DataFrame, limi
     """
     def listed(rows: DataFrame, order: list[str], name: str) -> DataFrame:
         few = rows.orderBy(*order).limit(limit)
-        ordered = F.array_sort(F.collect_list(F.struct(*order, *[c for c in rows.columns if c not in order])))
-        return few.agg(ordered.alias(name))
-    one = listed(accounts, ["address"], "accounts").withColumn("k", F.lit(1))
-    two = listed(storage, ["address", "slot"], "storage").withColumn("k", F.lit(1))
-    top = head.limit(1).select(F.struct(*head.columns).alias("header"), F.lit(1).alias("k"))
-    return top.join(one, "k").join(two, "k").select(
-        F.to_json(F.struct("header", "accounts", "storage"), {"ignoreNullFields": "false"}).alias("snapshot"))
+        body = F.to_json(F.struct(*order, *[c for c in rows.columns if c not in order]), {"ignoreNullFields": "false"})
+        return few.select(F.lit(name).alias("section"), F.concat_ws("/", *order).alias("key"), body.alias("body"))
+
+    rows = listed(head, head.columns[:1], "header").unionByName(listed(accounts, ["address"], "accounts")).unionByName(
+        listed(storage, ["address", "slot"], "storage"))
+
+    def joined(name: str) -> Column:
+        items = F.array_sort(F.collect_list(F.when(F.col("section") == name, F.struct("key", "body"))))
+        return F.array_join(F.transform(items, lambda i: i["body"]), ",")
+    return rows.agg(F.concat(
+        F.lit('{"header":'), joined("header"), F.lit(',"accounts":['), joined("accounts"), F.lit('],"storage":['),
+        joined("storage"), F.lit("]}")).alias("snapshot"))
 
 
 def sample_verdict(sample: DataFrame, reference: DataFrame) -> DataFrame:

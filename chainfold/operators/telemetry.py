@@ -72,12 +72,16 @@ def live_window(samples: DataFrame, group: list[str]) -> DataFrame:
         *group, "samples", ((F.col(f"b.{at}") - F.col(f"a.{at}")) / F.lit(1e9)).alias("window_seconds"),
         (F.col("b.rpc_finalized_block") - F.col("a.rpc_finalized_block")).alias("chain_advanced"),
         (F.col("b.durable_block") - F.col("a.durable_block")).alias("durable_advanced"))
-    for column, name in (("finalized_lag_blocks", "lag"), ("durable_block_age_seconds", "age"),
-                         ("sample_duration_seconds", "call")):
-        part = distribution(samples.withColumn(column, F.col(column).cast("double")), column, group)
-        wide = wide.join(part.select(*group, *[F.col(c).alias(f"{name}_{c}") for c in ("min", "p50", "p95", "max")]),
-                         group)
-    return wide
+    # The three measures are ranked together as one long table.
+    measures = {"lag": "finalized_lag_blocks", "age": "durable_block_age_seconds", "call": "sample_duration_seconds"}
+    values = F.array(*[F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("v"))
+                       for name, column in measures.items()])
+    long = samples.select(*group, values.alias("values")).select(*group, F.inline("values"))
+    ranked = distribution(long, "v", [*group, "measure"])
+    spread = ranked.groupBy(*group).agg(*[
+        F.max(F.when(F.col("measure") == name, F.col(c))).alias(f"{name}_{c}")
+        for name in measures for c in ("min", "p50", "p95", "max")])
+    return wide.join(spread, group)
 
 
 def within(samples: DataFrame, start: Column | int, finish: Column | int, at: str = "started_at_unix_ns") -> DataFrame:

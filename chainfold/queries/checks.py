@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chainfold.functions import scalars as X
 from chainfold.operators import (continuity as N, digest as D, latest as L, paging as G, quality as Q,
                                  retention as R)
+from chainfold.session import cut
 from chainfold.queries.base import EV, LATEST, changes, events, query, resets, sql_address, table
 
 NONZERO = f"WITH {EV}, {LATEST}, nz AS (SELECT * FROM st WHERE value <> '{X.ZERO_WORD}')"
@@ -275,7 +276,7 @@ pg AS (SELECT address, page, count(*) AS rows, min(slot) AS first_slot, max(slot
 
 def pages(spark, d):
     slots = changes(spark, d).select("address", "slot").distinct().withColumn("value", F.lit(""))
-    return G.page_facts(G.numbered_pages(slots, 7))
+    return cut(G.page_facts(G.numbered_pages(slots, 7)))     # stored, as an export stores its page facts
 
 
 @query("page_chunks", f"{PAGES} SELECT * FROM pg")

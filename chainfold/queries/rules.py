@@ -115,9 +115,10 @@ UNION ALL SELECT number, 'code', count(*), min(ordinal), max(ordinal) FROM li
 def granular_order(spark, d):
     """Per block and kind: how many changes the granular stream holds and its ordinal range."""
     rows = lines(spark, d).withColumn("code", P.storage_scope(F.col("status"), F.col("reverted"))).where("code IS NOT NULL")
-    at = [F.count("*").alias("changes"), F.min("ordinal").alias("first"), F.max("ordinal").alias("last")]
-    storage = rows.where("old_cents <> new_cents").groupBy("number", F.lit("storage").alias("kind")).agg(*at)
-    return storage.unionByName(rows.where("l_partkey % 2 = 0").groupBy("number", F.lit("code").alias("kind")).agg(*at))
+    kinds = F.array_compact(F.array(F.when(F.col("old_cents") != F.col("new_cents"), F.lit("storage")),
+                                    F.when(F.col("l_partkey") % 2 == 0, F.lit("code"))))
+    return rows.select("number", "ordinal", F.explode(kinds).alias("kind")).groupBy("number", "kind").agg(
+        F.count("*").alias("changes"), F.min("ordinal").alias("first"), F.max("ordinal").alias("last"))
 
 
 @query("admission_violations", """SELECT o_orderkey AS number, reason FROM (
