@@ -120,8 +120,9 @@ def growth_report(spark: SparkSession, folder: str) -> DataFrame:
         "active", F.col("generation") == F.lit(current["generation"] if current else None))
 
 
-def isolated_copy(spark: SparkSession, folder: str, target: str) -> dict:
-    """Copy the newest generation elsewhere and measure the copy."""
+def isolated_copy(spark: SparkSession, folder: str, target: str, envelopes: DataFrame | None = None,
+                  end: int | None = None) -> dict:
+    """Copy the newest generation elsewhere, with the blocks behind it up to ``end``, and measure the copy."""
     record = store.current_generation(spark, folder)
     if record is None:
         raise LookupError("nothing to copy")
@@ -136,4 +137,7 @@ def isolated_copy(spark: SparkSession, folder: str, target: str) -> dict:
         raise ValueError("copy differs from its source")
     store.write_row(spark, store.part(target, store.GENERATIONS, "generation", name),
                     (name, record["header"]["number"], store.canonical(record)), store.GENERATION)
+    if envelopes is not None:
+        behind = envelopes.where(F.col("number") > record["header"]["number"])
+        (behind if end is None else behind.where(F.col("number") <= end)).write.parquet(f"{target}/blocks")
     return measured

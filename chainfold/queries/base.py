@@ -28,13 +28,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows to all cores when the file has fewer splits than cores.
+
+    The given tables are one row group each, so one task would do all the work behind the scan. A
+    table of cluster size has many more splits than cores and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.rdd().getNumPartitions() < cores else rows
+
+
 BLOCK_SIZE = 100
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     zero = F.lit(X.ZERO_WORD)
     k = F.get_json_object("props", "$.k").cast("bigint")
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         F.expr(f"event_id div {BLOCK_SIZE}").alias("number"), F.col("event_id").alias("ordinal"),
         X.number_word("user_id", 40).alias("address"), X.number_word(k).alias("slot"),
         F.when(F.col("event_type") == "error", zero).otherwise(X.number_word(F.col("event_id") + 1)).alias("value"),

@@ -232,6 +232,9 @@ def test_compaction_in_chunks_equals_one_pass(spark, tmp_path):
     assert folders.partition_values(spark, f"{many}/{store.GENERATIONS}", "generation") == [record["generation"]]
     assert C.compact(spark, many, env, [A], 1)["already_compacted"]
     assert C.isolated_copy(spark, many, str(tmp_path / "copy"))["nonzero_slots"] == 2
+    C.compact(spark, str(tmp_path / "early"), env, [A], 1, 2)
+    C.isolated_copy(spark, str(tmp_path / "early"), str(tmp_path / "part"), env, 3)
+    assert [r.number for r in spark.read.parquet(str(tmp_path / "part" / "blocks")).collect()] == [3]
     report = C.growth_report(spark, many).first()
     assert report["active"] and report["rows"] == 2 and report["bytes"] > 0
     with pytest.raises(ValueError, match="inside a folded prefix"):
@@ -290,3 +293,70 @@ def test_current_state_verdicts(spark):
     with pytest.raises(ValueError, match="not usable"):
         G.verify_current_state(spark, {**head, "number": 8}, accounts, storage, proofs, True)
     assert G.compare_states(storage, storage)["equal"] and not G.compare_states(storage, storage.limit(1))["equal"]
+
+
+def test_onboarding(spark, published):
+    """A late cohort may join on a short interval only with proven-empty storage."""
+    from chainfold.plans.onboarding import join_cohorts
+    root, base, _, base_bundle = published
+    parent = base_bundle["header"]["hash"]
+
+    def attempt(slots_of_b):
+        bundle, rows = target(102, {A: (2 ** 63 + 9, 40, "0x", {w(1): w(7), w(2): w(8)}), B: (4, 0, "0x", slots_of_b)})
+        old = frame(spark, close([envelope(102, A, parent_hash=parent)], bundle))
+        new = frame(spark, close([envelope(101, B, nonces=[(B, N64(4), 1)], hash=parent), envelope(102, B, parent_hash=parent)], bundle))
+        return join_cohorts(spark, root, bundle, spark.createDataFrame(rows, world.PROOFS), base["snapshot_id"],
+                            [Source("old", old, [A], 102)], [Source("new", new, [B], 101)])
+    record = attempt({})
+    assert record["account_count"] == 2 and slots(spark, root, record["snapshot_id"]) == {(A, 1): 7, (A, 2): 8}
+    with pytest.raises(ValueError, match="needs its whole history"):
+        attempt({w(1): w(1)})
+
+
+def test_pages_over_many_files(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(a, w(i * 3), w(i + 1)) for a in (A, B) for i in range(200)]
+    path = store.part(root, store.STORAGE, "snapshot_id", "s")
+    spark.createDataFrame(rows, S.CHECKPOINT_STORAGE).repartitionByRange(9, "address", "slot").sortWithinPartitions(
+        "address", "slot").write.parquet(path)
+    store.write_index(spark, root, "s")
+    from chainfold.operators.paging import keyset_rows
+    for limit in (1, 7, 64, 500):
+        after, got = "", []
+        while True:
+            files = store.page_storage(spark, root, "s", A, after, limit + 1)
+            page = [r.slot for r in keyset_rows(files, A, after, limit).collect()]
+            got += page[:limit]
+            if len(page) <= limit or limit < 7 and len(got) >= 5:
+                break
+            after = got[-1]
+        assert got == [w(i * 3) for i in range(200)][:len(got)] and (limit < 7 or len(got) == 200)
+    assert len(store.page_storage(spark, root, "s", A, w(300), 8).inputFiles()) <= 2
+    assert store.page_storage(spark, root, "s", "0xnone", "", 8).count() == 0
+
+
+def test_tables_and_logs(spark, tmp_path):
+    from builders import block, call, code, frame as blocks_of, nonce, storage, tx, w as word32
+    from chainfold.plans import tables as T
+    from chainfold.streaming import current
+    one = block(100, system_calls=[call(storage_changes=[storage(4, 9, b"\x08", b"\x05", key=b"\x01")])],
+                transaction_traces=[tx(calls=[call(nonce_changes=[nonce(4, 5, 1)], code_changes=[code(4, 6)])])])
+    two = block(205, system_calls=[call(storage_changes=[storage(4, 2, b"\x05", b"", key=b"\x01")])])
+    first, second = T.project_tables(blocks_of(spark, one)), T.project_tables(blocks_of(spark, two))
+    assert set(first) == {"blocks", "storage", "accounts", "code", *T.LOG_KEYS}
+    path = str(tmp_path / "log")
+    for batch, out in ((0, first), (1, second), (1, second), (2, first)):      # a repeat and a second delivery
+        T.append_log(out["storage_changes"], path, batch, 100)
+    log = T.read_log_table(spark, path, "storage_changes")
+    assert sorted((r.block_num, r.ordinal, r.block_bucket) for r in log.collect()) == [(100, 9, 100), (205, 2, 200)]
+    part = T.read_log_table(spark, path, "storage_changes", 200, 299, 100)
+    assert [r.block_num for r in part.collect()] == [205]
+    plan = part._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(block_bucket" in plan
+    folder = str(tmp_path / "state")
+    for batch, out in ((0, second), (1, first)):                                # older block arrives later
+        top = out["blocks"].selectExpr("block_num", "block_num AS number", "block_hash AS hash", "state_root")
+        current.merge_batch(spark, folder, batch, out["storage"], out["accounts"], top)
+    state = current.read_current(spark, folder)
+    assert state["head"].first().number == 205 and int(state["storage"].first().value, 16) == 0
+    assert state["accounts"].first().nonce == 2
