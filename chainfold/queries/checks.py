@@ -320,8 +320,8 @@ def quality_violations(spark, d):
 SELECT 'account' AS kind, address, NULL AS slot, 'provenance' AS rule FROM a WHERE last_block > {"(SELECT max(number) FROM ev) - 1"}
 UNION ALL SELECT 'account', address, NULL, 'required fields' FROM a WHERE address LIKE '%a'
 UNION ALL SELECT 'storage', address, NULL, 'unknown account' FROM (SELECT DISTINCT address || 'ff' AS address FROM ev WHERE address LIKE '%1')
-UNION ALL SELECT 'storage', address, slot, 'duplicate' FROM (SELECT address, slot FROM ch WHERE number % 10 = 1 AND address NOT LIKE '%1' GROUP BY ALL HAVING count(*) > 1)
-UNION ALL SELECT 'storage', address, slot, 'duplicate' FROM (SELECT address || 'ff' AS address, slot FROM ch WHERE number % 10 = 1 AND address LIKE '%1' GROUP BY ALL HAVING count(*) > 1)""")
+UNION ALL SELECT 'storage', address, slot, 'duplicate' FROM (SELECT address, slot FROM ch WHERE address NOT LIKE '%1' GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT 'storage', address, slot, 'duplicate' FROM (SELECT address || 'ff' AS address, slot FROM ch WHERE address LIKE '%1' GROUP BY ALL HAVING count(*) > 1)""")
 def snapshot_violations(spark, d):
     """A snapshot with stale head, missing fields, orphaned and repeated slots."""
     ev = events(spark, d)
@@ -331,7 +331,7 @@ def snapshot_violations(spark, d):
         F.lit(X.EMPTY_CODE_HASH).alias("code_hash"), F.lit("0x").alias("code"))
     owner = F.when(F.col("address").endswith("1"), F.concat("address", F.lit("ff"))).otherwise(F.col("address"))
     every = ev.select(owner.alias("address"), F.lit(0).alias("n")).distinct()
-    storage = changes(spark, d).where("number % 10 = 1").select(owner.alias("address"), "slot", "value", F.lit(0).alias("last_block"))
+    storage = changes(spark, d).select(owner.alias("address"), "slot", "value", F.lit(0).alias("last_block"))
     filler = every.select("address", F.lit(X.ZERO_WORD.replace("0x0", "0xf")).alias("slot"), F.lit(X.ZERO_WORD).alias("value"),
                           F.lit(0).alias("last_block"))
     return Q.snapshot_violations({"number": head}, accounts, storage.unionByName(filler))

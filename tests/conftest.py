@@ -9,6 +9,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from chainfold.session import local_session
-    session = local_session("tests", cpus=4, memory="4g", shuffle_partitions=4)
+    session = local_session("tests", cpus=8, memory="6g", shuffle_partitions=4)
     yield session
     session.stop()

@@ -17,9 +17,9 @@ def plain(value):
     if isinstance(value, bool):
         return value
     if isinstance(value, float):
-        return None if math.isnan(value) else f"{value:.9g}"
+        return None if math.isnan(value) else repr(value)
     if hasattr(value, "as_tuple"):
-        return str(int(value)) if value == int(value) else f"{float(value):.9g}"
+        return str(int(value)) if value == int(value) else repr(float(value))
     if isinstance(value, int):
         return str(value)
     if isinstance(value, (bytes, bytearray)):
