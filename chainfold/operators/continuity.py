@@ -111,6 +111,13 @@ def progress_match(progress: DataFrame, blocks: DataFrame, markers: DataFrame) -
         F.coalesce("marker_rows", F.lit(0)).alias("marker_rows"), ok.alias("matches"))
 
 
+def progress_regressions(progress: DataFrame) -> DataFrame:
+    """Entries of progress(run_id, entry, number) that fall behind the entry before them in their run."""
+    from chainfold.operators.ordered import previous_row
+    seen = previous_row(progress, ["run_id"], ["entry"], ["number"])
+    return seen.where(F.col("number") < F.col("previous.number")).select("run_id", "entry", "number")
+
+
 def cohort_overlap(cohorts: DataFrame) -> DataFrame:
     """Accounts that appear in more than one cohort(cohort, address)."""
     return (cohorts.groupBy("address").agg(F.min("cohort").alias("first_cohort"), F.max("cohort").alias("last_cohort"))

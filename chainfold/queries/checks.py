@@ -92,6 +92,16 @@ def progress_match(spark, d):
     return N.progress_match(progress, ev.select(n.alias("number"), good.alias("hash")), markers)
 
 
+@query("progress_regressions", """WITH p AS (SELECT CAST(user_id % 5 AS VARCHAR) AS run_id, event_id AS entry,
+  event_id - CASE WHEN event_type = 'error' THEN k ELSE 0 END AS number FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)),
+q AS (SELECT *, lag(number) OVER (PARTITION BY run_id ORDER BY entry) AS before FROM p) SELECT run_id, entry, number FROM q WHERE number < before""")
+def progress_regressions(spark, d):
+    ev = events(spark, d)
+    back = F.when(F.col("event_type") == "error", F.col("k")).otherwise(0)
+    return N.progress_regressions(ev.select((F.col("user_id") % 5).cast("string").alias("run_id"),
+                                            F.col("ordinal").alias("entry"), (F.col("ordinal") - back).alias("number")))
+
+
 # ---------------------------------------------------------------- cohorts
 
 def cohorts(spark, d):

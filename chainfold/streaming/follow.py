@@ -48,6 +48,14 @@ def read_envelope_table(spark: SparkSession, path: str, start: int | None = None
     return resolve_retries(keyed.drop("batch"))
 
 
+def durable_progress(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """Newest stored block per batch: progress(run_id, entry, number, hash), read from the data itself."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    best = F.max(F.struct("number", "hash")).alias("b")
+    return rows.groupBy(F.col("batch").cast("bigint").alias("entry")).agg(best).select(
+        F.lit(run_id).alias("run_id"), "entry", "b.number", "b.hash")
+
+
 def follow(blocks: DataFrame, path: str, checkpoint: str, start: int, stop: int | None = None,
            interval: str | None = None) -> StreamingQuery:
     """Write one row per final block, empty blocks included.

@@ -26,6 +26,11 @@ def test_bounded_ingest_resumes(spark, tmp_path):
     with pytest.raises(ValueError):
         W.ingest(spark, blocks, table, offsets, 4, 4)
     assert W.read_envelope_table(spark, table, 2, 2).count() == 1
+    from chainfold.operators.continuity import progress_match, progress_regressions
+    progress = W.durable_progress(spark, table, "run")
+    assert sorted(r.number for r in progress.collect()) == [2, 3] and progress_regressions(progress).count() == 0
+    stored = W.read_envelope_table(spark, table)
+    assert all(r.matches for r in progress_match(progress, stored, stored.select("number", "hash")).collect())
 
 
 def test_only_final_blocks_enter(spark, tmp_path):
