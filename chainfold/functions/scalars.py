@@ -117,7 +117,8 @@ def url_token_text(token: Column | str) -> Column:
 
 
 def day_partition(seconds: Column | str) -> Column:
-    return F.to_date(F.timestamp_seconds(_col(seconds)))
+    """Day of a unix time, the same in every session time zone."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(_col(seconds) / 86_400).cast("int"))
 
 
 def month_partition(stamp: Column | str) -> Column:

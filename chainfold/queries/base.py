@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chainfold.functions import scalars as X
+from chainfold.session import ship
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,6 +26,9 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # The session may come from elsewhere: the tables' wall-clock times are read as UTC.
+    ship(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

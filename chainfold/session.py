@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,29 @@ SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Not needed where the package is installed on every node or given as ``--py-files``.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="spark-chainfold-"), "chainfold.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("chainfold", os.path.relpath(path, home)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def local_session(name: str = "chainfold", cpus: int | str = 8, memory: str = "8g",
                   shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
@@ -33,6 +58,7 @@ def local_session(name: str = "chainfold", cpus: int | str = 8, memory: str = "8
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
