@@ -145,7 +145,7 @@ def walk_proof(root: bytes, key: str, nodes: list[bytes]) -> bytes | None:
 def _audit_proof(row) -> tuple:
     address = _bytes(row.address, 20)
     if row.proof_address is not None:
-        _need(_bytes(row.proof_address, 20) == address, "proof is for a different account")
+        _need(_bytes(row.proof_address, 20) == address, "proof names another account")
     nonce, balance = _quantity(row.nonce, 64), _quantity(row.balance, 256)
     storage, code = _bytes(row.storageHash, 32), _bytes(row.codeHash, 32)
     nodes = [_bytes(n) for n in row.accountProof]
@@ -231,7 +231,7 @@ def _audit_header(row) -> None:
     _need(is_list, "header is not a list")
     _need(end == len(encoded), "trailing bytes after header")
     items = decode_list(payload)
-    _need(all(not nested for nested, _, _ in items), "header field must be bytes")
+    _need(all(not nested for nested, _, _ in items), "nested list in header")
     fields = [body for _, body, _ in items]
     _need(REQUIRED_FIELDS <= len(fields) <= len(HEADER_FIELDS), "unsupported header field count")
     for i, (value, (name, size, bits)) in enumerate(zip(fields, HEADER_FIELDS)):

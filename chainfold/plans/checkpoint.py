@@ -21,10 +21,10 @@ def check_header(spark: SparkSession, bundle: dict) -> None:
     if bundle.get("format_version") != 1:
         raise ValueError("unknown proof bundle format")
     if bundle.get("header_trust") not in TRUST:
-        raise ValueError("unrecognized header trust source")
+        raise ValueError("unknown header_trust")
     if not bundle.get("header_rlp"):
         if bundle["header_trust"] == "operator-pinned-hash":
-            raise ValueError("a pinned block hash requires its encoded header")
+            raise ValueError("operator-pinned headers need header_rlp")
         return
     row = spark.createDataFrame(
         [(header["number"], header["hash"], header["parent_hash"], header["state_root"], header["timestamp"],
@@ -88,7 +88,7 @@ def build_checkpoint(spark: SparkSession, root: str, bundle: dict, proofs: DataF
     proven = proven_accounts(proofs, header["state_root"])
     observed = cut(reduction.observed_fields(sources, end, base_accounts))
     N.require_none(observed.select("address").join(proven.select("address"), "address", "left_anti"),
-                   "stream contains account metadata outside its declared filter")
+                   "fields of accounts outside the filter")
     evidence = proofs.select(F.lower("address").alias("address"), "code")
     claimed = proven.join(evidence, "address")
     filled = L.fill_from_proof(observed, claimed)
@@ -134,7 +134,7 @@ def verify_rows(accounts: DataFrame, storage: DataFrame) -> None:
         F.when(F.col("nonce").isNull(), F.lit("nonce is missing")))).alias("problems"))
     N.require_none(wrong.where(F.size("problems") > 0), "account does not verify")
     N.require_none(storage.select("address").distinct().join(accounts.select("address"), "address", "left_anti"),
-                   "checkpoint contains unverified storage accounts")
+                   "storage of accounts without a proof")
     total, counted = storage.count(), accounts.agg(F.coalesce(F.sum("nonzero_slots"), F.lit(0))).first()[0]
     if total != counted:
         raise ValueError("checkpoint slot total differs from its verified accounts")

@@ -52,7 +52,7 @@ def export_checkpoint(spark: SparkSession, root: str, snapshot_id: str, path: st
     """Write the export, check it as a stranger would, then write its manifest."""
     record = store.manifest(spark, root, snapshot_id)
     if not record.get("header_rlp"):
-        raise ValueError("portable exports require the encoded block header")
+        raise ValueError("cannot export a checkpoint without header_rlp")
     if folders.exists(spark, path):
         raise FileExistsError(path)
     rows, facts = global_pages(store.snapshot_storage(spark, root, snapshot_id), page_size)
