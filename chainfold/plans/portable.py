@@ -48,7 +48,7 @@ def global_pages(storage: DataFrame, page_size: int) -> tuple[DataFrame, DataFra
 
 
 def export_checkpoint(spark: SparkSession, root: str, snapshot_id: str, path: str, proofs: DataFrame,
-                      page_size: int = 1000) -> dict:
+                      page_size: int = 10_000) -> dict:
     """Write the export, check it as a stranger would, then write its manifest."""
     record = store.manifest(spark, root, snapshot_id)
     if not record.get("header_rlp"):
