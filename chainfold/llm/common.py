@@ -28,8 +28,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+BATCH_BYTES = str(8 << 20)      # of an Arrow batch, so that long texts do not add up in a task
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
