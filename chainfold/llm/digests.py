@@ -34,7 +34,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = part if rest is None else pa.concat_tables([rest, part])
         starts = np.flatnonzero(~(_same(rows, "digest") & _same(rows, "sha")))
         counts = np.add.reduceat(rows.column("n").to_numpy(), starts)
-        merged = rows.take(pa.array(starts)).set_column(rows.schema.get_field_index("n"), "n", pa.array(counts))
+        at = rows.schema.get_field_index("n")
+        merged = rows.take(pa.array(starts)).set_column(at, rows.schema.field(at), pa.array(counts))
         rest = merged.slice(len(merged) - 1)
         yield from merged.slice(0, len(merged) - 1).combine_chunks().to_batches()
     if rest is not None:
