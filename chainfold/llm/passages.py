@@ -24,11 +24,14 @@ NODE = 1 << 24          # words that fit in the lower part of a place
 
 
 def tune(similarity: float, recall: float, hashes: int = 16) -> tuple[int, int]:
-    """(bands, rows): the most rows a band with which a pair at ``similarity`` collides with probability ``recall``."""
-    best = (math.ceil(math.log(1 - recall) / math.log(1 - similarity)), 1)
+    """(bands, rows) with which a pair at ``similarity`` collides with probability ``recall``.
+
+    The fewest bands of two rows or more, as each band is a row to shuffle; then the most rows in them.
+    """
+    best = None
     for rows in range(2, hashes + 1):
         bands = math.ceil(math.log(1 - recall) / math.log(1 - similarity ** rows))
-        if bands * rows <= hashes:
+        if bands * rows <= hashes and (best is None or bands <= best[0]):
             best = (bands, rows)
     return best
 
