@@ -27,24 +27,27 @@ def forest(close: Callable[[int], np.ndarray], n: int) -> list[tuple[int, int]]:
     return out
 
 
-def linked(rows: DataFrame, key: str, node: str, payload: list[str],
-           close: Callable[[list[np.ndarray]], Callable[[int], np.ndarray]], block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) that connect, in each bucket of equal ``key``, the members that are close to each other.
+def linked(rows: DataFrame, payload: DataFrame, close: Callable[[list[np.ndarray]], Callable[[int], np.ndarray]],
+           pairs: Callable[[list[np.ndarray], np.ndarray, np.ndarray], np.ndarray] | None = None, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect, in each bucket of ``rows`` (key, node), the members that are close to each other.
 
     Two members of a bucket end up connected exactly if a chain of close members of that bucket joins them: a
-    bucket yields a spanning forest, at most one edge a member and block. Members of one bucket must differ in
-    ``node``. A bucket of more than ``block`` members is dealt into blocks of about that size, and each pair of
-    blocks is compared in its own group, so no task holds more than a few blocks at once, whatever the bucket.
+    bucket yields a spanning forest, at most one edge a member and block. ``payload`` (node and what ``close`` compares) is
+    joined once a bucket is known to have several members; a node is in a bucket once. A bucket of more than
+    ``block`` members is dealt into blocks of about that size, and each pair of blocks is compared in its own
+    group, so no task holds more than a few blocks at once, whatever the bucket. ``pairs`` may tell for many
+    buckets of two at once whether their members are close.
     """
-    name = [node, *payload]
-    counts = rows.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1")
+    node = payload.columns[0]
+    name = payload.columns
+    counts = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1")
     parts = F.ceil(F.col("_n") / block).cast("int")
-    own = F.pmod(F.xxhash64(F.col(node), F.lit(7)), parts).cast("int")
-    dealt = rows.join(counts, F.col(key) == F.col("_k")).withColumn("_own", own).withColumn(
+    own = F.pmod(F.xxhash64("_node", F.lit(7)), parts).cast("int")
+    members = rows.join(counts, F.col("key") == F.col("_k")).select("_k", "_n", F.col("node").alias("_node"))
+    dealt = members.join(payload, F.col("_node") == F.col(node)).withColumn("_own", own).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
-        F.xxhash64(F.lit(1), key, F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_g"),
-        F.col(key).alias("_k"), *name)
-    schema = rows.select(F.col(node).alias("a"), F.col(node).alias("b")).schema
+        F.xxhash64(F.lit(1), "_k", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_g"), "_k", *name)
+    schema = payload.select(F.col(node).alias("a"), F.col(node).alias("b")).schema
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -60,10 +63,12 @@ def linked(rows: DataFrame, key: str, node: str, payload: list[str],
     def run(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(starts)
         columns = [rows.column(c).to_numpy() for c in name]
-        left, right = [], []
-        for at, n in zip(starts[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-            near = close([c[at:at + n] for c in columns[1:]])
-            for i, j in forest(near, n):
+        left, right, least = [], [], 1
+        if pairs is not None and (two := starts[:-1][sizes == 2]).size:
+            found = two[pairs(columns, two, two + 1)]
+            left, right, least = found.tolist(), (found + 1).tolist(), 2
+        for at, n in zip(starts[:-1][sizes > least].tolist(), sizes[sizes > least].tolist(), strict=True):
+            for i, j in forest(close([c[at:at + n] for c in columns]), n):
                 left.append(at + i)
                 right.append(at + j)
         if left:

@@ -127,7 +127,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def alike(columns):
     """Which members of a bucket have an exact Jaccard similarity of SIMILARITY or more with a member."""
-    sets = [np.unique(np.asarray(s)) for s in columns[0]]
+    sets = [np.unique(np.asarray(s)) for s in columns[1]]
     sizes = np.array([len(s) for s in sets])
     every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(every, kind="stable")
@@ -182,7 +182,7 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     by_doc = wanted.groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("content", "place")).alias("each"))
     sets = arrow_pass(base.join(by_doc.hint("shuffle_hash"), F.col("doc") == F.col("d")).select("text", "each"),
                       "content bigint, shingles array<bigint>", cut_shingles).withColumnRenamed("content", "c").dropDuplicates(["c"])
-    edges = linked(pairs.join(sets, F.col("content") == F.col("c")).select("key", "content", "shingles"), "key", "content", ["shingles"], alike)
+    edges = linked(pairs.select("key", F.col("content").alias("node")), sets, alike)
     roots = components(edges, "a", "b")
     members = found.select("content", "doc", "place").distinct().join(roots, F.col("content") == F.col("node"), "left").select(
         "doc", "place", F.coalesce("root", "content").alias("class_id"))

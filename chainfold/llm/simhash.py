@@ -62,6 +62,10 @@ def pivot_table(prints: np.ndarray) -> np.ndarray:
     return np.stack([np.bitwise_count(prints ^ p).sum(1) for p in pivots(prints.shape[1])], axis=1).astype(np.int16)
 
 
+def _decoded(columns):
+    return words_of(columns[1]), np.frombuffer(b"".join(columns[2]), np.int16).reshape(len(columns[2]), PIVOTS)
+
+
 def close_by(max_bits: int):
     """Which members of a bucket are within ``max_bits`` of a member.
 
@@ -69,7 +73,7 @@ def close_by(max_bits: int):
     what all pivots leave is compared bit by bit.
     """
     def close(columns):
-        prints, far = words_of(columns[0]), np.frombuffer(b"".join(columns[1]), np.int16).reshape(len(columns[0]), PIVOTS)
+        prints, far = _decoded(columns)
 
         def near(i: int) -> np.ndarray:
             kept = np.flatnonzero(np.abs(far - far[i]).max(1) <= max_bits)
@@ -80,6 +84,17 @@ def close_by(max_bits: int):
     return close
 
 
+def pairs_by(max_bits: int):
+    """The same for many pairs at once: members i[n] and j[n]."""
+    def pairs(columns, i, j):
+        prints, far = _decoded(columns)
+        kept = np.flatnonzero(np.abs(far[i] - far[j]).max(1) <= max_bits)
+        out = np.zeros(len(i), bool)
+        out[kept] = np.bitwise_count(prints[i[kept]] ^ prints[j[kept]]).sum(1) <= max_bits
+        return out
+    return pairs
+
+
 def exact_tables(count: int, bits: int, max_bits: int) -> list[np.ndarray]:
     """Bit positions of each table so that every pair within ``max_bits`` agrees on all bits of some table.
 
@@ -93,28 +108,25 @@ def exact_tables(count: int, bits: int, max_bits: int) -> list[np.ndarray]:
     return [np.concatenate(chosen) for chosen in itertools.combinations(blocks, same)]
 
 
-def sampled_tables(count: int, bits: int, max_bits: int, recall: float) -> list[np.ndarray]:
-    """Random bit positions of each table, as many tables as find a pair at ``max_bits`` with probability ``recall``."""
-    width = min(44, max(18, math.ceil(math.log2(max(2, count))) + 1))
-    hit = (1 - max_bits / bits) ** width
+def sampled_tables(count: int, bits: int, typical_bits: int, recall: float) -> list[np.ndarray]:
+    """Random bit positions of each table, as many tables as find a pair ``typical_bits`` apart with probability ``recall``."""
+    width = min(44, max(18, math.ceil(math.log2(max(2, count))) + 2))
+    hit = (1 - typical_bits / bits) ** width
     draw = np.random.default_rng(SEED)
     return [np.sort(draw.choice(bits, width, replace=False)) for _ in range(math.ceil(math.log(1 - recall) / math.log(1 - hit)))]
 
 
-def near_edges(prints: DataFrame, column: str, lanes: int, max_bits: int, recall: float | None = None) -> DataFrame:
-    """Edges (a, b) that connect all distinct fingerprints within ``max_bits`` of each other.
+def near_edges(prints: DataFrame, lanes: int, max_bits: int, typical_bits: int | None = None, recall: float = 1.0) -> DataFrame:
+    """Edges (a, b) of node ids that connect the fingerprints of ``prints`` (id, p) within ``max_bits`` of each other.
 
-    ``recall`` None finds every such pair; else each is found with at least that probability.
+    Without ``typical_bits`` every such pair is found; else a pair that far apart with probability ``recall``.
     """
     count, bits = prints.count(), 64 * lanes
-    tables = exact_tables(count, bits, max_bits) if recall is None else sampled_tables(count, bits, max_bits, recall)
-
+    tables = exact_tables(count, bits, max_bits) if typical_bits is None else sampled_tables(count, bits, typical_bits, recall)
     marks = np.arange(1, len(tables) + 1, dtype=np.uint64) * MIX
 
     def keys(batch: pa.RecordBatch) -> dict:
-        raw = batch.column(0).to_pylist()
-        values = words_of(raw)
-        far = pivot_table(values)
+        raw = batch.column(1).to_pylist()
         spread = np.unpackbits(np.frombuffer(b"".join(raw), np.uint8)).reshape(len(raw), bits)
         out = np.empty((len(raw), len(tables)), np.int64)
         for i, chosen in enumerate(tables):
@@ -122,11 +134,14 @@ def near_edges(prints: DataFrame, column: str, lanes: int, max_bits: int, recall
             for at in chosen:
                 value = (value << np.uint64(1)) | spread[:, at]
             out[:, i] = mix(value + marks[i]).view(np.int64)
-        return {"p": raw, "far": [row.tobytes() for row in far], "keys": list(out)}
+        return {"node": batch.column(0), "keys": list(out)}
 
-    rows = arrow_pass(prints.select(column), "p binary, far binary, keys array<long>", keys).select(
-        F.explode("keys").alias("key"), "p", "far")
-    return linked(rows.withColumn("q", F.col("p")), "key", "p", ["q", "far"], close_by(max_bits))
+    def measured(batch: pa.RecordBatch) -> dict:
+        raw = batch.column(1).to_pylist()
+        return {"id": batch.column(0), "p": raw, "far": [row.tobytes() for row in pivot_table(words_of(raw))]}
+    ids = prints.select("id", "p")
+    rows = arrow_pass(ids, "node bigint, keys array<bigint>", keys).select(F.explode("keys").alias("key"), "node")
+    return linked(rows, arrow_pass(ids, "id bigint, p binary, far binary", measured), close_by(max_bits), pairs_by(max_bits))
 
 
 def with_fingerprint(docs: DataFrame, text: str, name: str, words: int = 4, lanes: int = 1) -> DataFrame:
@@ -136,32 +151,29 @@ def with_fingerprint(docs: DataFrame, text: str, name: str, words: int = 4, lane
     return docs.withColumn(name, printed(text_bytes(text)))
 
 
-def fingerprint_components(prints: DataFrame, column: str, lanes: int = 1, max_bits: int = 4,
-                           recall: float | None = None) -> DataFrame:
-    """(node, root) for fingerprints that have a neighbour; root is the smallest fingerprint reached."""
-    distinct = stored(prints.select(column).distinct())
-    return components(near_edges(distinct, column, lanes, max_bits, recall), "a", "b")
+def grouped(prints: DataFrame, best, **reach) -> DataFrame:
+    """(q, best) for each distinct fingerprint p of ``prints``: the least ``best`` in its component."""
+    distinct = stored(prints.groupBy("p").agg(F.min(best).alias("first")).withColumn("id", F.monotonically_increasing_id()))
+    roots = components(near_edges(distinct, **reach), "a", "b")
+    rooted = distinct.join(roots, F.col("id") == F.col("node"), "left").select("p", "first", F.coalesce("root", "id").alias("root"))
+    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("best"))
+    return rooted.join(least, F.col("root") == F.col("r")).select(F.col("p").alias("q"), "best")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, lanes: int = 1,
-                    max_bits: int = 4, recall: float | None = None) -> DataFrame:
+                    max_bits: int = 4) -> DataFrame:
     """One row per document: its id, fingerprint (hexadecimal) and component_id.
 
-    Fingerprints within ``max_bits`` differing bits are linked; component_id is the smallest id reachable. Null counts
-    as empty text; texts without words have fingerprint zero, which links like any other. Repeated rows stay repeated.
-    A null id is never the smallest; a component of null ids only has component_id null. An empty table gives no row.
-    Other columns of ``docs`` are not looked at.
+    Fingerprints within ``max_bits`` differing bits are linked, all of them; component_id is the smallest id reachable. Null
+    counts as empty text; texts without words have fingerprint zero, which links like any other. Repeated rows stay
+    repeated. A null id is never the smallest; a component of null ids only has component_id null. An empty table gives no
+    row. Other columns of ``docs`` are not looked at.
     """
     prints = stored(with_fingerprint(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), "text", "p",
                                      words, lanes).select("doc_id", "p"))
-    first = prints.groupBy("p").agg(F.min("doc_id").alias("first"))
-    roots = fingerprint_components(prints, "p", lanes, max_bits, recall)
-    rooted = first.join(roots, F.col("p") == F.col("node"), "left").select(
-        "p", "first", F.coalesce("root", "p").alias("root"))
-    smallest = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, F.col("root") == F.col("r")).select(F.col("p").alias("q"), "component_id")
+    named = grouped(prints, F.col("doc_id"), lanes=lanes, max_bits=max_bits)
     return prints.join(named, F.col("p") == F.col("q")).select(
-        "doc_id", F.lower(F.hex("p")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.hex("p")).alias("fingerprint"), F.col("best").alias("component_id"))
 
 
 @query("op9_simhash_pivots")
@@ -170,21 +182,18 @@ def op9_simhash_pivots(spark, d):
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, lanes: int = 4,
-             max_bits: int = 46, recall: float = 0.97) -> DataFrame:
+             max_bits: int = 46, typical_bits: int = 39, recall: float = 0.97) -> DataFrame:
     """The documents that stay when one document of each group of near copies is kept, that of the smallest id.
 
     Defaults suit a Jaccard similarity of 0.8 of five-word shingles: sets with that overlap have an angle of 0.476, so
-    15 % of the bits differ on average; 46 of 256 (18 %) leaves room for chance. Ties of the id are broken by the text;
-    rows that repeat both stay together. Null counts as empty text, a null id sorts first. All columns are kept.
+    15 % of the bits differ on average, 39 of 256; up to 46 are let through for chance, and the tables find a pair 39 bits
+    apart with probability ``recall``, closer ones more surely. Ties of the id are broken by the text; rows that repeat both
+    stay together. Null counts as empty text, a null id sorts first. All columns are kept.
     """
     mark = F.xxhash64(F.col(id).cast("string"), text_bytes(text))
-    prints = stored(with_fingerprint(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), "text", "p", words,
-                                     lanes).select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text_bytes("text")).alias("mark"), "p"))
-    first = prints.groupBy("p").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
-    roots = fingerprint_components(prints, "p", lanes, max_bits, recall)
-    rooted = first.join(roots, F.col("p") == F.col("node"), "left").select("p", "first", F.coalesce("root", "p").alias("root"))
-    best = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("best"))
-    named = rooted.join(best, F.col("root") == F.col("r")).select(F.col("p").alias("q"), "best")
+    prints = stored(with_fingerprint(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), "text", "p", words, lanes)
+                    .select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text_bytes("text")).alias("mark"), "p"))
+    named = grouped(prints, F.struct("doc_id", "mark"), lanes=lanes, max_bits=max_bits, typical_bits=typical_bits, recall=recall)
     go = prints.join(named, F.col("p") == F.col("q")).where("mark != best.mark").select(F.col("mark").alias("__gone")).distinct()
     return docs.withColumn("__mark", mark).join(go.hint("shuffle_hash"), F.col("__mark") == F.col("__gone"), "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns])
