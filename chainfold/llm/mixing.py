@@ -65,7 +65,8 @@ def mixture(docs: DataFrame, id: str = "doc_id", source: str = "source", text: s
             entropy_share: float | None = 0.95, max_repeats: float | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The rows drawn: doc_id, source, n_tokens, epoch, block, draw_key, exponent. Reading order is epoch, block, draw_key.
 
-    A source with share p of all words gets the weight q (see ``exponent``) and floor(q * budget_share * all words) words. In each
+    A source with share p of all words gets the weight q (see ``exponent``) and floor(q * budget_share * all words) words
+    (a millionth is added first, so that a whole number stays whole). In each
     epoch its documents are dealt anew into blocks of about ``block_tokens`` words by a hash, and ordered by it within
     a block. Full epochs take all documents; the last takes whole blocks while they fit, then from the next block the
     documents before the first that does not fit. No window is wider than the blocks of a source or one block.
@@ -80,7 +81,7 @@ def mixture(docs: DataFrame, id: str = "doc_id", source: str = "source", text: s
     shares = stored(sums.withColumn("p", F.col("tokens") / F.lit(float(max(1, total)))))
     x = exponent(shares, entropy_share, max_repeats, budget_share)
     z = shares.where("p > 0").agg(F.sum(F.pow("p", F.lit(x)))).first()[0] or 1.0
-    words = F.floor(F.pow("p", F.lit(x)) / F.lit(z) * F.lit(float(total) * budget_share)).cast("long")
+    words = F.floor(F.pow("p", F.lit(x)) / F.lit(z) * F.lit(float(total) * budget_share) + F.lit(1e-6)).cast("long")
     plan = shares.where("p > 0").select(F.col("source").alias("s"), "tokens", words.alias("words")).select(
         "s", F.floor(F.col("words") / F.col("tokens")).cast("long").alias("full"), (F.col("words") % F.col("tokens")).alias("rest"),
         F.greatest(F.lit(1), F.ceil(F.col("tokens") / block_tokens)).cast("long").alias("blocks"))
@@ -115,7 +116,7 @@ h AS (SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi UNION ALL
 e AS (SELECT CASE WHEN -list_sum(list_transform(ps, lambda v: v * ln(v))) >= 0.95 * ln(n) - 1e-12 THEN 1.0 ELSE round(lo, 6) END AS x
   FROM h, g WHERE i = 40),
 z AS (SELECT sum(pow(p, x)) AS z FROM p, e),
-w AS (SELECT source, tokens, CAST(floor(pow(p, x) / z * total) AS BIGINT) AS words FROM p, e, z, t),
+w AS (SELECT source, tokens, CAST(floor(pow(p, x) / z * total + 1e-6) AS BIGINT) AS words FROM p, e, z, t),
 b AS (SELECT source, words // tokens AS full_, words % tokens AS rest, greatest(1, (tokens + {BLOCK_TOKENS - 1}) // {BLOCK_TOKENS}) AS blocks FROM w),
 k AS (SELECT doc_id, r.source, n_tokens, full_, rest, blocks, unnest(range(0, full_ + 1)) AS epoch
   FROM r JOIN b ON r.source IS NOT DISTINCT FROM b.source),
