@@ -56,7 +56,9 @@ def running_total(rows: DataFrame, group: list[str], order: list[str], amount: s
               .drop("_here", "_before", _PART))
     if total is None:
         return placed
-    return placed.join(per_range.groupBy(*group).agg(F.sum("_sum").alias(total)), group)
+    sums = per_range.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(F.sum("_sum").alias(total))
+    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group]      # a NULL group is a group
+    return placed.join(sums, same).drop(*[f"_of_{g}" for g in group])
 
 
 def row_rank(rows: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:

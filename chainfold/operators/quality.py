@@ -112,13 +112,13 @@ def side_claims(states: DataFrame, fields: list[str]) -> DataFrame:
     return states.where(F.col("field").isin(fields) & wrong)
 
 
-def snapshot_json(head: DataFrame, accounts: DataFrame, storage: DataFrame, limit: int) -> DataFrame:
-    """One JSON document of head, the first accounts and the first slots.
+def snapshot_json(head: DataFrame, accounts: DataFrame, storage: DataFrame, limit: int | None = None) -> DataFrame:
+    """One JSON document of head, all accounts and all slots, or the first ``limit`` slots where one is given.
 
-    The document is bounded by its parameter; whole snapshots are read as tables.
+    One document is one value, so it suits the accounts somebody asked for; whole snapshots are read as tables.
     """
     def listed(rows: DataFrame, order: list[str], name: str) -> DataFrame:
-        few = rows.orderBy(*order).limit(limit)
+        few = rows.orderBy(*order).limit(limit) if limit is not None and name == "storage" else rows
         body = F.to_json(F.struct(*order, *[c for c in rows.columns if c not in order]), {"ignoreNullFields": "false"})
         return few.select(F.lit(name).alias("section"), F.concat_ws("/", *order).alias("key"), body.alias("body"))
 

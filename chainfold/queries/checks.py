@@ -62,7 +62,7 @@ def turn_gaps(spark, d):
 @query("metadata_defects", """WITH b AS (SELECT event_id AS number, event_type FROM events)
 SELECT number, 'account filter changed' AS reason FROM b WHERE event_type = 'click'
 UNION ALL SELECT number, 'schema version changed' FROM b WHERE event_type = 'view'
-UNION ALL SELECT number, 'unsupported producer version' FROM b WHERE number % 7 < 3
+UNION ALL SELECT number, 'unsupported producer version' FROM b WHERE number % 7 NOT BETWEEN 3 AND 5
 UNION ALL SELECT number, 'invalid parent hash' FROM b WHERE event_type = 'error'""")
 def metadata_defects(spark, d):
     n, kind = F.col("event_id"), F.col("event_type")
@@ -72,8 +72,7 @@ def metadata_defects(spark, d):
         F.when(kind == "click", "0xaa").otherwise("0xbb").alias("accounts"),
         F.when(kind == "view", 2).otherwise(1).alias("schema_version"),
         (n % 7).cast("int").alias("producer_version"))
-    return N.metadata_defects(blocks, "0xbb").where("reason <> 'unsupported producer version' OR number % 7 < 3").where(
-        "NOT (reason = 'unsupported producer version' AND number % 7 > 5)")
+    return N.metadata_defects(blocks, "0xbb")
 
 
 @query("progress_match", """WITH p AS (SELECT event_id AS number, CASE WHEN value < 5 THEN sha256('w' || event_id) ELSE sha256('b' || event_id) END AS hash FROM events WHERE event_type IN ('click', 'error')),

@@ -452,8 +452,8 @@ def code_dedup(spark, d):
 
 @query("snapshot_json", f"""{NONZERO},
 h AS (SELECT max(number) AS number FROM ev),
-a AS (SELECT address, CAST(count(*) AS BIGINT) AS n FROM ev GROUP BY address ORDER BY address LIMIT 3),
-s AS (SELECT address, slot, value FROM nz ORDER BY address, slot LIMIT 3)
+a AS (SELECT address, CAST(count(*) AS BIGINT) AS n FROM ev GROUP BY address),
+s AS (SELECT address, slot, value FROM nz)
 SELECT '{{"header":{{"number":' || (SELECT number FROM h) || '}},"accounts":[' ||
  (SELECT string_agg('{{"address":"' || address || '","n":' || n || '}}', ',' ORDER BY address) FROM a) || '],"storage":[' ||
  (SELECT string_agg('{{"address":"' || address || '","slot":"' || slot || '","value":"' || value || '"}}', ',' ORDER BY address, slot) FROM s)
@@ -461,4 +461,4 @@ SELECT '{{"header":{{"number":' || (SELECT number FROM h) || '}},"accounts":[' |
 def snapshot_json(spark, d):
     ev = events(spark, d)
     return Q.snapshot_json(ev.agg(F.max("number").alias("number")), ev.groupBy("address").agg(F.count("*").alias("n")),
-                           state(spark, d), 3)
+                           state(spark, d))

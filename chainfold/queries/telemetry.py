@@ -246,9 +246,10 @@ def stream_fold_state(spark, d):
     return folded.select("address", "slot", "value")
 
 
-@query("stream_follow", """SELECT event_id AS number, sha256('b' || event_id) AS hash FROM events WHERE event_type <> 'error'""")
+@query("stream_follow", """SELECT event_id AS number, sha256('b' || event_id) AS hash FROM events
+  WHERE event_id <= (SELECT max(event_id - CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) FROM events)""")
 def stream_follow(spark, d):
-    """Only final blocks are written; a second call over the same range adds nothing."""
+    """Every block at or below the last final one shows; a second call over the same range adds nothing."""
     at = fresh_folder(spark)
     blocks = event_stream(spark, d).select(
         F.col("ordinal").alias("number"), F.sha2(F.concat(F.lit("b"), F.col("ordinal").cast("string")), 256).alias("hash"),
@@ -259,6 +260,19 @@ def stream_follow(spark, d):
     return W.read_envelope_table(spark, f"{at}/blocks").select("number", "hash")
 
 
+@query("stream_ingest_grows", "SELECT event_id AS number, sha256('b' || event_id) AS hash FROM events")
+def stream_ingest_grows(spark, d):
+    """Half of the range, then all of it, on one checkpoint."""
+    at = fresh_folder(spark)
+    blocks = event_stream(spark, d).select(
+        F.col("ordinal").alias("number"), F.sha2(F.concat(F.lit("b"), F.col("ordinal").cast("string")), 256).alias("hash"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"))
+    stop = table(spark, d, "events").agg(F.max("event_id")).first()[0] + 1
+    for asked in (stop // 2, stop):
+        W.ingest(spark, blocks, f"{at}/blocks", f"{at}/offsets", 0, asked)
+    return W.read_envelope_table(spark, f"{at}/blocks").select("number", "hash")
+
+
 @query("stream_dedup", "SELECT event_id AS ordinal, user_id FROM events")
 def stream_dedup(spark, d):
     """Every event delivered twice; the watermark keeps one."""

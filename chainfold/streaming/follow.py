@@ -12,6 +12,8 @@ from chainfold.operators.continuity import check_range
 from chainfold.sources import folders
 from chainfold.sources.blocks import resolve_retries
 
+TIP = "finalized_number"
+
 
 def stream_files(spark: SparkSession, path: str, schema: StructType, form: str = "parquet",
                  files_per_batch: int | None = None) -> DataFrame:
@@ -22,7 +24,7 @@ def stream_files(spark: SparkSession, path: str, schema: StructType, form: str =
     return reader.load(path)
 
 
-def finalized(blocks: DataFrame, start: int, stop: int | None = None, tip: str = "finalized_number") -> DataFrame:
+def finalized(blocks: DataFrame, start: int, stop: int | None = None, tip: str = TIP) -> DataFrame:
     """Blocks of ``[start, stop)`` that the source has declared final."""
     rows = blocks.where((F.col("number") >= start) & (F.col("number") <= F.col(tip))) if tip in blocks.columns \
         else blocks.where(F.col("number") >= start)
@@ -37,45 +39,69 @@ def append_envelopes(batch: DataFrame, path: str, batch_id: int) -> None:
      .parquet(f"{path}/batch={batch_id}"))
 
 
-def read_envelope_table(spark: SparkSession, path: str, start: int | None = None, end: int | None = None) -> DataFrame:
-    """Everything the follower wrote; blocks delivered in two batches count once."""
+def ask(spark: SparkSession, path: str, start: int, stop: int | None) -> None:
+    """Note that the table at ``path`` is to show ``[start, stop)``; a table shows all that was asked for so far."""
+    bounds = spark.createDataFrame([(start, stop)], "start bigint, stop bigint").coalesce(1)
+    bounds.write.mode("overwrite").parquet(f"{path}/bounds/from={start}/to={'open' if stop is None else stop}")
+
+
+def visible(spark: SparkSession, path: str) -> DataFrame:
+    """The stored blocks that were asked for and are final, each with its batch.
+
+    Every block that arrived is stored. One that came before the source called it final shows as soon as any later
+    row proves it, and one beyond the stop as soon as a later stop is asked for.
+    """
     rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    if folders.exists(spark, f"{path}/bounds"):
+        low, open_, high = spark.read.schema("start bigint, stop bigint").parquet(f"{path}/bounds").agg(
+            F.min("start"), F.max(F.col("stop").isNull()), F.max("stop")).first()
+        rows = rows.where(F.col("number") >= low)
+        rows = rows if open_ else rows.where(F.col("number") < high)
+    if TIP in rows.columns:
+        tip = rows.agg(F.max(TIP)).first()[0]
+        rows = rows.where(F.col("number") <= F.lit(tip))
+    return rows
+
+
+def read_envelope_table(spark: SparkSession, path: str, start: int | None = None, end: int | None = None) -> DataFrame:
+    """What the table shows; blocks delivered in two batches count once, and a retraction by the source counts."""
+    rows = visible(spark, path)
     if start is not None:
         rows = rows.where(F.col("number") >= start)
     if end is not None:
         rows = rows.where(F.col("number") <= end)
-    keyed = rows.withColumn("_version_", F.col("batch").cast("bigint")).withColumn("_deleted_", F.lit(False))
+    gone = F.coalesce(F.col("_deleted_"), F.lit(False)) if "_deleted_" in rows.columns else F.lit(False)
+    keyed = rows.withColumn("_version_", F.col("batch").cast("bigint")).withColumn("_deleted_", gone)
     return resolve_retries(keyed.drop("batch"))
 
 
 def durable_progress(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """Newest stored block per batch: progress(run_id, entry, number, hash), read from the data itself."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    """Newest shown block per batch: progress(run_id, entry, number, hash), read from the data itself."""
     best = F.max(F.struct("number", "hash")).alias("b")
-    return rows.groupBy(F.col("batch").cast("bigint").alias("entry")).agg(best).select(
+    return visible(spark, path).groupBy(F.col("batch").cast("bigint").alias("entry")).agg(best).select(
         F.lit(run_id).alias("run_id"), "entry", "b.number", "b.hash")
 
 
 def follow(blocks: DataFrame, path: str, checkpoint: str, start: int, stop: int | None = None,
            interval: str | None = None) -> StreamingQuery:
-    """Write one row per final block, empty blocks included.
+    """Store one row per block, empty blocks included; readers see those that are final and in a range asked for.
 
     With ``interval`` the query keeps running; without it reads what is there and ends. Resume comes
     from the stream's own checkpoint, so a completed range returns at once.
     """
     if stop is not None:
         check_range(start, stop)
-    chosen = finalized(blocks, start, stop)
-    writer = chosen.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+    ask(blocks.sparkSession, path, start, stop)
+    writer = blocks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, batch_id: append_envelopes(batch, path, batch_id))
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
 def ingest(spark: SparkSession, blocks: DataFrame, path: str, checkpoint: str, start: int, stop: int) -> dict:
-    """Bounded ingest of ``[start, stop)``. Asking to stop before what is already stored is an error."""
+    """Bounded ingest of ``[start, stop)``; a later call may ask for more. Asking to stop before what is shown is an error."""
     check_range(start, stop)
     if folders.exists(spark, path):
-        newest = spark.read.option("basePath", path).parquet(f"{path}/batch=*").agg(F.max("number")).first()[0]
+        newest = visible(spark, path).agg(F.max("number")).first()[0]
         if newest is not None and newest >= stop:
             raise ValueError("stop block precedes the already ingested position")
         if newest == stop - 1:

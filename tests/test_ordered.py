@@ -108,3 +108,9 @@ def test_summary_of_runs(spark):
     assert {r.samples for r in out["overlap"].collect()} == {16}
     with pytest.raises(ValueError, match="differ"):
         summarize_runs(runs.withColumn("module", F.col("phase")), both, ["module"])
+
+
+def test_null_group_is_a_group(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0)], "g string, v double")
+    got = {r.g: (r.samples, r.mid) for r in O.nearest_rank(rows, ["g"], "v", {"mid": 0.5}).collect()}
+    assert got == {"a": (2, 1.0), None: (2, 5.0)}

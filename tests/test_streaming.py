@@ -33,6 +33,24 @@ def test_bounded_ingest_resumes(spark, tmp_path):
     assert all(r.matches for r in progress_match(progress, stored, stored.select("number", "hash")).collect())
 
 
+def test_bounded_ingest_grows_on_the_same_checkpoint(spark, tmp_path):
+    source, table, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    feed(spark, source, [envelope(n, A) for n in range(1, 8)], S.ENVELOPE)
+    blocks = W.stream_files(spark, source, S.ENVELOPE, files_per_batch=2)
+    for stop in (4, 7):
+        assert W.ingest(spark, blocks, table, offsets, 1, stop)["already_complete"] is False
+        assert sorted(r.number for r in W.read_envelope_table(spark, table).collect()) == list(range(1, stop))
+
+
+def test_a_block_waits_until_a_later_one_proves_it(spark, tmp_path):
+    source, table, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    for number, tip, seen in ((1, 1, [1]), (2, 1, [1]), (3, 3, [1, 2, 3])):
+        row = spark.createDataFrame([envelope(number, A)], S.ENVELOPE).withColumn("finalized_number", F.lit(tip).cast("bigint"))
+        row.coalesce(1).write.mode("append").parquet(source)
+        W.follow(W.stream_files(spark, source, row.schema), table, offsets, 1).awaitTermination()
+        assert sorted(r.number for r in W.read_envelope_table(spark, table).collect()) == seen
+
+
 def test_only_final_blocks_enter(spark, tmp_path):
     source, table = str(tmp_path / "in"), str(tmp_path / "out")
     rows = spark.createDataFrame([envelope(n, A) for n in range(1, 6)], S.ENVELOPE).withColumn("finalized_number", F.lit(3).cast("bigint"))
