@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from chainfold.llm.common import arrow_pass, mix, query, shingles, table, text_bytes
@@ -32,10 +32,13 @@ class Forms(dict):
 
     def __missing__(self, word: bytes) -> int:
         text = word.decode("utf-8", "replace")
-        core = EDGE.sub("", text) or text
-        low = core.lower()
-        marks = (any(map(str.isdigit, core)) | core[:1].isupper() << 1 | (text.rstrip("\"')]}»”")[-1:] in ".!?:") << 2 | (low in UNITS) << 3)
-        value = int.from_bytes(hashlib.blake2b(low.encode("utf-8", "replace"), digest_size=8).digest(), "little") >> 5 << 4 | marks
+        if text.isalpha():      # nothing to strip and no digit
+            low, marks = text.lower(), text[0].isupper() << 1
+        else:
+            core = EDGE.sub("", text) or text
+            low = core.lower()
+            marks = any(map(str.isdigit, core)) | core[:1].isupper() << 1 | (text.rstrip("\"')]}»”")[-1:] in ".!?:") << 2
+        value = xxhash.xxh64_intdigest(low.encode("utf-8", "replace")) >> 5 << 4 | marks | (low in UNITS) << 3
         if len(self) >= self.MOST:
             self.clear()
         self[word] = value
@@ -51,7 +54,8 @@ def canonical(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     Words with digits are numbers; a known unit behind a number is a unit; a capital letter that starts no sentence is a
     name. Slots of one type look alike. Other words count by their letters, without case and outer punctuation.
     """
-    form = np.array([_forms[w] for w in text.split()], np.uint64)
+    words = text.split()
+    form = np.fromiter(map(_forms.__getitem__, words), np.uint64, len(words))
     if not len(form):
         return form, form
     marks, value = form & np.uint64(15), form >> np.uint64(4)
