@@ -122,11 +122,11 @@ def granular_order(spark, d):
 
 
 @query("admission_violations", """SELECT o_orderkey AS number, reason FROM (
-  SELECT o_orderkey, 'account state requires extended blocks' AS reason FROM orders WHERE o_custkey % 7 = 0
-  UNION ALL SELECT o_orderkey, 'unsupported producer version' FROM orders WHERE o_orderkey % 5 NOT BETWEEN 1 AND 3
-  UNION ALL SELECT o_orderkey, 'header/block number mismatch' FROM orders WHERE o_orderpriority = '1-URGENT'
-  UNION ALL SELECT o_orderkey, 'unknown transaction status' FROM orders WHERE o_orderstatus = 'P'
-  UNION ALL SELECT o_orderkey, 'invalid block timestamp' FROM orders WHERE o_totalprice < 20000)""")
+  SELECT o_orderkey, 'detail' AS reason FROM orders WHERE o_custkey % 7 = 0
+  UNION ALL SELECT o_orderkey, 'producer' FROM orders WHERE o_orderkey % 5 NOT BETWEEN 1 AND 3
+  UNION ALL SELECT o_orderkey, 'number' FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT o_orderkey, 'status' FROM orders WHERE o_orderstatus = 'P'
+  UNION ALL SELECT o_orderkey, 'timestamp' FROM orders WHERE o_totalprice < 20000)""")
 def admission_violations(spark, d):
     """Orders as block headers; every broken admission rule is named."""
     from chainfold import schema as S
