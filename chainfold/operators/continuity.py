@@ -10,7 +10,7 @@ from chainfold.functions import scalars as X
 def check_range(start: int, stop: int) -> tuple[int, int]:
     """Turn ``[start, stop)`` into an inclusive range."""
     if start < 0 or stop <= start:
-        raise ValueError("stop block must be greater than start block (exclusive)")
+        raise ValueError(f"[{start}, {stop}) is no range")
     return start, stop - 1
 
 
@@ -50,7 +50,7 @@ def metadata_defects(blocks: DataFrame, accounts: str, producers: tuple[int, int
         F.when(~F.col("accounts").eqNullSafe(F.lit(accounts)), F.lit("account filter changed")),
         F.when(~F.col("schema_version").eqNullSafe(F.lit(1)), F.lit("schema version changed")),
         F.when(~F.coalesce(F.col("producer_version").between(*producers), F.lit(False)),
-               F.lit("unsupported producer version")),
+               F.lit("other producer version")),
         F.when(~X.is_fixed_hex("hash", 32), F.lit("invalid block hash")),
         F.when(~X.is_fixed_hex("parent_hash", 32), F.lit("invalid parent hash"))), lambda r: r.isNotNull())
     return blocks.select("number", F.explode(reasons).alias("reason"))

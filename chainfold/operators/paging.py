@@ -18,7 +18,7 @@ def keyset_rows(storage: DataFrame, address: str, after: str, limit: int) -> Dat
     """At most limit+1 slots behind ``after``. The filter reaches the scan and the order becomes a
     take-ordered, so a page reads little whatever the account's size."""
     if not 1 <= limit <= MAX_PAGE:
-        raise ValueError("page limit must be between 1 and 10000")
+        raise ValueError(f"limit {limit} is not in 1..10000")
     return (storage.where((F.col("address") == address) & (F.col("slot") > after))
             .orderBy("slot").limit(limit + 1).select("slot", "value"))
 

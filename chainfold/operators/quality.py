@@ -138,5 +138,5 @@ def sample_verdict(sample: DataFrame, reference: DataFrame) -> DataFrame:
     joined = sample.alias("s").join(reference.alias("r"), ["address", "slot"], "left")
     same = F.col("s.value").eqNullSafe(F.coalesce("r.value", F.lit(X.ZERO_WORD)))
     return joined.agg(F.count("*").alias("slots_checked"), F.count(F.when(~same, 1)).alias("mismatches")).select(
-        F.when(F.col("mismatches") == 0, "sample-parity-only").otherwise("sample mismatch").alias("status"),
+        F.when(F.col("mismatches") == 0, "sample matches").otherwise("sample differs").alias("status"),
         "slots_checked", "mismatches")

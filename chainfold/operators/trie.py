@@ -124,7 +124,7 @@ def _common(a: str, b: str) -> int:
     for i, (x, y) in enumerate(zip(a, b)):
         if x != y:
             return i
-    raise ValueError("duplicate nonzero storage slot")
+    raise ValueError("two values for one slot")
 
 
 def _below(key: str, node: tuple[str, bool, bytes], depth: int) -> tuple[str, bool, bytes]:

@@ -45,21 +45,21 @@ def check_cohorts(spark: SparkSession, sources: list[Source], proofs: DataFrame,
                   base_accounts: DataFrame | None, header: dict) -> None:
     rows = [(s.name, a, s.start_block) for s in sources for a in s.accounts]
     cohorts = spark.createDataFrame(rows, "cohort string, address string, start_block bigint")
-    N.require_none(N.cohort_overlap(cohorts), "source cohorts overlap")
+    N.require_none(N.cohort_overlap(cohorts), "an account has two sources")
     selected = proofs.select(F.lower("address").alias("address"))
-    N.require_none(N.coverage_defects(selected, cohorts), "source account coverage differs from proofs")
+    N.require_none(N.coverage_defects(selected, cohorts), "sources and proofs name different accounts")
     if base is None:
         return
     if header["number"] <= base["header"]["number"]:
-        raise ValueError("checkpoint must advance its base")
+        raise ValueError("the base is not older than the header")
     N.require_none(base_accounts.select("address").join(selected, "address", "left_anti"),
-                   "checkpoint must preserve all base accounts")
+                   "accounts of the base have no proof")
     known = {r["cohort"] for r in cohorts.join(base_accounts.select("address"), "address", "left_semi")
              .select("cohort").distinct().collect()}          # one row per cohort
     for source in sources:
         if source.name in known:
             if source.start_block != base["header"]["number"] + 1:
-                raise ValueError("existing accounts must continue right behind the base checkpoint")
+                raise ValueError("a source of known accounts starts elsewhere than behind the base")
             source.parent_hash = base["header"]["hash"]
 
 
@@ -166,4 +166,4 @@ def verify_state(storage: DataFrame, accounts: DataFrame, record: dict, proofs:
     totals, known = D.state_digest(storage).first(), D.account_digest(accounts).first()
     if (totals["state_sha256"], totals["nonzero_slots"], known["accounts_sha256"], known["rows"]) != (
             record["state_sha256"], record["nonzero_slots"], record["accounts_sha256"], record["account_count"]):
-        raise ValueError("stored checkpoint contains missing, unexpected or altered state")
+        raise ValueError("rows read back are not the rows verified")

@@ -73,7 +73,7 @@ def export_checkpoint(spark: SparkSession, root: str, snapshot_id: str, path: st
 
 def read_layout(spark: SparkSession, path: str) -> dict:
     if not folders.written(spark, f"{path}/manifest"):
-        raise ValueError("incomplete checkpoint export")
+        raise ValueError("no manifest: the export was not finished")
     return json.loads(spark.read.text(f"{path}/manifest").first()[0])
 
 
@@ -147,10 +147,10 @@ def exported_storage(spark: SparkSession, path: str) -> DataFrame:
 
 def verify_layout(spark: SparkSession, path: str, layout: dict, expected_hash: str | None = None) -> dict:
     if layout.get("format") != FORMAT or layout.get("status") != "ready":
-        raise ValueError("unsupported or incomplete checkpoint export")
+        raise ValueError("unknown export format or status")
     record = layout["checkpoint"]
     if record.get("status") != "ready" or record.get("format_version") != 1:
-        raise ValueError("invalid checkpoint manifest")
+        raise ValueError("unknown record in the export")
     if expected_hash is not None and record["header"]["hash"] != expected_hash:
         raise ValueError("export is of another block")
     checkpoint.check_header(spark, record)

@@ -62,7 +62,7 @@ def turn_gaps(spark, d):
 @query("metadata_defects", """WITH b AS (SELECT event_id AS number, event_type FROM events)
 SELECT number, 'account filter changed' AS reason FROM b WHERE event_type = 'click'
 UNION ALL SELECT number, 'schema version changed' FROM b WHERE event_type = 'view'
-UNION ALL SELECT number, 'unsupported producer version' FROM b WHERE number % 7 NOT BETWEEN 3 AND 5
+UNION ALL SELECT number, 'other producer version' FROM b WHERE number % 7 NOT BETWEEN 3 AND 5
 UNION ALL SELECT number, 'invalid parent hash' FROM b WHERE event_type = 'error'""")
 def metadata_defects(spark, d):
     n, kind = F.col("event_id"), F.col("event_type")
@@ -389,7 +389,7 @@ def metadata_mismatch(spark, d):
 
 @query("sample_parity", f"""{NONZERO}, sm AS (SELECT * FROM nz ORDER BY address, slot LIMIT 200),
 o AS (SELECT address, slot, arg_max(value, (number, ordinal)) AS value FROM ch GROUP BY address, slot)
-SELECT CASE WHEN count(*) FILTER (WHERE sm.value <> o.value) = 0 THEN 'sample-parity-only' ELSE 'sample mismatch' END AS status,
+SELECT CASE WHEN count(*) FILTER (WHERE sm.value <> o.value) = 0 THEN 'sample matches' ELSE 'sample differs' END AS status,
   count(*) AS slots_checked, count(*) FILTER (WHERE sm.value <> o.value) AS mismatches FROM sm JOIN o USING (address, slot)""")
 def sample_parity(spark, d):
     return Q.sample_verdict(G.sample_slots(state(spark, d), 200), L.latest_slots(changes(spark, d)))

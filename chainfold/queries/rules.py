@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chainfold.functions import scalars as X
+from chainfold.functions.uint256 import bytes_to_decimal
 from chainfold.operators import block_end as E, current_state as C, persistence as P
-from chainfold.queries.base import query, sql_address, table
+from chainfold.queries.base import query, sql_address, sql_word, table
 from chainfold.sources.blocks import newest_versions
 
 TX_SQL = """tx AS (SELECT o_orderkey, o_orderkey // 50 AS number, o_custkey,
@@ -63,6 +64,88 @@ def persisted_changes(spark, d):
         F.col("status").alias("tx_status"))
 
 
+NESTED_SQL = f"""o AS (SELECT o_orderkey, o_orderkey // 50 AS number, o_custkey % 5 AS sender,
+  CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END AS status, o_orderpriority = '1-URGENT' AS set_code,
+  CASE o_custkey % 10 WHEN 0 THEN 'system' WHEN 1 THEN 'block' ELSE 'tx' END AS part_of FROM orders),
+c AS (SELECT o.*, l_linenumber AS line, l_returnflag = 'R' AS reverted, l_suppkey AS supp, l_partkey % 8 AS ordinal,
+  l_partkey AS part, CASE l_linestatus WHEN 'F' THEN 7 ELSE 5 END AS reason, CAST(round(l_discount * 100) AS BIGINT) AS old,
+  CAST(round(l_tax * 100) AS BIGINT) AS new,
+  dense_rank() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_returnflag = 'R') - 1 AS call_index
+  FROM lineitem JOIN o ON l_orderkey = o_orderkey),
+a AS (SELECT DISTINCT o_orderkey, supp % 5 AS authority FROM c WHERE set_code AND line = 2 AND NOT reverted),
+m AS (SELECT c.*, part_of = 'tx' AND status <> 1 AND call_index = 0 AS failed_root,
+  part_of = 'tx' AND status <> 1 AND call_index = 0 AND authority IS NOT NULL AND ordinal BETWEEN 1 AND 3 AS early,
+  CASE WHEN part_of = 'system' AND NOT reverted THEN 4 WHEN part_of = 'tx' AND status = 1 AND NOT reverted THEN 1 END AS live
+  FROM c LEFT JOIN a ON c.o_orderkey = a.o_orderkey AND supp % 5 = authority),
+n AS (SELECT *, CASE WHEN failed_root AND ordinal > 0 AND supp % 5 = sender AND old % 2 = 0 AND new % 3 = 1 THEN row_number() OVER (
+  PARTITION BY o_orderkey, failed_root AND ordinal > 0 AND supp % 5 = sender AND old % 2 = 0 AND new % 3 = 1 ORDER BY ordinal) END AS step FROM m),
+r AS (SELECT *, 'storage' AS kind, {sql_address('supp')} AS address, {sql_word('new')} AS value, live AS scope FROM n WHERE old <> new
+  UNION ALL SELECT *, 'balances', {sql_address('supp')}, CAST(new AS VARCHAR), CASE WHEN part_of = 'block' THEN 5
+    WHEN failed_root AND reason = 7 THEN 2 ELSE live END FROM n WHERE old <> new
+  UNION ALL SELECT *, 'codes', {sql_address('supp % 5')}, {sql_word('new')}, CASE WHEN part_of = 'block' THEN 5
+    WHEN early THEN 3 ELSE live END FROM n WHERE old <> new
+  UNION ALL SELECT *, 'nonces', {sql_address('supp % 5')}, CAST(new % 3 AS VARCHAR), CASE WHEN step = 1 THEN 2
+    WHEN early THEN 3 ELSE live END FROM n WHERE old % 2 <> new % 3)"""
+
+
+def nested_blocks(spark, d):
+    """Blocks of 50 orders: most orders are transactions, some are system calls, some block-level changes.
+
+    The lines of one number and flag are a call with one change of each kind per line; line 2 also authorizes. A
+    block is one row by its format, so its orders and lines are collected.
+    """
+    from chainfold import schema as S
+    sized = lambda c, digits: F.unhex(F.lpad(F.hex(c), digits, "0"))
+    line = F.struct(F.col("l_linenumber").alias("line"), (F.col("l_returnflag") == "R").alias("reverted"),
+                    F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
+                    F.when(F.col("l_linestatus") == "F", 7).otherwise(5).alias("reason"),
+                    F.round(F.col("l_discount") * 100).cast("bigint").alias("old"),
+                    F.round(F.col("l_tax") * 100).cast("bigint").alias("new"))
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sort_array(F.collect_list(line)).alias("lines"))
+    ordinal = lambda x: x["part"] % 8
+    small = lambda x: sized(x["supp"] % 5, 40)
+    balance = lambda x: F.struct(sized(x["supp"], 40), sized(x["old"], 16), sized(x["new"], 16), x["reason"], ordinal(x))
+    code = lambda x: F.struct(small(x), sized(x["old"], 64), sized(x["new"], 64), sized(x["new"], 2), ordinal(x))
+    storage = lambda x: F.struct(sized(x["supp"], 40), sized(x["part"], 64), sized(x["old"], 64), sized(x["new"], 64), ordinal(x))
+    nonce = lambda x: F.struct(small(x), x["old"] % 2, x["new"] % 3, ordinal(x))
+
+    def call(key, place):
+        own = F.filter("lines", lambda x: (x["line"] == key["line"]) & (x["reverted"] == key["reverted"]))
+        return F.struct(place, F.lit(0), F.lit(1), F.lit(b""), key["reverted"], F.lit(False), F.lit(4), F.lit(1000),
+                        *[F.transform(own, make) for make in (storage, balance, nonce, code)])
+    keys = F.array_distinct(F.transform("lines", lambda x: F.struct(x["line"].alias("line"), x["reverted"].alias("reverted"))))
+    grants = F.transform(F.filter("lines", lambda x: x["line"] == 2),
+                         lambda x: F.struct(small(x), sized(x["part"], 40), F.lit(0), x["reverted"]))
+    status = F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "F", 2).otherwise(3)
+    tx = F.struct(sized(F.col("o_orderkey"), 64), F.col("o_orderkey"), F.when(F.col("o_orderpriority") == "1-URGENT", 4).otherwise(0),
+                  status, sized(F.col("o_custkey") % 5, 40), F.lit(0), F.lit(1000), grants, F.col("calls"))
+    kind = F.col("o_custkey") % 10
+    together = lambda array: F.flatten(F.collect_list(array))
+    blocks = (table(spark, d, "orders").join(lines, "o_orderkey").withColumn("calls", F.transform(keys, call))
+              .groupBy(F.expr("o_orderkey div 50").alias("number")).agg(
+        F.collect_list(F.when(kind > 1, tx)).alias("transaction_traces"), together(F.when(kind == 0, F.col("calls"))).alias("system_calls"),
+        together(F.when(kind == 1, F.transform("lines", balance))).alias("balance_changes"),
+        together(F.when(kind == 1, F.transform("lines", code))).alias("code_changes")))
+    word = sized(F.col("number"), 64)
+    other = {"ver": F.lit(5), "detail_level": F.lit(0), "hash": word,
+             "header": F.struct("number", word, word, word, F.struct(F.lit(1), F.lit(0)))}
+    return blocks.select(*[other.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in S.BLOCK.fields])
+
+
+@query("nested_changes", f"""WITH {NESTED_SQL}
+SELECT kind, number, CASE part_of WHEN 'tx' THEN o_orderkey ELSE 0 END AS tx_index, CASE part_of WHEN 'block' THEN 0 ELSE call_index END AS call_index,
+  address, ordinal, value, {SCOPE_SQL} AS scope FROM r WHERE scope IS NOT NULL""")
+def nested_changes(spark, d):
+    """Every kind of change that survives, from whole nested blocks."""
+    rows = P.tagged_changes(nested_blocks(spark, d))
+    amount = bytes_to_decimal(F.when(F.col("kind") == "balances", F.col("new_bytes")))
+    value = F.when(F.col("kind") == "balances", amount.cast("string")).when(
+        F.col("kind") == "nonces", F.col("new_nonce").cast("string")).otherwise(X.hex_text("new_bytes"))
+    return rows.select("kind", "number", "tx_index", "call_index", X.hex_text("address").alias("address"), "ordinal",
+                       value.alias("value"), X.scope_name("scope").alias("scope"))
+
+
 @query("sender_effects", f"""WITH {TX_SQL}, c AS (SELECT o_orderkey, min(ordinal) AS ordinal FROM li
   WHERE status <> 1 AND ordinal > 0 AND l_suppkey % 3 = o_custkey % 3 GROUP BY o_orderkey)
 SELECT o_orderkey, ordinal, 'tx_failed_persistent' AS scope FROM c""")
