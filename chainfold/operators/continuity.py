@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from chainfold.functions import scalars as X
+from chainfold.operators.ordered import previous_row
+from chainfold.session import cut
 
 
 def check_range(start: int, stop: int) -> tuple[int, int]:
@@ -14,34 +16,57 @@ def check_range(start: int, stop: int) -> tuple[int, int]:
     return start, stop - 1
 
 
-def interval_defects(blocks: DataFrame, start: int, end: int, parent_hash: str | None = None) -> DataFrame:
-    """Gaps, conflicts and broken parents within [start, end].
+def _announcements(blocks: DataFrame, group: list[str]) -> DataFrame:
+    """Each block as itself and as the neighbour that its two neighbours should meet: one pass, no ordering."""
+    none = F.lit(None).cast("string")
+
+    def row(shift: int, role: str, hash_, parent, expected):
+        return F.struct((F.col("number") + shift).cast("bigint").alias("number"), F.lit(role).alias("role"),
+                        hash_.alias("hash"), parent.alias("parent"), expected.alias("expected"))
+    three = F.array(row(0, "own", F.col("hash"), F.col("parent_hash"), none), row(1, "after", none, none, F.col("hash")),
+                    row(-1, "before", none, none, none))
+    return blocks.select(*group, F.inline(three))
 
-    Each block also announces its successor; grouping both by number finds every defect with one
-    shuffle and no ordering. Only the first missing block of a gap is reported.
+
+def _judged(rows: DataFrame, group: list[str], rivals: str) -> DataFrame:
+    """Defects (group, number, last, reason) of announcements; a gap is one row from its first to its last block.
+
+    A number that nobody owns opens a gap if the block before announced it and closes one if the block behind did.
+    Opens and closes alternate, so each close ends the gap that the row before it opened. Only numbers with a
+    defect are ordered. Missing numbers behind the newest block are not a gap yet.
     """
+    def seen(role):
+        return F.count(F.when(F.col("role") == role, 1))
+    grouped = rows.groupBy(*group, "number").agg(
+        seen("own").alias("copies"), seen("after").alias("after"), seen("before").alias("before"),
+        F.min("hash").alias("h1"), F.max("hash").alias("h2"), F.min("parent").alias("p1"), F.max("parent").alias("p2"),
+        F.min("expected").alias("e1"), F.max("expected").alias("e2"))
+    unowned = F.col("copies") == 0
+    judged = grouped.select(
+        *group, "number", F.expr(rivals).alias("rivals"),
+        F.coalesce((F.col("p1") != F.col("e1")) | (F.col("p2") != F.col("e2")), F.lit(False)).alias("unlinked"),
+        (unowned & (F.col("after") > 0)).alias("opens"), (unowned & (F.col("before") > 0)).alias("closes"))
+    found = cut(judged.where("rivals OR unlinked OR opens OR closes"))
+    reason = F.explode(F.array_compact(F.array(F.when(F.col("rivals"), F.lit("conflicting block")),
+                                               F.when(F.col("unlinked"), F.lit("broken parent")))))
+    edges = previous_row(found.where("opens OR closes").select(*group, "number", "opens", "closes"),
+                         group, ["number"], ["number"])
+    first = F.when(F.col("opens"), F.col("number")).otherwise(F.col("previous.number"))
+    gaps = edges.where("closes").select(*group, first.alias("number"), F.col("number").alias("last"),
+                                        F.lit("missing block").alias("reason")).where("number IS NOT NULL")
+    return found.select(*group, "number", F.col("number").alias("last"), reason.alias("reason")).unionByName(gaps)
+
+
+def interval_defects(blocks: DataFrame, start: int, end: int, parent_hash: str | None = None) -> DataFrame:
+    """Gaps, conflicts and broken parents within [start, end] as (number, last, reason)."""
     if start > end:
-        raise ValueError("invalid block range")
+        raise ValueError(f"[{start}, {end}] is no range")
+    anchors = blocks.sparkSession.createDataFrame(
+        [(start, "after", None, None, parent_hash), (end, "before", None, None, None)],
+        "number bigint, role string, hash string, parent string, expected string")
     inside = blocks.where(F.col("number").between(start, end))
-    own = inside.select("number", F.lit(1).alias("own"), "hash", "parent_hash",
-                        F.lit(None).cast("string").alias("expected"))
-    after = inside.select((F.col("number") + 1).alias("number"), F.lit(0).alias("own"),
-                          F.lit(None).cast("string").alias("hash"),
-                          F.lit(None).cast("string").alias("parent_hash"), F.col("hash").alias("expected"))
-    anchor = blocks.sparkSession.range(1).select(
-        F.lit(start).cast("bigint").alias("number"), F.lit(0).alias("own"), F.lit(None).cast("string").alias("hash"),
-        F.lit(None).cast("string").alias("parent_hash"), F.lit(parent_hash).cast("string").alias("expected"))
-    grouped = own.unionByName(after).unionByName(anchor).where(F.col("number") <= end).groupBy("number").agg(
-        F.sum("own").alias("rows"), F.count(F.when(F.col("own") == 0, 1)).alias("announced"),
-        F.min("parent_hash").alias("parent"), F.max("parent_hash").alias("parent2"),
-        F.min("expected").alias("expected"), F.max("expected").alias("expected2"))
-    broken = F.col("expected").isNotNull() & F.col("parent").isNotNull() & (
-        (F.col("parent") != F.col("expected")) | (F.col("parent2") != F.col("expected2")))
-    reasons = F.filter(F.array(
-        F.when(F.col("rows") > 1, F.lit("conflicting block")),
-        F.when((F.col("rows") == 0) & (F.col("announced") > 0), F.lit("missing block")),
-        F.when(broken, F.lit("broken parent"))), lambda r: r.isNotNull())
-    return grouped.select("number", F.explode(reasons).alias("reason"))
+    rows = _announcements(inside, []).unionByName(anchors).where(F.col("number").between(start, end))
+    return _judged(rows, [], "copies > 1")
 
 
 def metadata_defects(blocks: DataFrame, accounts: str, producers: tuple[int, int] = (3, 5)) -> DataFrame:
@@ -71,19 +96,19 @@ def validate_interval(blocks: DataFrame, start: int, header: dict, accounts: str
     header needs no blocks but must be that very block.
     """
     end = header["number"]
-    none = blocks.sparkSession.createDataFrame([], "number bigint, reason string")
+    none = blocks.sparkSession.createDataFrame([], "number bigint, last bigint, reason string")
     if prefix is not None:
         if start != prefix["start_block"] or prefix["number"] > end:
             return blocks.sparkSession.createDataFrame(
-                [(start, "range cannot use this folded prefix")], "number bigint, reason string")
+                [(start, end, "range cannot use this folded prefix")], "number bigint, last bigint, reason string")
         start, parent_hash = prefix["number"] + 1, prefix["hash"]
         if start == end + 1:
             same = prefix["hash"] == header["hash"] and prefix["state_root"] == header["state_root"]
             return none if same else blocks.sparkSession.createDataFrame(
-                [(end, "folded prefix differs from header")], "number bigint, reason string")
+                [(end, end, "folded prefix differs from header")], "number bigint, last bigint, reason string")
     inside = blocks.where(F.col("number").between(start, end))
-    return (interval_defects(inside, start, end, parent_hash)
-            .unionByName(metadata_defects(inside, accounts)).unionByName(anchor_defects(inside, header)))
+    single = metadata_defects(inside, accounts).unionByName(anchor_defects(inside, header))
+    return interval_defects(inside, start, end, parent_hash).unionByName(single.withColumn("last", F.col("number")))
 
 
 def require_none(defects: DataFrame, what: str) -> None:
@@ -158,28 +183,16 @@ def last_blocks(batch: DataFrame, last: DataFrame) -> DataFrame:
 
 
 def link_defects(batch: DataFrame, last: DataFrame) -> DataFrame:
-    """Defects of batch(source, number, hash, parent_hash) behind the carried last block per source."""
+    """Defects (source, number, last, reason) of batch(source, number, hash, parent_hash) behind the carried blocks."""
     none = F.lit(None).cast("string")
     carried = last.select("source", F.col("number").alias("last_number"), F.col("hash").alias("last_hash"))
     placed = batch.join(carried, "source", "left")
-    stale = F.col("last_number").isNotNull() & (F.col("number") <= F.col("last_number"))
+    stale = F.coalesce(F.col("number") <= F.col("last_number"), F.lit(False))
     again = (F.col("number") == F.col("last_number")) & (F.col("hash") == F.col("last_hash"))
-    late = placed.where(stale & ~again).select("source", "number", F.lit("conflicting or late block").alias("reason"))
-    fresh = placed.where(~stale)
-    own = fresh.select("source", "number", F.lit(1).alias("own"), "hash", "parent_hash", none.alias("expected"))
-    after = fresh.select("source", "number", "hash").unionByName(last.select("source", "number", "hash")).select(
-        "source", (F.col("number") + 1).alias("number"), F.lit(0).alias("own"), none.alias("hash"),
-        none.alias("parent_hash"), F.col("hash").alias("expected"))
-    grouped = own.unionByName(after).groupBy("source", "number").agg(
-        F.sum("own").alias("rows"), F.min("hash").alias("h1"), F.max("hash").alias("h2"),
-        F.min("parent_hash").alias("p1"), F.max("parent_hash").alias("p2"),
-        F.min("expected").alias("e1"), F.max("expected").alias("e2"))
-    tops = fresh.groupBy("source").agg(F.max("number").alias("top"))
-    reasons = F.array_compact(F.array(
-        F.when((F.col("rows") > 1) & (F.col("h1") != F.col("h2")), F.lit("conflicting or late block")),
-        F.when((F.col("rows") == 0) & (F.col("number") <= F.col("top")), F.lit("missing block")),
-        F.when((F.col("rows") > 0) & F.col("e1").isNotNull()
-               & ((F.col("p1") != F.col("e1")) | (F.col("p2") != F.col("e2"))), F.lit("broken parent"))))
-    found = grouped.join(tops, "source").select("source", "number", reasons.alias("_r")).select(
-        "source", "number", F.explode("_r").alias("reason"))
-    return found.unionByName(late)
+    late = placed.where(stale & ~again).select("source", "number", F.col("number").alias("last"), F.lit("late block").alias("reason"))
+    ends = last.select("source", (F.col("number") + 1).alias("number"), F.lit("after").alias("role"), none.alias("hash"),
+                       none.alias("parent"), F.col("hash").alias("expected"))
+    rows = _announcements(placed.where(~stale), ["source"]).unionByName(ends)
+    # the block before a batch's first one is announced by it, but it may be the carried block
+    known = rows.join(carried, "source", "left").where("role <> 'before' OR last_number IS NULL OR number > last_number")
+    return _judged(known.select(*rows.columns), ["source"], "copies > 1 AND h1 <> h2").unionByName(late)

@@ -39,10 +39,10 @@ e AS (SELECT max(event_id) AS top FROM events)"""
 
 
 @query("interval_defects", f"""WITH {CHAIN}
-SELECT number, 'conflicting block' AS reason FROM bl GROUP BY number HAVING count(*) > 1
-UNION ALL SELECT DISTINCT n, 'missing block' FROM (SELECT number + 1 AS n FROM bl UNION SELECT 0) WHERE n <= (SELECT top FROM e)
-  AND n NOT IN (SELECT number FROM bl)
-UNION ALL SELECT number, 'broken parent' FROM (SELECT a.number FROM bl a JOIN bl b ON a.number = b.number + 1
+SELECT number, number AS last, 'conflicting block' AS reason FROM bl GROUP BY number HAVING count(*) > 1
+UNION ALL SELECT before + 1, number - 1, 'missing block' FROM (SELECT number, lag(number, 1, -1) OVER (ORDER BY number) AS before
+  FROM (SELECT number FROM bl UNION SELECT top + 1 FROM e)) WHERE number > before + 1
+UNION ALL SELECT number, number, 'broken parent' FROM (SELECT a.number FROM bl a JOIN bl b ON a.number = b.number + 1
   WHERE a.parent_hash <> b.hash GROUP BY a.number)""")
 def interval_defects(spark, d):
     top = table(spark, d, "events").agg(F.max("event_id")).first()[0]

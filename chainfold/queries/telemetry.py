@@ -284,20 +284,20 @@ def stream_dedup(spark, d):
     return spark.read.parquet(f"{at}/rows").select("ordinal", "user_id")
 
 
-@query("stream_continuity", """WITH b AS (SELECT CAST(user_id % 4 AS VARCHAR) AS source, event_id // 4 AS number, min(event_id) AS low, max(event_id) AS high FROM events
-  WHERE event_type <> 'error' GROUP BY 1, 2),
-t AS (SELECT source, max(number) AS top FROM b GROUP BY 1), a AS (SELECT source, number + 1 AS number, low, high FROM b)
-SELECT a.source, a.number, 'missing block' AS reason FROM a JOIN t USING (source) LEFT JOIN b USING (source, number)
-  WHERE b.number IS NULL AND a.number <= top
-UNION ALL SELECT source, number, 'conflicting or late block' FROM b WHERE low <> high""")
+@query("stream_continuity", """WITH b AS (SELECT CAST(user_id % 4 AS VARCHAR) AS source, event_id // 4 AS number, min('h' || event_id) AS low, max('h' || event_id) AS high,
+  min('h' || (event_id - 4)) AS low_parent, max('h' || (event_id - 4)) AS high_parent FROM events WHERE event_type <> 'error' GROUP BY 1, 2)
+SELECT source, before + 1 AS number, number - 1 AS last, 'missing block' AS reason
+  FROM (SELECT source, number, lag(number) OVER (PARTITION BY source ORDER BY number) AS before FROM b) WHERE number > before + 1
+UNION ALL SELECT source, number, number, 'conflicting block' FROM b WHERE low <> high
+UNION ALL SELECT b.source, b.number, b.number, 'broken parent' FROM b JOIN b a ON a.source = b.source AND b.number = a.number + 1
+  WHERE b.low_parent <> a.low OR b.high_parent <> a.high""")
 def stream_continuity(spark, d):
     at = fresh_folder(spark)
     word = lambda c: F.concat(F.lit("h"), c.cast("string"))
     blocks = event_stream(spark, d).where("kind <> 'error'").select(
         (F.col("user_id") % 4).cast("string").alias("source"), F.expr("ordinal div 4").alias("number"),
-        word(F.col("ordinal")).alias("hash"), F.lit("").alias("parent_hash"))
-    defects = SC.watch_continuity(spark, blocks, f"{at}/links", f"{at}/offsets")
-    return defects.where("reason <> 'broken parent'")
+        word(F.col("ordinal")).alias("hash"), word(F.col("ordinal") - 4).alias("parent_hash"))
+    return SC.watch_continuity(spark, blocks, f"{at}/links", f"{at}/offsets")
 
 
 @query("stream_current_state", f"""WITH {EV} SELECT address, slot, arg_max(value, (number, ordinal)) AS value,

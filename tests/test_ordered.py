@@ -114,3 +114,15 @@ def test_null_group_is_a_group(spark):
     rows = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0)], "g string, v double")
     got = {r.g: (r.samples, r.mid) for r in O.nearest_rank(rows, ["g"], "v", {"mid": 0.5}).collect()}
     assert got == {"a": (2, 1.0), None: (2, 5.0)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_missing_block_is_in_one_gap(spark, seed):
+    from chainfold.operators.continuity import interval_defects
+    draw = random.Random(seed)
+    there = sorted(draw.sample(range(10, 60), 18 * (seed > 0)))
+    rows = spark.createDataFrame([(n, f"h{n}", f"h{n - 1}") for n in there], "number bigint, hash string, parent_hash string")
+    got = interval_defects(rows, 5, 64).collect()
+    assert {r.reason for r in got} == {"missing block"}
+    assert sorted(n for r in got for n in range(r.number, r.last + 1)) == sorted(set(range(5, 65)) - set(there))
+    assert all(r.number - 1 in there or r.number == 5 for r in got)

@@ -100,9 +100,8 @@ def test_continuity_across_batches(spark, tmp_path):
                          ("b", 8, "z", "x")], schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     got = continuity.watch_continuity(spark, stream, str(tmp_path / "c"), str(tmp_path / "o"))
-    assert sorted((r.source, r.number, r.reason) for r in got.collect()) == [
-        ("a", 2, "conflicting or late block"), ("a", 3, "missing block"), ("a", 5, "broken parent"),
-        ("a", 5, "conflicting or late block")]
+    assert sorted((r.source, r.number, r.last, r.reason) for r in got.collect()) == [
+        ("a", 2, 2, "late block"), ("a", 3, 3, "missing block"), ("a", 5, 5, "broken parent"), ("a", 5, 5, "late block")]
 
 
 def test_current_state_versions(spark, tmp_path):
