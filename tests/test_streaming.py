@@ -69,17 +69,26 @@ def test_repeated_batch_is_harmless(spark, tmp_path):
 
 
 def test_replay_in_chunks_equals_one_pass(spark, tmp_path):
+    """Blocks beyond the stop and behind a gap wait; the offsets stay the same throughout."""
     source, history, prefix = (str(tmp_path / n) for n in ("in", "history", "prefix"))
-    feed(spark, source, lifecycle_rows(), S.ENVELOPE)
-    blocks = W.stream_files(spark, source, S.ENVELOPE, files_per_batch=1)
-    args = (spark, blocks, history, prefix, str(tmp_path / "o"), [A], 1)
-    replay.replay(*args, stop=3).awaitTermination()
-    assert store.current_generation(spark, prefix)["header"]["number"] == 2
-    replay.replay(*args[:4], str(tmp_path / "o2"), [A], 1).awaitTermination()      # resumed from another offset log
+    rows = lifecycle_rows()
+    blocks = lambda: W.stream_files(spark, source, S.ENVELOPE, files_per_batch=1)
+    run = lambda stop=None: replay.replay(spark, blocks(), history, prefix, str(tmp_path / "o"), [A], 1, stop).awaitTermination()
+    top = lambda: store.current_generation(spark, prefix)["header"]["number"]
+    feed(spark, source, [rows[0], rows[1], rows[3]], S.ENVELOPE)
+    run(2)
+    assert top() == 1
+    run()
+    assert top() == 2                                   # block 3 is missing
+    feed(spark, source, [rows[2], rows[1]], S.ENVELOPE)
+    run()
     record = store.current_generation(spark, prefix)
     assert record["header"]["number"] == 4 and record["nonzero_slots"] == 2
     got = {int(r.slot, 16): int(r.value, 16) for r in store.generation_storage(spark, prefix, record["generation"]).collect()}
     assert got == {2: 22, 3: 33}
+    feed(spark, source, [rows[1][:1] + (w(77),) + rows[1][2:]], S.ENVELOPE)
+    with pytest.raises(Exception):
+        run()                                           # another block 2 than the one folded
 
 
 def test_late_change_does_not_win(spark, tmp_path):
