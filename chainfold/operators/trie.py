@@ -200,7 +200,8 @@ def storage_roots(state: DataFrame, bucket_slots: int = BUCKET_SLOTS) -> DataFra
     """Root and slot count of every account in state(address, slot, value)."""
     counts = state.groupBy("address").agg(F.count("*").alias("n"))
     power = F.ceil(F.log(16.0, F.greatest(F.col("n") / F.lit(float(bucket_slots)), F.lit(1.0))))
-    depths = counts.select("address", F.least(power, F.lit(MAX_DEPTH)).cast("int").alias("depth"))
+    depths = counts.select("address", F.when(power > MAX_DEPTH, F.raise_error(F.lit(
+        "an account has more slots than the deepest buckets hold"))).otherwise(power).cast("int").alias("depth"))
     leaves = (hashed_slots(state).join(depths, "address")
               .withColumn("prefix", F.expr("substring(key, 1, depth)"))
               .select("address", "depth", "prefix", F.expr("substring(key, depth + 1, 64)").alias("path"),

@@ -222,11 +222,11 @@ def partition_bounds(spark, d):
 
 # ---------------------------------------------------------------- streams
 
-def event_stream(spark, d):
-    """The event file as a stream, with the views' columns."""
+def event_stream(spark, d, files: str | None = None):
+    """The event file as a stream, with the views' columns; or the files of ``delivered``, one in each micro-batch."""
     schema = table(spark, d, "events").schema
-    raw = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 64)
-           .parquet(d))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1 if files else 64)
+    raw = reader.parquet(files) if files else reader.option("pathGlobFilter", "events.parquet").parquet(d)
     k = F.get_json_object("props", "$.k").cast("bigint")
     return raw.select(
         F.expr("event_id div 100").alias("number"), F.col("event_id").alias("ordinal"),
@@ -239,10 +239,18 @@ def fresh_folder(spark) -> str:
     return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
+def delivered(spark, d) -> str:
+    """All events in ten files by range of ids, which arrive in any order, then a tenth of the events once more."""
+    at, rows = f"{fresh_folder(spark)}/in", table(spark, d, "events")
+    rows.repartitionByRange(10, "event_id").write.parquet(at)
+    rows.where("event_id % 10 = 3").write.mode("append").parquet(at)
+    return at
+
+
 @query("stream_fold_state", f"WITH {EV}, {LATEST} SELECT * FROM st WHERE value <> '{X.ZERO_WORD}'")
 def stream_fold_state(spark, d):
     at = fresh_folder(spark)
-    folded = RP.fold_changes(spark, event_stream(spark, d), "signup", f"{at}/state", f"{at}/offsets")
+    folded = RP.fold_changes(spark, event_stream(spark, d, delivered(spark, d)), "signup", f"{at}/state", f"{at}/offsets")
     return folded.select("address", "slot", "value")
 
 
@@ -251,7 +259,7 @@ def stream_fold_state(spark, d):
 def stream_follow(spark, d):
     """Every block at or below the last final one shows; a second call over the same range adds nothing."""
     at = fresh_folder(spark)
-    blocks = event_stream(spark, d).select(
+    blocks = event_stream(spark, d, delivered(spark, d)).select(
         F.col("ordinal").alias("number"), F.sha2(F.concat(F.lit("b"), F.col("ordinal").cast("string")), 256).alias("hash"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
         (F.col("ordinal") - F.when(F.col("kind") == "error", 1).otherwise(0)).alias("finalized_number"))
@@ -264,7 +272,7 @@ def stream_follow(spark, d):
 def stream_ingest_grows(spark, d):
     """Half of the range, then all of it, on one checkpoint."""
     at = fresh_folder(spark)
-    blocks = event_stream(spark, d).select(
+    blocks = event_stream(spark, d, delivered(spark, d)).select(
         F.col("ordinal").alias("number"), F.sha2(F.concat(F.lit("b"), F.col("ordinal").cast("string")), 256).alias("hash"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"))
     stop = table(spark, d, "events").agg(F.max("event_id")).first()[0] + 1
@@ -316,7 +324,7 @@ def stream_current_state(spark, d):
             F.col("number").alias("block_num"), "number", F.lit("").alias("hash"), F.lit("").alias("state_root"))
         CU.merge_batch(spark, f"{at}/state", batch_id, C.current_storage(rows), accounts, head)
 
-    event_stream(spark, d).writeStream.option("checkpointLocation", f"{at}/offsets").foreachBatch(merge).trigger(
+    event_stream(spark, d, delivered(spark, d)).writeStream.option("checkpointLocation", f"{at}/offsets").foreachBatch(merge).trigger(
         availableNow=True).start().awaitTermination()
     return CU.read_current(spark, f"{at}/state")["storage"]
 
