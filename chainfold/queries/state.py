@@ -380,6 +380,20 @@ def storage_roots(spark, d):
     return roots(state(spark, d))
 
 
+@query("storage_root_splits", f"""{NONZERO} SELECT address, count(*) AS nonzero_slots, true AS same, true AS well_formed,
+  false AS same_without_first FROM nz GROUP BY address""")
+def storage_root_splits(spark, d):
+    """An account's root does not depend on how its slots are split, and changes when one slot goes."""
+    from chainfold.operators.trie import account_roots, storage_roots as roots
+    slots = state(spark, d)
+    one, two = roots(slots), roots(slots, 3).select("address", F.col("storage_root").alias("other"))
+    first = slots.groupBy("address").agg(F.min("slot").alias("slot"))
+    less = account_roots(first, slots.join(first, ["address", "slot"], "left_anti")).select("address", F.col("storage_root").alias("less"))
+    return one.join(two, "address").join(less, "address").select(
+        "address", "nonzero_slots", (F.col("storage_root") == F.col("other")).alias("same"),
+        X.is_fixed_hex("storage_root", 32).alias("well_formed"), (F.col("storage_root") == F.col("less")).alias("same_without_first"))
+
+
 # ---------------------------------------------------------------- current state
 
 @query("current_storage", f"""WITH {EV} SELECT address, slot, arg_max(value, (number, ordinal)) AS value,
