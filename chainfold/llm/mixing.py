@@ -11,6 +11,7 @@ from chainfold.llm.common import query, stored, table
 STEPS = 16          # points tried in one job
 DIGITS = 6          # the exponent is rounded to so many decimals
 BLOCK_TOKENS = 100_000
+STRETCH = 4_096     # blocks whose sums one window adds up
 SEED = "mix"
 
 
@@ -69,7 +70,8 @@ def mixture(docs: DataFrame, id: str = "doc_id", source: str = "source", text: s
     (a millionth is added first, so that a whole number stays whole). In each
     epoch its documents are dealt anew into blocks of about ``block_tokens`` words by a hash, and ordered by it within
     a block. Full epochs take all documents; the last takes whole blocks while they fit, then from the next block the
-    documents before the first that does not fit. No window is wider than the blocks of a source or one block.
+    documents before the first that does not fit. No window is wider than one block, STRETCH blocks, or the stretches of a
+    source.
 
     A null source is a source of its own. A null or empty text has no words: its source may get weight 0, which draws
     nothing. Rows that repeat an id are drawn alike where both fit; a null id hashes as no text. An empty table gives no row.
@@ -92,9 +94,15 @@ def mixture(docs: DataFrame, id: str = "doc_id", source: str = "source", text: s
     columns = ["doc_id", "source", "n_tokens", "epoch", "block", "draw_key"]
     whole = dealt.where("epoch < full").select(*columns)
     last = dealt.where("epoch = full AND rest > 0")
-    by_block = last.groupBy("s", "block", "rest").agg(F.sum("n_tokens").alias("inside"))
-    before = F.sum("inside").over(Window.partitionBy("s").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    room = by_block.withColumn("left", F.col("rest") - F.coalesce(before, F.lit(0))).where("left >= 0").select(
+    by_block = stored(last.groupBy("s", "block", "rest").agg(F.sum("n_tokens").alias("inside")).withColumn(
+        "stretch", F.floor(F.col("block") / STRETCH)))
+
+    def before(value: str, *keys: str) -> Column:
+        return F.coalesce(F.sum(value).over(Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    stretches = by_block.groupBy("s", "stretch").agg(F.sum("inside").alias("all")).select(
+        F.col("s").alias("ss"), F.col("stretch").alias("at"), before("all", "s", "stretch").alias("ahead"))
+    room = by_block.join(stretches, F.col("s").eqNullSafe(F.col("ss")) & (F.col("stretch") == F.col("at"))).withColumn(
+        "left", F.col("rest") - F.col("ahead") - before("inside", "s", "stretch", "block")).where("left >= 0").select(
         F.col("s").alias("bs"), F.col("block").alias("bb"), "inside", "left")
     met = last.join(room, F.col("s").eqNullSafe(F.col("bs")) & (F.col("block") == F.col("bb")))
     upto = F.sum("n_tokens").over(Window.partitionBy("s", "block").orderBy("draw_key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0))

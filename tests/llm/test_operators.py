@@ -245,6 +245,14 @@ def test_mixture_keeps_budgets(spark):
     assert mixing.mixed_documents(frame(spark, EDGES)).count() > 0
 
 
+def test_mixture_does_not_depend_on_stretches(spark, monkeypatch):
+    docs = frame(spark, EDGES + [(100 + i, " ".join(["w"] * (1 + i % 9))) for i in range(300)])
+    ask = lambda: sorted(map(str, mixing.mixture(docs, block_tokens=40, entropy_share=None, max_repeats=2.5).collect()))
+    whole = ask()
+    monkeypatch.setattr(mixing, "STRETCH", 3)
+    assert whole and ask() == whole
+
+
 def test_toxicity(spark):
     draw = random.Random(9)
     bad, junk = ["grunk", "blarg"], ["@@@", "|||"]
