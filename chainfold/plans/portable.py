@@ -1,7 +1,8 @@
 """Portable export of a checkpoint, its audit, and restore.
 
-An export is a folder: ``pages/page=N`` (gzip JSON lines, one account per page), ``accounts``,
-``proofs``, ``page_facts`` and, last, ``manifest``.
+An export is a folder: ``pages`` (gzip JSON lines; a page holds slots of one account and lies in one file, a file
+holds up to PAGES_PER_FILE pages in order), ``accounts``, ``proofs``, ``page_facts``, ``files`` and, last, ``manifest``.
+The number of folders does not depend on the number of pages.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from chainfold.operators.ordered import running_total
 from chainfold.plans import checkpoint, store
 from chainfold.sources import files, folders
 
-FORMAT = "chainfold-checkpoint-v1"
+FORMAT = "chainfold-checkpoint-v2"
+PAGES_PER_FILE = 1_000
 ACCOUNT_LINE = ("address string, exists boolean, nonce string, balance string, code_hash string, code string, "
                 "storage_root string, nonzero_slots bigint")
-FACT_LINE = ("page bigint, address string, account_page bigint, rows bigint, first_slot string, last_slot string, "
-             "file string, bytes bigint, sha256 string")
+FACT_LINE = "page bigint, address string, account_page bigint, rows bigint, first_slot string, last_slot string"
+FILE_LINE = "file string, bytes bigint, sha256 string, first_page bigint, last_page bigint"
 PROOF_LINE = ("address string, proof_address string, nonce string, balance string, storageHash string, "
               "codeHash string, accountProof array<string>, code string")
 
@@ -32,10 +34,17 @@ def account_lines(accounts: DataFrame) -> DataFrame:
                              for n in S.EXPORT_ACCOUNT_FIELDS])
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split(" ")[0] for c in schema.split(", ")]
+
+
+def _borders(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("file").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"))
+
+
 def global_pages(storage: DataFrame, page_size: int) -> tuple[DataFrame, DataFrame]:
     """Rows with a page number over all accounts, and the page facts, in (account, slot) order."""
-    from chainfold.session import cut
-    pages = cut(G.numbered_pages(storage, page_size))
+    pages = G.numbered_pages(storage, page_size)      # its ranged rows are stored, so both uses see the same pages
     facts = G.page_facts(pages).withColumnRenamed("page", "account_page")
     # One row per account decides where its pages start.
     sizes = facts.groupBy("address").agg(F.count("*").alias("n")).withColumn("all", F.lit(0))
@@ -56,15 +65,16 @@ def export_checkpoint(spark: SparkSession, root: str, snapshot_id: str, path: st
     if folders.exists(spark, path):
         raise FileExistsError(path)
     rows, facts = global_pages(store.snapshot_storage(spark, root, snapshot_id), page_size)
-    # All rows of a page meet in one task, sorted; a page is bounded by its size.
-    (rows.repartition("page").sortWithinPartitions("page", "slot").write.partitionBy("page")
+    facts.select(*_names(FACT_LINE)).write.json(f"{path}/page_facts")
+    pages = files.json_rows(spark, f"{path}/page_facts", FACT_LINE).count()
+    # Each file's pages meet in one task; no sampling pass, and a task that runs again writes the same file.
+    (rows.repartitionById(max(1, -(-pages // PAGES_PER_FILE)), F.floor(F.col("page") / PAGES_PER_FILE).cast("int"))
+     .sortWithinPartitions("page", "slot").select("page", "address", "slot", "value").write
      .option("compression", "gzip").json(f"{path}/pages"))
     account_lines(store.snapshot_accounts(spark, root, snapshot_id)).write.json(f"{path}/accounts")
-    proofs.select(*[c.split(" ")[0] for c in PROOF_LINE.split(", ")]).write.json(f"{path}/proofs")
-    written = files.file_facts(spark, f"{path}/pages") if folders.partition_values(spark, f"{path}/pages", "page") else \
-        spark.createDataFrame([], "page bigint, file string, bytes bigint, sha256 string")
-    facts.join(written.withColumn("page", F.col("page").cast("bigint")), "page", "left").select(
-        *[c.split(" ")[0] for c in FACT_LINE.split(", ")]).write.json(f"{path}/page_facts")
+    proofs.select(*_names(PROOF_LINE)).write.json(f"{path}/proofs")
+    files.file_facts(spark, f"{path}/pages").join(_borders(page_table(spark, path)), "file", "left").select(
+        *_names(FILE_LINE)).write.json(f"{path}/files")
     layout = {"format": FORMAT, "status": "ready", "page_size": page_size, "checkpoint": record}
     result = verify_layout(spark, path, layout)
     spark.createDataFrame([(store.canonical(layout),)], "manifest string").coalesce(1).write.text(f"{path}/manifest")
@@ -78,8 +88,6 @@ def read_layout(spark: SparkSession, path: str) -> dict:
 
 
 def page_table(spark: SparkSession, path: str) -> DataFrame:
-    if not folders.partition_values(spark, f"{path}/pages", "page"):
-        return spark.createDataFrame([], "page bigint, file string, value string")
     return files.page_lines(spark, f"{path}/pages")
 
 
@@ -91,27 +99,27 @@ def layout_violations(spark: SparkSession, path: str) -> DataFrame:
     rows = files.page_rows(lines)
     found = rows.groupBy("page").agg(
         F.count("*").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high"),
-        F.min("address").alias("a"), F.max("address").alias("b"))
+        F.min("address").alias("a"), F.max("address").alias("b"), F.min("file").alias("in"), F.max("file").alias("also_in"))
     declared = facts.alias("f").join(found.alias("g"), "page", "full")
     checks = [
         ("unlisted page", F.col("f.rows").isNull()), ("missing page", F.col("g.n").isNull()),
         ("row count", F.col("f.rows") != F.col("g.n")),
         ("page border", (F.col("f.first_slot") != F.col("g.low")) | (F.col("f.last_slot") != F.col("g.high"))),
+        ("page in several files", F.col("g.in") != F.col("g.also_in")),
         ("mixed or foreign account", (F.col("g.a") != F.col("g.b")) | (F.col("f.address") != F.col("g.a")))]
     wrong = declared.select("page", F.array_compact(F.array(*[F.when(c, F.lit(t)) for t, c in checks])).alias("r")).select(
         "page", F.explode("r").alias("reason"))
     twice = Q.duplicate_keys(rows, ["page", "address", "slot"]).select("page", F.lit("doubled slot").alias("reason"))
-    # A page is one file, so position in the file is order within the page.
+    # A page lies in one file, so position in the file is order within the page.
     inside = rows.withColumn("place", F.monotonically_increasing_id())
     unordered = Q.order_violations(inside, ["page"], ["place"], "slot").select(
         "page", F.lit("unordered slots").alias("reason")).distinct()
-    disk = files.file_facts(spark, f"{path}/pages").withColumn("page", F.col("page").cast("bigint")) \
-        if folders.partition_values(spark, f"{path}/pages", "page") else \
-        spark.createDataFrame([], "page bigint, file string, bytes bigint, sha256 string")
-    f, k = facts.alias("f"), disk.alias("k")
-    altered = f.join(k, ["page", "file"], "full").where(
-        "NOT (f.bytes <=> k.bytes AND f.sha256 <=> k.sha256)").select(
-        "page", F.lit("file size or checksum").alias("reason"))
+    f = files.json_rows(spark, f"{path}/files", FILE_LINE).alias("f")
+    k = files.file_facts(spark, f"{path}/pages").join(_borders(lines), "file", "left").alias("k")
+    altered = f.join(k, "file", "full").select(
+        F.coalesce("f.first_page", "k.first_page").alias("page"), F.explode(F.array_compact(F.array(
+            F.when(F.expr("NOT (f.bytes <=> k.bytes AND f.sha256 <=> k.sha256)"), F.lit("file size or checksum")),
+            F.when(F.expr("NOT (f.first_page <=> k.first_page AND f.last_page <=> k.last_page)"), F.lit("pages of a file"))))).alias("reason"))
     gaps = N.interval_defects(
         facts.select(F.col("page").alias("number"), F.lit("").alias("hash"), F.lit("").alias("parent_hash")), 0,
         max((facts.agg(F.max("page")).first()[0] or 0), 0)).select(

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 from chainfold.functions import scalars as X
 
 MAX_LINE_BYTES = 1_024
-PAGE_FIELDS = ["address", "slot", "value"]
+PAGE_FIELDS = ["address", "page", "slot", "value"]
 
 
 def json_document(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -76,8 +76,8 @@ def read_log(spark: SparkSession, path: str, shape: str) -> DataFrame:
 # ---------------------------------------------------------------- portable pages
 
 def page_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw page lines with the folder's page number and the file they came from."""
-    return spark.read.text(path).select(F.col("page").cast("bigint").alias("page"),
+    """Raw page lines with the page number they hold (NULL if none can be read) and the file they came from."""
+    return spark.read.text(path).select(F.expr("try_cast(get_json_object(value, '$.page') AS bigint)").alias("page"),
                                         F.col("_metadata.file_name").alias("file"), "value")
 
 
@@ -87,6 +87,7 @@ def page_problem() -> Column:
     keys = F.array_sort(F.map_keys(fields))
     return (F.when(F.octet_length("value") > MAX_LINE_BYTES, "oversized row")
             .when(fields.isNull() | (keys != F.array(*[F.lit(n) for n in PAGE_FIELDS])), "unexpected fields")
+            .when(~fields["page"].rlike("^(0|[1-9][0-9]{0,17})$"), "malformed page number")
             .when(~X.is_fixed_hex(fields["slot"], 32) | ~X.is_fixed_hex(fields["value"], 32), "malformed word"))
 
 
@@ -96,7 +97,7 @@ def page_rows(lines: DataFrame) -> DataFrame:
 
 
 def file_facts(spark: SparkSession, path: str) -> DataFrame:
-    """Length and sha256 of every file below the folder. Files here are pages, so each is small."""
+    """Length and sha256 of every page file of a folder. A file holds a bounded number of pages, so it fits a task."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("page", F.element_at(F.split("path", "/"), -1).alias("file"),
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"),
                         F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))

@@ -160,21 +160,38 @@ def export_and_restore(spark, root, record, proofs, tmp_path):
     assert slots(spark, fresh, restored["snapshot_id"]) == {(A, 2): 9, (B, 7): 11}
     import glob
     import gzip
-    page = glob.glob(f"{path}/pages/page=0/*.gz")[0]
+    (page,) = glob.glob(f"{path}/pages/*.gz")       # both pages in one file
     text = gzip.open(page, "rt").read()
-    assert set(json.loads(text)) == {"address", "slot", "value"}
+    first, second = map(json.loads, text.splitlines())
+    assert set(first) == {"page", "address", "slot", "value"} and (first["page"], second["page"]) == (0, 1)
     with gzip.open(page, "wt") as f:
         f.write(text.replace(w(9), w(8)))
-    for name in glob.glob(f"{path}/pages/page=0/.*.crc"):
+    for name in glob.glob(f"{path}/pages/.*.crc"):
         folders.delete(spark, name)
     reasons = {r.reason for r in P.layout_violations(spark, path).collect()}
     assert "file size or checksum" in reasons
     with gzip.open(page, "wt") as f:
         f.write(text + text.replace('"value"', '"extra":"1","value"'))
     reasons = {r.reason for r in P.layout_violations(spark, path).collect()}
+    assert "pages of a file" not in reasons
     assert {"unexpected fields", "row count", "doubled slot", "unordered slots"} <= reasons
     with pytest.raises(ValueError, match="export layout"):
         P.verify_export(spark, path)
+    with gzip.open(f"{path}/pages/part-x.json.gz", "wt") as f:     # a page again in a file nobody declared, and one out of range
+        f.write(text.splitlines()[0] + "\n" + text.splitlines()[1].replace('"page":1', '"page":7') + "\n")
+    reasons = {r.reason for r in P.layout_violations(spark, path).collect()}
+    assert {"page in several files", "unlisted page", "pages of a file"} <= reasons
+
+
+def test_export_files_hold_bounded_pages(spark, tmp_path, monkeypatch):
+    """Pages stay whole in files of at most PAGES_PER_FILE pages; an empty state has no page."""
+    monkeypatch.setattr(P, "PAGES_PER_FILE", 4)
+    rows = [(a, w(i), w(i + 1)) for a, n in ((A, 61), (B, 3)) for i in range(n)]
+    numbered, facts = P.global_pages(spark.createDataFrame(rows, "address string, slot string, value string"), 5)
+    assert facts.count() == 14 and numbered.count() == 64
+    spread = numbered.repartitionById(4, F.floor(F.col("page") / 4).cast("int")).groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min("page").alias("low"), F.max("page").alias("high"), F.count_distinct("address").alias("accounts")).orderBy("p").collect()
+    assert [(r.low, r.high) for r in spread] == [(0, 3), (4, 7), (8, 11), (12, 13)]
 
 
 def test_publish_is_last(spark, tmp_path):

@@ -116,11 +116,13 @@ def test_json_documents_and_series(spark, tmp_path):
 
 
 def test_page_problems(spark):
-    good = '{"address":"a","slot":"0x%064x","value":"0x%064x"}' % (1, 2)
-    lines = [good, good[:-1] + ',"x":1}', '{"address":"a","slot":"0x1","value":"0x2"}', "{", good + " " * 1000]
+    good = '{"page":3,"address":"a","slot":"0x%064x","value":"0x%064x"}' % (1, 2)
+    lines = [good, good[:-1] + ',"x":1}', '{"page":3,"address":"a","slot":"0x1","value":"0x2"}', "{", good + " " * 1000,
+             good.replace("3", "-3", 1), good.replace('"page":3,', "")]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
     got = [r.p for r in df.select("i", files.page_problem().alias("p")).orderBy("i").collect()]
-    assert got == [None, "unexpected fields", "malformed word", "unexpected fields", "oversized row"]
+    assert got == [None, "unexpected fields", "malformed word", "unexpected fields", "oversized row",
+                   "malformed page number", "unexpected fields"]
 
 
 def test_event_log_and_tables(spark):
