@@ -18,7 +18,7 @@ def forest(close: Callable[[int], np.ndarray], n: int) -> list[tuple[int, int]]:
         if not left[first]:
             continue
         left[first], open_ = False, [first]
-        while open_:
+        while open_ and left.any():
             i = open_.pop()
             new = np.flatnonzero(close(i) & left)
             left[new] = False

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 
@@ -12,13 +13,16 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from chainfold.llm.buckets import linked
-from chainfold.llm.common import MIX, arrow_pass, mix, query, stored, table, text_bytes
+from chainfold.llm.common import MIX, arrow_pass, mix, query, shingles, stored, table, text_bytes, word_hashes
 from chainfold.llm.components import components
+from chainfold.llm.passages import SIMILARITY, alike
 
 SEED = 42
 PIVOTS = 16
 ROWS = 1 << 15
 LANES = np.arange(64, dtype=np.uint64) * MIX
+CELLS = 24              # bits of a cell in the bitmap of texts to compare
+SETS = 256              # shingle sets that a block holds
 
 
 def fingerprint(text: bytes, words: int = 4, lanes: int = 1) -> bytes:
@@ -46,6 +50,22 @@ def fingerprint(text: bytes, words: int = 4, lanes: int = 1) -> bytes:
     return np.packbits(2 * ones > len(spans)).tobytes()
 
 
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The distinct shingles of a text as sorted 64-bit hashes, A-Z as a-z; fewer words than a shingle count as one shingle."""
+    return np.unique(shingles(word_hashes(text), words))
+
+
+def set_print(distinct: np.ndarray, lanes: int) -> bytes:
+    """A SimHash of 64 * lanes bits over distinct shingles, each counted once; no shingle gives zero."""
+    ones = np.zeros(64 * lanes, np.int64)
+    for at in range(0, len(distinct), ROWS):
+        part = distinct[at:at + ROWS]
+        for lane in range(lanes):
+            value = mix(part + LANES[lane]).astype(">u8")
+            ones[64 * lane:64 * lane + 64] += np.unpackbits(value.view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(distinct)).tobytes()
+
+
 def words_of(prints: list[bytes] | np.ndarray) -> np.ndarray:
     """Fingerprints as rows of 64-bit numbers."""
     size = len(prints[0]) // 8
@@ -108,21 +128,36 @@ def exact_tables(count: int, bits: int, max_bits: int) -> list[np.ndarray]:
     return [np.concatenate(chosen) for chosen in itertools.combinations(blocks, same)]
 
 
-def sampled_tables(count: int, bits: int, typical_bits: int, recall: float) -> list[np.ndarray]:
-    """Random bit positions of each table, as many tables as find a pair ``typical_bits`` apart with probability ``recall``."""
+def sampled_tables(count: int, bits: int, max_bits: int, recall: float) -> list[np.ndarray]:
+    """Random bit positions of each table, as many tables as find a pair at SIMILARITY with probability ``recall``.
+
+    The distance of such a pair is binomial. The mean goes over all distances up to ``max_bits``; what lies beyond is missed
+    and counts against the recall. Wider tables, for more rows, agree less often, so there are more of them.
+    """
     width = min(44, max(18, math.ceil(math.log2(max(2, count))) + 2))
-    hit = (1 - typical_bits / bits) ** width
+    share = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
+    chance = np.array([math.comb(bits, d) * share ** d * (1 - share) ** (bits - d) for d in range(max_bits + 1)])
+    hit = np.array([math.prod(max(0, bits - d - k) / (bits - k) for k in range(width)) for d in range(max_bits + 1)])
+    found = lambda tables: chance @ (1 - (1 - hit) ** tables)
+    if chance.sum() <= recall:
+        raise ValueError("max_bits is too small for this recall")
+    low, high = 0, 1
+    while found(high) < recall:
+        low, high = high, 2 * high
+    while high - low > 1:
+        half = (low + high) // 2
+        low, high = (low, half) if found(half) >= recall else (half, high)
     draw = np.random.default_rng(SEED)
-    return [np.sort(draw.choice(bits, width, replace=False)) for _ in range(math.ceil(math.log(1 - recall) / math.log(1 - hit)))]
+    return [np.sort(draw.choice(bits, width, replace=False)) for _ in range(high)]
 
 
-def near_edges(prints: DataFrame, lanes: int, max_bits: int, typical_bits: int | None = None, recall: float = 1.0) -> DataFrame:
+def near_edges(prints: DataFrame, lanes: int, max_bits: int, recall: float | None = None) -> DataFrame:
     """Edges (a, b) of node ids that connect the fingerprints of ``prints`` (id, p) within ``max_bits`` of each other.
 
-    Without ``typical_bits`` every such pair is found; else a pair that far apart with probability ``recall``.
+    Without ``recall`` every such pair is found; else one whose texts are at SIMILARITY with that probability.
     """
     count, bits = prints.count(), 64 * lanes
-    tables = exact_tables(count, bits, max_bits) if typical_bits is None else sampled_tables(count, bits, typical_bits, recall)
+    tables = exact_tables(count, bits, max_bits) if recall is None else sampled_tables(count, bits, max_bits, recall)
     marks = np.arange(1, len(tables) + 1, dtype=np.uint64) * MIX
 
     def keys(batch: pa.RecordBatch) -> dict:
@@ -181,19 +216,60 @@ def op9_simhash_pivots(spark, d):
     return near_duplicates(table(spark, d, "documents"))
 
 
+def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the distinct shingles of the texts of ``docs`` (mark, text) that ``wanted`` (node, mark) asks for.
+
+    A bitmap of fixed size goes to tasks ahead, so that only texts it lets through are cut, and no text is shuffled.
+    """
+    cell = F.shiftrightunsigned("mark", 64 - CELLS)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(mark, {64 - CELLS}) & 63 as int))")
+    bitmap = np.zeros(1 << (CELLS - 6), np.uint64)
+    for r in wanted.groupBy(F.shiftright(cell, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).collect():
+        bitmap[r.word] = np.uint64(r.bits & 0xFFFFFFFFFFFFFFFF)
+    held = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        at = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - CELLS)
+        hit = np.flatnonzero(held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1))
+        texts = batch.column(1)
+        return {"mark": batch.column(0).take(pa.array(hit)),
+                "shingles": [shingle_set(texts[int(i)].as_py(), words).view(np.int64) for i in hit]}
+    cut_ = arrow_pass(docs, "mark bigint, shingles array<bigint>", cut)
+    asked = wanted.select("node", F.col("mark").alias("m"))
+    return cut_.join(asked, F.col("mark") == F.col("m")).select("node", "shingles").dropDuplicates(["node"])
+
+
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, lanes: int = 4,
-             max_bits: int = 46, typical_bits: int = 39, recall: float = 0.97) -> DataFrame:
+             max_bits: int = 57, recall: float = 0.97) -> DataFrame:
     """The documents that stay when one document of each group of near copies is kept, that of the smallest id.
 
-    Defaults suit a Jaccard similarity of 0.8 of five-word shingles: sets with that overlap have an angle of 0.476, so
-    15 % of the bits differ on average, 39 of 256; up to 46 are let through for chance, and the tables find a pair 39 bits
-    apart with probability ``recall``, closer ones more surely. Ties of the id are broken by the text; rows that repeat both
-    stay together. Null counts as empty text, a null id sorts first. All columns are kept.
+    Two texts are near copies if the sets of their five-word shingles have an exact Jaccard similarity of SIMILARITY (0.8) or
+    more; groups are the components of such pairs. Fingerprints of the sets only find candidates: at that similarity the
+    angle is 0.476, so 39 of 256 bits differ on average, and ``max_bits`` leaves out one such pair in a thousand. The tables find
+    a pair at 0.8 with probability ``recall``, whatever the row count, closer ones more surely. All pairs of texts that
+    candidates connect, over whatever chain, are compared exactly; equal sets need no look.
+
+    Ties of the id are broken by the text; rows that repeat both stay together. Null counts as empty text, a null id sorts
+    first; texts without words are copies of each other. All columns are kept.
     """
     mark = F.xxhash64(F.col(id).cast("string"), text_bytes(text))
-    prints = stored(with_fingerprint(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), "text", "p", words, lanes)
-                    .select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text_bytes("text")).alias("mark"), "p"))
-    named = grouped(prints, F.struct("doc_id", "mark"), lanes=lanes, max_bits=max_bits, typical_bits=typical_bits, recall=recall)
-    go = prints.join(named, F.col("p") == F.col("q")).where("mark != best.mark").select(F.col("mark").alias("__gone")).distinct()
+
+    def printed(batch: pa.RecordBatch) -> dict:
+        sets = [shingle_set(t, words) for t in batch.column(2).to_pylist()]
+        return {"doc_id": batch.column(0), "mark": batch.column(1), "p": [set_print(s, lanes) for s in sets],
+                "content": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]}
+    kind = docs.select(F.col(id).alias("id")).schema["id"].dataType.simpleString()
+    prints = stored(arrow_pass(docs.select(F.col(id), mark, text_bytes(text)), f"doc_id {kind}, mark bigint, p binary, content binary", printed))
+    nodes = stored(prints.groupBy("content").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("p").alias("p"))
+                   .withColumn("id", F.monotonically_increasing_id()))
+    loose = stored(components(near_edges(nodes, lanes, max_bits, recall), "a", "b").select("root", F.col("node").alias("id")).join(
+        nodes.select("id", F.col("first.mark").alias("mark")), "id").select("root", F.col("id").alias("node"), "mark"))
+    sets = stored(sets_of(docs.select(mark.alias("mark"), text_bytes(text).alias("text")), loose.select("node", "mark"), words))
+    edges = linked(loose.select(F.col("root").alias("key"), "node"), sets.withColumnRenamed("node", "id"), alike, block=SETS)
+    roots = components(edges, "a", "b")
+    rooted = nodes.join(roots, F.col("id") == F.col("node"), "left").select("content", "first", F.coalesce("root", "id").alias("root"))
+    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("best"))
+    named = rooted.join(least, F.col("root") == F.col("r")).select(F.col("content").alias("c"), "best")
+    go = prints.join(named, F.col("content") == F.col("c")).where("mark != best.mark").select(F.col("mark").alias("__gone")).distinct()
     return docs.withColumn("__mark", mark).join(go.hint("shuffle_hash"), F.col("__mark") == F.col("__gone"), "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -110,6 +110,39 @@ def test_near_copies_go(spark, corpus):
     assert set(range(40)) <= kept and not kept & set(range(200, 206)) and set(range(300, 305)) <= kept
 
 
+def jaccard(a, b, k=5):
+    a, b = ({tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} for w in (words(a), words(b)))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_are_verified(spark):
+    """A repeated line in unrelated texts and pairs just under 0.8 are no near copies; those at 0.8 and above are, also in chains."""
+    draw = random.Random(8)
+    line = sentence(draw, 12, 2000)
+    rows = [(i, f"{sentence(draw, 40)} " + f"{line} " * 60) for i in range(4)]
+    whole = [f"u{n}" for n in range(204)]
+    rows += [(10, " ".join(whole)), (11, " ".join(whole[:184] + [f"v{n}" for n in range(20)])),       # 180 of 220
+             (12, " ".join(whole[:160] + [f"x{n}" for n in range(44)])),                               # 156 of 244
+             (20, "a few words"), (21, "A  few words"), (22, "a few other words")]
+    t = dict(rows)
+    assert jaccard(t[10], t[11]) >= 0.8 > jaccard(t[10], t[12]) and jaccard(t[0], t[1]) < 0.8
+    kept = {r.doc_id for r in simhash.keep_one(frame(spark, rows)).collect()}
+    assert kept == {0, 1, 2, 3, 10, 12, 20, 22}
+
+
+def test_candidate_tables_keep_their_recall():
+    """Sampled tables find pairs at 0.8 as surely for many rows as for few."""
+    share = math.acos(2 * 0.8 / 1.8) / math.pi
+    for count in (10, 10_000, 3_000_000):
+        tables = simhash.sampled_tables(count, 256, 57, 0.97)
+        draw = random.Random(count)
+        found, pairs = 0, 300
+        for _ in range(pairs):
+            differ = {b for b in range(256) if draw.random() < share}
+            found += len(differ) <= 57 and any(differ.isdisjoint(t.tolist()) for t in tables)
+        assert found >= 0.94 * pairs
+
+
 def test_passages(spark, corpus):
     got = {r.doc_id: r for r in passages.repeated_passages(frame(spark, corpus + EDGES)).collect()}
     assert set(got) == {*range(6), *range(100, 106), *range(200, 206), *range(300, 305)}
