@@ -92,10 +92,14 @@ def fit_logistic(x: Rows, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 @dataclasses.dataclass
 class Chain:
-    """Per category: the weights of the words, then of the earlier probabilities, then the constant."""
+    """Per category: the weights of the words, then of the earlier probabilities, then the constant.
+
+    A chain that no labelled row trained is not ``trained``: its probabilities of one half say nothing, so it rejects nothing.
+    """
     categories: tuple[str, ...]
     index: dict[bytes, int]
     weights: list[np.ndarray]
+    trained: bool = True
 
     def predict(self, text: bytes) -> list[float]:
         ones = [self.index[w] for w in words(text) & self.index.keys()]
@@ -112,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
 
     ``labels`` holds id and one 0/1 column per category; of repeated ids the highest value counts, and a row with a null id
     or category is left out. Each category gets out-of-fold probabilities for the training rows, which the later models are
-    trained on; a full fit serves new texts. Without labelled rows every probability is one half.
+    trained on; a full fit serves new texts. Without labelled rows (no labels, null ones only, or ids that do not
+    meet) every probability is one half, and the chain is marked as not trained: ``score`` and ``keep_harmless`` reject nothing.
     """
     known = labels.groupBy(F.col(id).alias("id")).agg(*[F.max(F.col(c).cast("int")).alias(c) for c in categories]).dropna()
     known = known.orderBy(F.xxhash64("id"), "id").limit(max_rows)
@@ -149,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     sample = arrow_pass(rows, "id string, ones array<int>, y array<int>", indexed).toPandas().sort_values("id", kind="stable")
     rows.unpersist()
     if sample.empty:
-        return Chain(categories, {}, [np.zeros(i + 1) for i in range(len(categories))])
+        return Chain(categories, {}, [np.zeros(i + 1) for i in range(len(categories))], trained=False)
     ones, y = [np.asarray(o) for o in sample["ones"]], np.stack(sample["y"].to_numpy())
     fold = np.arange(len(ones)) % FOLDS
     earlier, weights = np.empty((len(ones), 0)), []
@@ -165,14 +170,15 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
 
 
 def score(docs: DataFrame, chain: Chain, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, a probability p_<category> for each category, and toxic (the last category reaches ``threshold``).
+    """doc_id, a probability p_<category> for each category, and toxic (the last category reaches ``threshold``; false for all if the chain
+    is not trained).
 
     One row per document from its whole text; null counts as empty, repeated rows stay repeated, an empty table gives no
     row, other columns are not looked at.
     """
     return docs.select(F.col(id).alias("doc_id"), probabilities(docs, chain, text).alias("p")).select(
         "doc_id", *[F.get("p", F.lit(i)).alias(f"p_{c}") for i, c in enumerate(chain.categories)],
-        (F.get("p", F.lit(len(chain.categories) - 1)) >= threshold).alias("toxic"))
+        (F.lit(chain.trained) & (F.get("p", F.lit(len(chain.categories) - 1)) >= threshold)).alias("toxic"))
 
 
 def probabilities(docs: DataFrame, chain: Chain, text: str):
@@ -194,6 +200,8 @@ def op10_toxicity_chain(spark, d):
 
 
 def keep_harmless(docs: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are not toxic, all columns kept; no shuffle."""
+    """The documents that are not toxic, all columns kept; no shuffle. A chain that is not trained keeps all of them."""
+    if not chain.trained:
+        return docs
     last = F.get(probabilities(docs, chain, text), F.lit(len(chain.categories) - 1))
     return docs.withColumn("__p", last).where(F.col("__p") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

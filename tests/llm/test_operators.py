@@ -307,6 +307,15 @@ def test_toxicity(spark):
     assert toxicity.score(docs, none).first().p_toxic == 0.5
 
 
+@pytest.mark.parametrize("labels", [[], [(1, None, None), (4, 0, None)], [(77, 1, 1), (78, 0, 0), (None, 1, 1)]])
+def test_toxicity_without_training_rows_rejects_nothing(spark, labels):
+    docs = frame(spark, EDGES)
+    chain = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, low_quality int, toxic int"))
+    stay = toxicity.keep_harmless(docs, chain)
+    assert stay.columns == docs.columns and stay.count() == len(EDGES)
+    assert [r.toxic for r in toxicity.score(docs, chain).collect()] == [False] * len(EDGES)
+
+
 @pytest.mark.parametrize("name", ["duplicates", "near", "keep_one", "keep_first", "passages", "scores", "language", "leaks", "mixture", "mixed", "toxic"])
 def test_empty_and_odd_tables(spark, name):
     bench = spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id int, text string")
