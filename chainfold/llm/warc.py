@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import html
 import json
@@ -20,7 +21,8 @@ LINE = "\r\n"
 RECORD_END = LINE + LINE
 
 # Elements whose text is not shown, and elements that start a new line.
-HIDDEN = re.compile(rb"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+HIDDEN = re.compile(rb"<!--|<(script|style)(?=[\s/>])|<(/?)(noscript|template|svg)(?=[\s/>])[^<>]*>", re.I)
+ENDS = re.compile(rb"-->|</(script|style|noscript|template|svg)(?=[\s/>])[^<>]*>", re.I)
 BREAKS = re.compile(rb"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|title|body|head|html|blockquote|pre|hr)\b[^<>]*>", re.I)
 TAG = re.compile(rb"<[a-zA-Z/!?][^<>]*>")
 TITLE = re.compile(rb"<title\b[^<>]*>([^<]*)", re.I)
@@ -39,16 +41,60 @@ def identifier(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(0).join(parts))}>"
 
 
+def shown(page: bytes) -> bytes:
+    """A page with a space for each comment and element that is not shown.
+
+    A comment, script or style that is left open runs to the end of the page; of another hidden element left open, or a
+    closing tag alone, only the tag goes. An <svg .../> ends itself. Inside an element that is closed later, what is left
+    open before that end does not reach beyond it.
+    """
+    ends: dict[bytes, list[tuple[int, int]]] = {}
+    for m in ENDS.finditer(page):
+        ends.setdefault((m[1] or b"-->").lower(), []).append(m.span())
+
+    def following(name: bytes, at: int) -> tuple[int, int] | None:
+        own = ends.get(name, [])
+        i = bisect.bisect_left(own, (at, 0))
+        return own[i] if i < len(own) else None
+    gone: list[tuple[int, int]] = []
+    opened: dict[bytes, list[int]] = {b"noscript": [], b"template": [], b"svg": []}
+    at = 0
+    while m := HIDDEN.search(page, at):
+        at = m.end()
+        if m[3] is None:
+            end = following((m[1] or b"-->").lower(), at)
+            around = min((e for name, starts in opened.items() if starts and (e := following(name, at))), default=None)
+            if around is None or (end is not None and end[0] < around[0]):
+                at = len(page) if end is None else end[1]
+                gone.append((m.start(), at))
+            continue
+        gone.append(m.span())
+        name = m[3].lower()
+        if not m[2] and not (name == b"svg" and m[0].endswith(b"/>")):
+            opened[name].append(m.start())
+        elif m[2] and opened[name]:
+            gone.append((start := opened[name].pop(), at))
+            for starts in opened.values():      # what is left open inside ends here
+                while starts and starts[-1] > start:
+                    starts.pop()
+    out, at = [], 0
+    for start, end in sorted(gone):
+        if end > at:
+            out.append(page[at:max(at, start)])
+            at = end
+    return b" ".join([*out, page[at:]])
+
+
 def plain_text(page: bytes) -> str:
     """The shown text of a page, a line per block; each pattern reads the page once, also where tags are left open."""
-    shown = TAG.sub(b"", BREAKS.sub(b"\n", HIDDEN.sub(b" ", page)))
-    lines = (" ".join(line.split()) for line in html.unescape(shown.decode("utf-8", "replace")).split("\n"))
+    text = TAG.sub(b"", BREAKS.sub(b"\n", shown(page)))
+    lines = (" ".join(line.split()) for line in html.unescape(text.decode("utf-8", "replace")).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def facts(page: bytes) -> dict:
     """Title and links of a page."""
-    page = HIDDEN.sub(b" ", page)
+    page = shown(page)
     words = lambda raw: " ".join(html.unescape(raw.decode("utf-8", "replace")).split())
     title = TITLE.search(page)
     return {"title": words(title[1]) if title else None,

@@ -248,6 +248,24 @@ def test_archive_round_trip(spark, tmp_path):
         assert warc.digest(r.content) == r.headers["WARC-Block-Digest"] and r.headers["WARC-Refers-To"]
 
 
+@pytest.mark.parametrize("start, also", [
+    ("<svg width='1'/>", ""), ("<SVG/>", ""), ("<svg>", ""), ("<noscript>", ""), ("<template>", ""), ("<svg-icon>", ""), ("<script-x>", ""),
+    ("<template-list><b>in</b></template-list>", "in"), ("<svg/><svg>no</svg>", ""), ("<svg><style/><g></svg>", ""), ("</svg>", ""),
+    ("<svg><svg>no</svg>no</svg>", ""), ("<template><script>'<template>'</script>no</template>", ""), ("<noscript><!-- no</noscript>", ""),
+    ("<script>'<svg>'</script>", ""), ("<style>no</style ><!-- <svg> -->", ""), ("<template><svg>no</template>", "")])
+def test_hidden_elements_end(start, also):
+    page = f"<body>{start}<title>T</title><p>text <a href='/x'>link</a></p>".encode()
+    assert warc.facts(page) == {"title": "T", "links": ["/x"]}
+    assert warc.plain_text(page).split("\n") == [*filter(None, [also]), "T", "text link"]
+
+
+def test_open_scripts_run_to_the_end():
+    for start in ("<script>", "<style>", "<!--", "<script src='x'", "<svg><script>"):
+        assert warc.plain_text(f"<p>a</p>{start} no <p>no".encode()) == "a"
+    for many in ("<svg>", "<svg><!--x--><script>y</script>", "</svg>", "<template><svg>", "<svg"):
+        warc.plain_text(many.encode() * 50_000)
+
+
 def test_exponents(spark):
     shares = spark.createDataFrame([(0.7,), (0.2,), (0.1,)], "p double")
 
