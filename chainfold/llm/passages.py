@@ -15,10 +15,11 @@ from chainfold.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-PARAGRAPH = 20          # words that a paragraph has at least
+PARAGRAPH = 5           # words that a paragraph has at least
 WINDOW = 20             # words of an anchored window
 GAP = 27                # shingle positions without an anchor, at most; GAP + WINDOW + 3 <= 50
-PARAGRAPH_RECALL, WINDOW_RECALL = 0.99, 0.6
+RECALL = 0.99           # of the bands, for a pair at SIMILARITY
+ALL_EQUAL = math.ceil(SIMILARITY / (1 - SIMILARITY) - 1e-9) - 1   # shingles up to which similar sets are equal sets
 SALTS = mix(np.arange(1, 65, dtype=np.uint64) * MIX)
 NODE = 1 << 24          # words that fit in the lower part of a place
 
@@ -82,22 +83,24 @@ def units(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     _, once = np.unique(content, return_index=True)
     is_window = once >= len(starts)
     keys, rows = [], []
-    (bands, deep), (few, flat) = tune(SIMILARITY, PARAGRAPH_RECALL), tune(SIMILARITY, WINDOW_RECALL)
+    bands, deep = tune(SIMILARITY, RECALL)
+    # short lines are similar only to lines of the same shingles, which agree in every band
+    lines_, short = once[~is_window], sizes[once[~is_window]] < SHINGLE + ALL_EQUAL
     edges = np.c_[starts, starts + sizes - SHINGLE + 1].ravel()
     edges = edges[:-1] if len(edges) and edges[-1] >= len(hashed) else edges
     band, wide = np.zeros(len(starts), np.uint64), np.zeros(len(at), np.uint64)
-    for k in range(max(bands * deep, few * flat)):
+    for k in range(bands * deep):
         value = mix(hashed ^ SALTS[k])
-        if k < bands * deep and len(starts):
+        if len(starts):
             band = mix(band + np.minimum.reduceat(value, edges)[::2])
             if k % deep == deep - 1:
-                chosen = once[~is_window]
+                chosen = lines_ if k < deep else lines_[~short]
                 keys.append(band[chosen] + np.uint64(k))
                 rows.append(chosen)
                 band = np.zeros(len(starts), np.uint64)
-        if k < few * flat and len(at):
+        if len(at):
             wide = mix(wide + sliding(value, WINDOW - SHINGLE + 1, np.minimum)[at])
-            if k % flat == flat - 1:
+            if k % deep == deep - 1:
                 chosen = once[is_window]
                 keys.append(wide[chosen - len(starts)] + np.uint64(k))
                 rows.append(chosen)

@@ -150,6 +150,30 @@ def test_passages(spark, corpus):
     assert all(s.keep_doc_id == 300 for i in range(1, 5) for s in got[300 + i].passages)
 
 
+def test_short_lines_are_passages(spark):
+    draw = random.Random(12)
+    line, longer = "all rights reserved by us", " ".join(f"k{n}" for n in range(9))
+    rows = [(1, line), (2, f"{sentence(draw, 30)}\n{line.upper()}\nfew words"), (3, line + "\nx"), (4, longer), (5, longer.rsplit(" ", 1)[0]),
+            (6, "four words not five"), (7, "four words not five"), (8, longer + " but one other end and more")]
+    got = {r.doc_id: r for r in passages.repeated_passages(frame(spark, rows)).collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert got[1].keeps_all and got[2].removed_words == got[3].removed_words == 5 and got[5].removed_words == 8
+
+
+def test_windows_have_the_recall_of_paragraphs():
+    """Windows of which the last word differs (similarity 0.88) share a band."""
+    draw, seen, met = random.Random(4), 0, 0
+    for _ in range(300):
+        text = [f"w{draw.randrange(10_000)}" for _ in range(80)]
+        keys, _, first, _ = passages.units("\n".join(text).encode())
+        for at in set(first.tolist()):
+            other = passages.units("\n".join([*text[:at + 19], "other", *text[at + 20:]]).encode())
+            if at in other[2]:
+                seen += 1
+                met += bool(set(keys[first == at].tolist()) & set(other[0][other[2] == at].tolist()))
+    assert seen > 300 and met >= 0.98 * seen
+
+
 def test_passage_tuning():
     for recall in (0.6, 0.9, 0.99):
         bands, rows = passages.tune(0.8, recall)
