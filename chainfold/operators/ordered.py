@@ -8,7 +8,7 @@ other range borders than the ones the offsets were computed from.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chainfold.session import cut
 
@@ -36,31 +36,38 @@ def _with_border(local: DataFrame, border: DataFrame, group: list[str]) -> DataF
     return local.join(F.broadcast(side), match, "left").drop(*[f"_b{i}" for i in range(len(keys))])
 
 
-def running_total(rows: DataFrame, group: list[str], order: list[str], amount: str | None = None,
-                  name: str = "running", total: str | None = None) -> DataFrame:
-    """Inclusive running sum of ``amount`` (1 when None) per group. Order keys must be unique.
+def running_totals(rows: DataFrame, group: list[str], order: list[str], amounts: dict[str, Column],
+                   total: str | None = None) -> DataFrame:
+    """Inclusive running sums per group, one column for each entry of ``amounts``, in one pass. Order keys must be unique.
 
-    ``total`` names a column that repeats the group's whole sum, made from the ranges' sums.
+    ``total`` names a column that repeats the group's whole sum of the first amount, made from the ranges' sums.
     """
-    ranged = _ranged(rows, group, order)
-    step = F.col(amount) if amount else F.lit(1).cast("bigint")
-    per_range = ranged.groupBy(*group, _PART).agg(F.sum(step).alias("_sum"))
+    ranged, first = _ranged(rows, group, order), next(iter(amounts))
+    per_range = ranged.groupBy(*group, _PART).agg(*[F.sum(step).alias(name) for name, step in amounts.items()])
     # At most one row per (group, range); only groups that cross a border keep an offset.
     before = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (per_range.withColumn("_before", F.sum("_sum").over(before)).where("_before IS NOT NULL")
-               .drop("_sum"))
-    local = ranged.withColumn("_here", F.sum(step).over(
-        _local(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    placed = (_with_border(local, offsets, group)
-              .withColumn(name, F.col("_here") + F.coalesce("_before", F.lit(0)))
-              .drop("_here", "_before", _PART))
+    offsets = per_range.select(*group, _PART, F.count(F.lit(1)).over(before).alias("_ranges"),
+                               *[F.sum(name).over(before).alias(f"_before_{name}") for name in amounts]
+                               ).where("_ranges > 0").drop("_ranges")
+    here = _local(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select("*", *[F.sum(step).over(here).alias(f"_here_{name}") for name, step in amounts.items()])
+    placed = _with_border(local, offsets, group)
+    placed = placed.select(*rows.columns, *[
+        (F.col(f"_here_{name}") + F.coalesce(f"_before_{name}", F.lit(0))).alias(name) for name in amounts])
     if total is None:
         return placed
-    sums = per_range.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(F.sum("_sum").alias(total))
+    sums = per_range.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(F.sum(first).alias(total))
     same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in group]      # a NULL group is a group
     return placed.join(sums, same).drop(*[f"_of_{g}" for g in group])
 
 
+def running_total(rows: DataFrame, group: list[str], order: list[str], amount: str | None = None,
+                  name: str = "running", total: str | None = None) -> DataFrame:
+    """Inclusive running sum of ``amount`` (1 when None) per group; see ``running_totals``."""
+    step = F.col(amount) if amount else F.lit(1).cast("bigint")
+    return running_totals(rows, group, order, {name: step}, total)
+
+
 def row_rank(rows: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """1-based row number per group."""
     return running_total(rows, group, order, None, name)
