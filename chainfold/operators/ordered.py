@@ -36,6 +36,13 @@ def _with_border(local: DataFrame, border: DataFrame, group: list[str]) -> DataF
     return local.join(F.broadcast(side), match, "left").drop(*[f"_b{i}" for i in range(len(keys))])
 
 
+def _same_keys(keys: list[str]) -> Column:
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_e{i}"))
+    return match
+
+
 def running_totals(rows: DataFrame, group: list[str], order: list[str], amounts: dict[str, Column],
                    total: str | None = None) -> DataFrame:
     """Inclusive running sums per group, one column for each entry of ``amounts``, in one pass. Order keys must be unique.
@@ -92,6 +99,27 @@ def previous_row(rows: DataFrame, group: list[str], order: list[str], values: li
             .withColumn(name, F.coalesce("_here", "_carry")).drop("_here", "_carry", _PART, _TIE))
 
 
+def last_known(rows: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """The newest value of column ``value`` that is not NULL, up to and with the row itself; NULL before the first.
+
+    Rows with equal order keys follow each other in any order. Only each range's last value travels, one row per range.
+    """
+    order = [*order, _TIE]
+    ranged = _ranged(rows.withColumn(_TIE, F.monotonically_increasing_id()), group, order)
+    ends = (ranged.where(F.col(value).isNotNull()).groupBy(*group, _PART)
+            .agg(F.max_by(value, F.struct(*order)).alias("_end")))
+    here = _local(group, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_here", F.last(value, ignorenulls=True).over(here))
+    # a range without a value of the group hands on what it was handed
+    spans = ranged.groupBy(*group, _PART).agg(F.lit(1).alias("_one")).drop("_one").join(
+        ends.withColumnsRenamed({k: f"_e{i}" for i, k in enumerate([*group, _PART])}),
+        _same_keys([*group, _PART]), "left")
+    before = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (spans.select(*group, _PART, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+             .where("_carry IS NOT NULL"))
+    return _with_border(local, carry, group).withColumn(name, F.coalesce("_here", "_carry")).drop("_here", "_carry", _PART, _TIE)
+
+
 def nearest_rank(samples: DataFrame, group: list[str], value: str,
                  levels: dict[str, float]) -> DataFrame:
     """Exact nearest-rank percentiles with count, minimum and maximum per group.

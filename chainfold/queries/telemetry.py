@@ -12,7 +12,7 @@ from chainfold.queries.base import EV, LATEST, changes, events, query, table
 from chainfold.queries.state import envelopes, kinds
 from chainfold.session import shared_folder
 from chainfold.sources.files import log_lines
-from chainfold.streaming import continuity as SC, current as CU, follow as W, replay as RP
+from chainfold.streaming import current as CU, follow as W, linked as SL, replay as RP
 
 NEAREST = """count(*) AS samples, min({v}) AS min, quantile_disc({v}, 0.5) AS p50, quantile_disc({v}, 0.95) AS p95, max({v}) AS max"""
 
@@ -284,10 +284,10 @@ def stream_ingest_grows(spark, d):
 
 @query("stream_dedup", "SELECT event_id AS ordinal, user_id FROM events")
 def stream_dedup(spark, d):
-    """Every event delivered twice; the watermark keeps one."""
+    """A tenth of the events comes again in later batches; the state behind the watermark knows them."""
     at = fresh_folder(spark)
-    stream = event_stream(spark, d).select("ordinal", "user_id", "ts")
-    once = W.deduplicated(stream.unionByName(event_stream(spark, d).select("ordinal", "user_id", "ts")), "ts", "1 hour", ["ordinal"])
+    stream = event_stream(spark, d, delivered(spark, d)).select("ordinal", "user_id", "ts")
+    once = W.deduplicated(stream, "ts", "60 days", ["ordinal"])
     once.writeStream.option("checkpointLocation", f"{at}/offsets").trigger(availableNow=True).format("parquet").start(
         f"{at}/rows").awaitTermination()
     return spark.read.parquet(f"{at}/rows").select("ordinal", "user_id")
@@ -301,12 +301,14 @@ UNION ALL SELECT source, number, number, 'conflicting block' FROM b WHERE low <>
 UNION ALL SELECT b.source, b.number, b.number, 'broken parent' FROM b JOIN b a ON a.source = b.source AND b.number = a.number + 1
   WHERE b.low_parent <> a.low OR b.high_parent <> a.high""")
 def stream_continuity(spark, d):
+    """Twelve batches and more, in any order, a tenth of the blocks twice: gaps close and rivals meet across batches."""
     at = fresh_folder(spark)
     word = lambda c: F.concat(F.lit("h"), c.cast("string"))
-    blocks = event_stream(spark, d).where("kind <> 'error'").select(
+    blocks = event_stream(spark, d, delivered(spark, d)).where("kind <> 'error'").select(
         (F.col("user_id") % 4).cast("string").alias("source"), F.expr("ordinal div 4").alias("number"),
         word(F.col("ordinal")).alias("hash"), word(F.col("ordinal") - 4).alias("parent_hash"))
-    return SC.watch_continuity(spark, blocks, f"{at}/links", f"{at}/offsets")
+    SL.watch(blocks, f"{at}/reports", f"{at}/offsets").awaitTermination()
+    return SL.defects(spark, f"{at}/reports")
 
 
 @query("stream_current_state", f"""WITH {EV} SELECT address, slot, arg_max(value, (number, ordinal)) AS value,

@@ -1,10 +1,12 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from chainfold import schema as S
 from chainfold.operators import current_state as C
 from chainfold.plans import store
-from chainfold.streaming import continuity, current, follow as W, replay
+from chainfold.streaming import continuity, current, follow as W, linked, replay
 from test_checkpoint import A, envelope, lifecycle_rows, w
 
 
@@ -113,6 +115,52 @@ def test_continuity_across_batches(spark, tmp_path):
         ("a", 2, 2, "late block"), ("a", 3, 3, "missing block"), ("a", 5, 5, "broken parent"), ("a", 5, 5, "late block")]
 
 
+LINKS = "source string, number bigint, hash string, parent_hash string"
+
+
+def test_stateful_continuity_over_stripes(spark, tmp_path):
+    """One row a batch, in any order, over many stripes: gaps, late blocks, repeats, rivals, negative numbers, nulls."""
+    import random
+    draw = random.Random(2)
+    rows = [("a", n, f"h{n}", f"h{n - 1}") for n in range(-3, 30) if n not in (3, 4, 11, 12, 13, 14, 15, 16, 17, 18, 19)]
+    rows += [("a", 7, "rival", "h6"), ("b", 100, "x", "w"), ("b", 103, "y", "q"), ("b", 104, "z", "not y"), (None, 1, None, None), ("b", None, "n", "n")]
+    rows += draw.sample(rows, 6)
+    draw.shuffle(rows)
+    source = str(tmp_path / "in")
+    for i in range(0, len(rows), 6):
+        spark.createDataFrame(rows[i:i + 6], LINKS).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(LINKS).option("maxFilesPerTrigger", 1).parquet(source)
+    for _ in range(2):                      # the second call finds nothing new
+        linked.watch(stream, str(tmp_path / "r"), str(tmp_path / "o"), size=4).awaitTermination()
+    want = [("a", 3, 4, "missing block"), ("a", 11, 19, "missing block"), ("a", 7, 7, "conflicting block"), ("a", 8, 8, "broken parent"),
+            ("b", 101, 102, "missing block"), ("b", 104, 104, "broken parent")]
+    assert sorted(tuple(r) for r in linked.defects(spark, str(tmp_path / "r")).collect()) == sorted(want)
+    spark.createDataFrame([("a", n, f"h{n}", f"h{n - 1}") for n in (3, 4, 12)], LINKS).coalesce(1).write.mode("append").parquet(source)
+    linked.watch(stream, str(tmp_path / "r"), str(tmp_path / "o"), size=4).awaitTermination()
+    want = [w for w in want if w[1] not in (3, 11)] + [("a", 11, 11, "missing block"), ("a", 13, 19, "missing block")]
+    assert sorted(tuple(r) for r in linked.defects(spark, str(tmp_path / "r")).collect()) == sorted(want)
+
+
+def test_a_silent_source_is_overdue(spark, tmp_path):
+    source = str(tmp_path / "in")
+    put = lambda rows: spark.createDataFrame(rows, LINKS).coalesce(1).write.mode("append").parquet(source)
+    put([("full", n, f"h{n}", f"h{n - 1}") for n in range(8)] + [("part", 0, "h0", "")])
+    stream = spark.readStream.schema(LINKS).parquet(source)
+    with pytest.raises(ValueError, match="interval"):
+        linked.watch(stream, str(tmp_path / "r"), str(tmp_path / "o"), patience_ms=1)
+    query = linked.watch(stream, str(tmp_path / "r"), str(tmp_path / "o"), patience_ms=1, interval="1 second", size=4)
+    try:
+        due, end = set(), time.time() + 60
+        while time.time() < end and len(due) < 2:
+            time.sleep(1)
+            if any((tmp_path / "r").glob("*.parquet")):
+                due = {(r.source, r.stripe) for r in linked.overdue(spark, str(tmp_path / "r")).collect()}
+    finally:
+        query.stop()
+    assert due == {("full", 2), ("part", 0)}            # stripes 0 and 1 are full, which opens the next one
+    assert linked.defects(spark, str(tmp_path / "r")).count() == 0
+
+
 def test_current_state_versions(spark, tmp_path):
     folder = str(tmp_path / "state")
     slot = "address string, slot string, value string, block_num bigint, ordinal bigint"
