@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chainfold import schema as S
 from chainfold.functions import scalars as X
 from chainfold.operators import persistence as P
+from chainfold.operators.account_table import table_name
 from chainfold.session import cut
 
 # Fixed value: from this block time on, only accounts created in the same transaction vanish.
@@ -175,16 +176,21 @@ def assemble(blocks: DataFrame, storage: DataFrame, balances: DataFrame, nonces:
     return grouped.where("head IS NOT NULL").select("number", "head.*", *parts)
 
 
-def block_state(blocks: DataFrame, accounts: str, fork_time: int = DELETION_FORK_TIME) -> DataFrame:
-    """Envelopes of the selected accounts: one row per block, empty blocks included."""
-    chosen = P.parse_accounts(accounts)
-    if not chosen:
+def block_state(blocks: DataFrame, accounts: str | DataFrame, fork_time: int = DELETION_FORK_TIME) -> DataFrame:
+    """Envelopes of the selected accounts: one row per block, empty blocks included.
+
+    ``accounts`` is a list as text, which every envelope repeats, or a table with ``address``, of which it names size and hash.
+    """
+    whole = isinstance(accounts, DataFrame)
+    chosen = [] if whole else P.parse_accounts(accounts)
+    if not whole and not chosen:
         raise ValueError("block_state needs an explicit account list")
     source = P.admitted(blocks)
     changes = P.granular_changes(source, accounts)
     named = {kind: changes[kind].withColumn("address", X.hex_text("address"))
              for kind in ("storage", "balances", "nonces", "codes")}
-    destroying = destroying_calls(source).where(F.col("address").isin(chosen))
+    destroying = destroying_calls(source)
+    destroying = P.of_accounts(destroying, accounts) if whole else destroying.where(F.col("address").isin(chosen))
     removed = deletions(destroying, fork_time)
     storage = last_per_block(
         named["storage"].withColumn("slot", X.word("key")).withColumn("value", X.word("new_value")),
@@ -202,7 +208,7 @@ def block_state(blocks: DataFrame, accounts: str, fork_time: int = DELETION_FORK
     head = source.select(
         "number", X.hex_text("hash").alias("hash"), X.hex_text("header.parent_hash").alias("parent_hash"),
         F.col("header.timestamp.seconds").alias("timestamp"), X.hex_text("header.state_root").alias("state_root"),
-        F.col("ver").alias("producer_version"), F.lit(",".join(chosen)).alias("accounts"),
+        F.col("ver").alias("producer_version"), (table_name(accounts) if whole else F.lit(",".join(chosen))).alias("accounts"),
         F.lit(1).alias("schema_version"))
     return assemble(
         head, surviving_storage(storage, removed),

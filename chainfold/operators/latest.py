@@ -68,10 +68,11 @@ def state_as_of(changes: DataFrame, resets: DataFrame, end: int) -> DataFrame:
 
 
 def state_as_of_each(changes: DataFrame, resets: DataFrame, targets: list[int]) -> DataFrame:
-    """State at several blocks in one pass; a slot cleared by a reset reads as zero.
+    """Nonzero state at a few named blocks (a parameter, so short by nature) in one pass over the changes.
 
-    Every row goes to the first target that sees it, the reduction keeps at most one row per key
-    and target, and each key then carries its newest value forward. No row is copied per target.
+    A row goes to the first target that sees it, and the reduction keeps at most one row per key and target, from which
+    each target takes the newest up to it. Slots that read as zero at a target give no row. A table of
+    (address, slot, block) is answered by ``as_of.values_as_of`` instead.
     """
     wanted = sorted(set(targets))
     if not wanted:
@@ -91,14 +92,12 @@ def state_as_of_each(changes: DataFrame, resets: DataFrame, targets: list[int])
 
     slots = per_target(changes, ["address", "slot"], ["value"])
     cuts = per_target(resets, ["address"], []).withColumnRenamed("steps", "cuts")
-    at = F.explode(F.transform(marks, lambda n: F.struct(
-        n.alias("target"), carried("steps", n).alias("best"), carried("cuts", n).alias("cut")))).alias("at")
-    cleared = F.col("at.cut").isNotNull() & (
-        X.position(F.col("at.best.number"), F.col("at.best.ordinal"))
-        <= X.position(F.col("at.cut.number"), F.col("at.cut.ordinal")))
-    value = F.when(F.col("at.best").isNull() | cleared, F.lit(X.ZERO_WORD)).otherwise(F.col("at.best.value"))
-    return (slots.join(cuts, "address", "left").select("address", "slot", at)
-            .select(F.col("at.target").alias("target"), "address", "slot", value.alias("value")))
+    at = F.filter(F.transform(marks, lambda n: F.struct(
+        n.alias("target"), carried("steps", n).alias("best"), carried("cuts", n).alias("cut"))), lambda a: a["best"].isNotNull() & (
+            a["best"]["value"] != X.ZERO_WORD) & (a["cut"].isNull() | (
+                X.position(a["best"]["number"], a["best"]["ordinal"]) > X.position(a["cut"]["number"], a["cut"]["ordinal"]))))
+    return (slots.join(cuts, "address", "left").select("address", "slot", F.explode(at).alias("at"))
+            .select("at.target", "address", "slot", F.col("at.best.value").alias("value")))
 
 
 def slot_values(state: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -264,20 +264,26 @@ def account_filter(spark, d):
     return P.of_accounts(rows, building(spark, d))
 
 
-@query("authorization_rows", f"""WITH {TX_SQL}, {ACCOUNTS_SQL}
-SELECT number, o_orderkey, ordinal AS auth_index, {sql_address('o_custkey')} AS authority, {sql_address('l_suppkey')} AS delegate,
-  reverted AS discarded FROM li WHERE set_code AND ({sql_address('o_custkey')} IN (SELECT address FROM acc)
-  OR {sql_address('l_suppkey')} IN (SELECT address FROM acc))""")
+GRANTS_SQL = f"""g AS (SELECT number, o_orderkey, row_number() OVER (PARTITION BY o_orderkey ORDER BY reverted, part, supp, reason, old, new) - 1 AS auth_index,
+  {sql_address('supp % 5')} AS authority, {sql_address('part')} AS delegate, reverted AS discarded FROM c WHERE set_code AND part_of = 'tx' AND line = 2)"""
+
+
+@query("authorization_rows", f"""WITH {NESTED_SQL}, {GRANTS_SQL}, {ACCOUNTS_SQL}
+SELECT * FROM g WHERE authority IN (SELECT address FROM acc) OR delegate IN (SELECT address FROM acc)""")
 def authorization_rows(spark, d):
-    """SET_CODE entries are kept when the authority or the delegate is selected."""
-    rows = lines(spark, d).where("set_code").select(
-        "number", "o_orderkey", F.col("ordinal").alias("auth_index"), X.number_word("o_custkey", 40).alias("authority"),
-        X.number_word("l_suppkey", 40).alias("delegate"), F.col("reverted").alias("discarded"))
-    chosen = building(spark, d)
-    own = chosen.select(F.col("address").alias("authority"), F.lit(True).alias("by_authority"))
-    other = chosen.select(F.col("address").alias("delegate"), F.lit(True).alias("by_delegate"))
-    return (rows.join(own, "authority", "left").join(other, "delegate", "left")
-            .where("by_authority OR by_delegate").drop("by_authority", "by_delegate"))
+    """SET_CODE entries of nested blocks, kept when the authority or the delegate is in a table of accounts."""
+    rows = P.authorizations_of(nested_blocks(spark, d), building(spark, d))
+    return rows.select("number", F.col("tx_index").alias("o_orderkey"), "auth_index", X.hex_text("authority").alias("authority"),
+                       X.hex_text("delegate").alias("delegate"), "discarded")
+
+
+@query("account_table_changes", f"""WITH {NESTED_SQL}, {ACCOUNTS_SQL}
+SELECT kind, number, CASE part_of WHEN 'tx' THEN o_orderkey ELSE 0 END AS tx_index, address, ordinal, {SCOPE_SQL} AS scope
+FROM r WHERE scope IS NOT NULL AND address IN (SELECT address FROM acc)""")
+def account_table_changes(spark, d):
+    """What persisted of the accounts of a table, from whole nested blocks: a bitmap in the row, then the exact join."""
+    rows = P.tagged_changes(nested_blocks(spark, d), building(spark, d))
+    return rows.select("kind", "number", "tx_index", X.hex_text("address").alias("address"), "ordinal", X.scope_name("scope").alias("scope"))
 
 
 @query("event_log_buckets", """SELECT event_id - event_id % 1000 AS block_bucket, CAST(strftime(ts, '%Y%m') AS INTEGER) AS month,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chainfold.functions import scalars as X
-from chainfold.operators import block_end as E, current_state as C, digest as D, latest as L, quality as Q
+from chainfold.operators import as_of as A, block_end as E, current_state as C, digest as D, latest as L, quality as Q
 from chainfold.queries.base import (EV, LATEST, ZERO, changes, events, query, resets, spread, sql_address,
                                     sql_word, table)
 
@@ -61,10 +61,8 @@ t AS (SELECT max(number) AS target FROM ev WHERE ts < TIMESTAMP '{DAYS[0]}' UNIO
 la AS (SELECT target, address, slot, max((number, ordinal)) AS p, arg_max(value, (number, ordinal)) AS value
   FROM ch JOIN t ON number <= target GROUP BY ALL),
 rc AS (SELECT target, address, max((number, ordinal)) AS r FROM rs JOIN t ON number <= target GROUP BY ALL),
-ks AS (SELECT DISTINCT target, address, slot FROM ch, t)
-SELECT ks.target, ks.address, ks.slot,
-  CASE WHEN la.p IS NULL OR (rc.r IS NOT NULL AND la.p <= rc.r) THEN '{ZERO}' ELSE la.value END AS value
-FROM ks LEFT JOIN la USING (target, address, slot) LEFT JOIN rc ON rc.target = ks.target AND rc.address = ks.address""")
+ok AS (SELECT la.* FROM la LEFT JOIN rc USING (target, address) WHERE rc.r IS NULL OR la.p > rc.r)
+SELECT target, address, slot, value FROM ok WHERE value <> '{ZERO}'""")
 def state_as_of_blocks(spark, d):
     return L.state_as_of_each(changes(spark, d), resets(spark, d), [block_at(spark, d, day) for day in DAYS])
 
@@ -76,6 +74,39 @@ def asked_slot_values(spark, d):
     return L.slot_values(state(spark, d), wanted)
 
 
+# what the requests ask: every event's slot at some block before or after it, slots nobody wrote among them
+ASKED = f"""q AS (SELECT ordinal AS event_id, address, {sql_word('k + user_id % 2 * 50')} AS slot, number + ordinal % 41 - 20 AS block FROM ev)"""
+
+
+@query("requested_slot_values", f"""WITH {EV}, {ASKED},
+la AS (SELECT event_id, max((number, ordinal)) AS p, arg_max(value, (number, ordinal)) AS value FROM q JOIN ch
+  ON ch.address = q.address AND ch.slot = q.slot AND ch.number <= q.block GROUP BY event_id),
+rc AS (SELECT event_id, max((number, ordinal)) AS r FROM q JOIN rs ON rs.address = q.address AND rs.number <= q.block GROUP BY event_id)
+SELECT event_id, q.address, q.slot, q.block,
+  CASE WHEN la.p IS NULL OR (rc.r IS NOT NULL AND la.p <= rc.r) THEN '{ZERO}' ELSE la.value END AS value
+FROM q LEFT JOIN la USING (event_id) LEFT JOIN rc USING (event_id)""")
+def requested_slot_values(spark, d):
+    """One request per event, each at a block of its own."""
+    asked = events(spark, d).select(
+        "ordinal", "address", X.number_word(F.col("k") + F.col("user_id") % 2 * 50).alias("slot"),
+        (F.col("number") + F.col("ordinal") % 41 - 20).alias("block"))
+    return A.values_as_of(changes(spark, d), resets(spark, d), asked).withColumnRenamed("ordinal", "event_id")
+
+
+@query("requested_fields", f"""WITH {EV}, q AS (SELECT ordinal AS event_id, address, number + ordinal % 41 - 20 AS block FROM ev)
+SELECT q.event_id, q.address, q.block,
+  arg_max(CAST(cents AS VARCHAR), ordinal) FILTER (WHERE event_type = 'purchase') AS balance,
+  arg_max(CAST(ordinal AS VARCHAR), ordinal) FILTER (WHERE event_type = 'click') AS nonce
+FROM q LEFT JOIN ev ON ev.address = q.address AND ev.number <= q.block GROUP BY ALL""")
+def requested_fields(spark, d):
+    """Balance and nonce of each event's account at the end of another block."""
+    ev = events(spark, d)
+    rows = ev.select("number", "ordinal", "address", F.when(F.col("event_type") == "purchase", F.col("cents").cast("string")).alias("balance"),
+                     F.when(F.col("event_type") == "click", F.col("ordinal").cast("string")).alias("nonce"))
+    asked = ev.select(F.col("ordinal").alias("event_id"), "address", (F.col("number") + F.col("ordinal") % 41 - 20).alias("block"))
+    return A.fields_as_of(rows, asked, ["balance", "nonce"])
+
+
 @query("slot_counts", f"{NONZERO} SELECT address, count(*) AS nonzero_slots FROM nz GROUP BY address")
 def slot_counts(spark, d):
     return L.slot_counts(state(spark, d))
