@@ -12,7 +12,7 @@ from chainfold.queries.base import EV, LATEST, changes, events, query, table
 from chainfold.queries.state import envelopes, kinds
 from chainfold.session import shared_folder
 from chainfold.sources.files import log_lines
-from chainfold.streaming import current as CU, follow as W, linked as SL, replay as RP
+from chainfold.streaming import bucketed as SB, current as CU, follow as W, linked as SL
 
 NEAREST = """count(*) AS samples, min({v}) AS min, quantile_disc({v}, 0.5) AS p50, quantile_disc({v}, 0.95) AS p95, max({v}) AS max"""
 
@@ -251,7 +251,7 @@ def delivered(spark, d) -> str:
 @query("stream_fold_state", f"WITH {EV}, {LATEST} SELECT * FROM st WHERE value <> '{X.ZERO_WORD}'")
 def stream_fold_state(spark, d):
     at = fresh_folder(spark)
-    folded = RP.fold_changes(spark, event_stream(spark, d, delivered(spark, d)), "signup", f"{at}/state", f"{at}/offsets")
+    folded = SB.fold_changes(spark, event_stream(spark, d, delivered(spark, d)), "signup", f"{at}/state", f"{at}/offsets")
     return folded.select("address", "slot", "value")
 
 

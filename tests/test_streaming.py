@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from chainfold import schema as S
 from chainfold.operators import current_state as C
 from chainfold.plans import store
-from chainfold.streaming import continuity, current, follow as W, linked, replay
+from chainfold.streaming import bucketed, continuity, current, follow as W, linked, replay
 from test_checkpoint import A, envelope, lifecycle_rows, w
 
 
@@ -103,6 +103,37 @@ def test_late_change_does_not_win(spark, tmp_path):
     assert [(r.slot, r.value) for r in got.collect()] == [(w(1), w(5))]
 
 
+def test_bucketed_folds_leave_the_prefix_in_place(spark, tmp_path):
+    """Folds every few batches, late changes, resets, a repeated batch; the prefix side of the join has no exchange."""
+    import random
+    draw = random.Random(6)
+    schema = "number bigint, ordinal bigint, address string, slot string, value string, kind string"
+    rows = [(n, o, draw.choice("aab"), None if draw.random() < .05 else w(draw.randrange(9)), w(draw.randrange(4)), "s") for n in range(40) for o in range(4)]
+    rows = [r if r[3] else (*r[:3], None, None, "reset") for r in rows]
+    draw.shuffle(rows)
+    source, path = str(tmp_path / "in"), str(tmp_path / "state")
+    for i in range(0, len(rows), 20):
+        spark.createDataFrame(rows[i:i + 20], schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    got = bucketed.fold_changes(spark, stream, "reset", path, str(tmp_path / "o"), fold_every=3, buckets=4)
+    newest, cut = {}, {}
+    for n, o, a, s, v, kind in rows:
+        if kind == "reset":
+            cut[a] = max(cut.get(a, (-1, -1)), (n, o))
+        elif ((n, o), v) > newest.get((a, s), ((-1, -1), "")):
+            newest[a, s] = ((n, o), v)
+    want = {(a, s, v) for (a, s), (at, v) in newest.items() if at > cut.get(a, (-1, -1)) and v != w(0)}
+    assert {(r.address, r.slot, r.value) for r in got.collect()} == want
+    prefix, batch, buckets, behind = bucketed._newest(spark, path)
+    assert (batch, buckets, behind) == (5, 4, [6, 7])
+    plan = bucketed.folded(prefix, bucketed._deltas(spark, path, behind))._jdf.queryExecution().executedPlan().toString()
+    side = plan.split("SortMergeJoin")[1].split("Bucketed: true")[0]
+    assert "Bucketed: true" in plan and "Exchange" not in side, plan
+    bucketed.fold(spark, path)
+    bucketed.fold(spark, path)
+    assert {(r.address, r.slot, r.value) for r in bucketed.state(spark, path).collect()} == want
+
+
 def test_continuity_across_batches(spark, tmp_path):
     schema = "source string, number bigint, hash string, parent_hash string"
     source = str(tmp_path / "in")
