@@ -108,6 +108,20 @@ def canonical_json(**fields: Column) -> Column:
     return F.to_json(ordered, {"ignoreNullFields": "false"})
 
 
+def canonical_document(text: Column | str) -> Column:
+    """Compact JSON of any document with the keys of every object sorted, at every depth; malformed text is an error.
+
+    A VARIANT keeps the fields of an object in key order, so parsing and printing is all there is to do. Equal documents
+    give equal text whatever the order of their keys and their white space; arrays keep their order.
+    """
+    return F.to_json(F.parse_json(_col(text)))
+
+
+def document_value(text: Column | str, path: str, kind: str) -> Column:
+    """A typed value out of any JSON document; NULL where the document has none or is malformed."""
+    return F.try_variant_get(F.try_parse_json(_col(text)), path, kind)
+
+
 def url_token(text: Column | str) -> Column:
     return F.translate(F.base64(F.encode(_col(text), "utf-8")), "+/\r\n", "-_")
 

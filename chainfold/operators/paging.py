@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import json
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from chainfold.functions import scalars as X
 from chainfold.operators.ordered import row_rank
@@ -60,6 +60,37 @@ def numbered_pages(storage: DataFrame, page_size: int) -> DataFrame:
     return ranked.withColumn("page", F.floor((F.col("rank") - 1) / page_size)).drop("rank")
 
 
+def positioned(stored: DataFrame) -> DataFrame:
+    """Rows of files that were written in (address, slot) order, with their ``position`` over all files, from 0.
+
+    Parquet tells each row's place in its file, so only the number of rows before each file is missing: one row per
+    file is ordered and joined, and no row is sorted, shuffled or copied. Files whose ranges overlap are an error.
+    """
+    rows = stored.select("address", "slot", "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    key = F.struct("address", "slot")
+    files = rows.groupBy("_file").agg(F.count("*").alias("_rows"), F.min(key).alias("_first"), F.max(key).alias("_last"))
+    order = Window.orderBy("_first")                       # one row per file
+    overlap = F.lag("_last").over(order) >= F.col("_first")
+    before = F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = files.select(F.col("_file").alias("_of"), F.when(F.coalesce(overlap, F.lit(False)), F.raise_error(
+        F.concat(F.lit("rows of two files overlap at "), F.col("_file"))).cast("bigint")).otherwise(F.coalesce(before, F.lit(0))).alias("_offset"))
+    return rows.join(offsets, F.col("_file") == F.col("_of")).select(
+        "address", "slot", "value", (F.col("_offset") + F.col("_index")).alias("position"))
+
+
+def stored_pages(stored: DataFrame, page_size: int) -> DataFrame:
+    """``numbered_pages`` of files in (address, slot) order: the page follows from the position within the account.
+
+    Where each account begins is one row per account; AQE broadcasts it if it is small and splits a busy account if not.
+    """
+    if not 1 <= page_size <= MAX_PAGE:
+        raise ValueError("page size must be between 1 and 10000")
+    rows = positioned(stored)
+    begin = rows.groupBy(F.col("address").alias("_account")).agg(F.min("position").alias("_begin"))
+    return rows.join(begin, F.col("address") == F.col("_account")).select(
+        "address", "slot", "value", F.floor((F.col("position") - F.col("_begin")) / page_size).alias("page"))
+
+
 def page_facts(pages: DataFrame) -> DataFrame:
     """Row count and borders of each page."""
     return pages.groupBy("address", "page").agg(

@@ -130,9 +130,10 @@ def changes_only(records: DataFrame, group: list[str], order: list[str], values:
     return seen.where(F.col("previous").isNull() | ~same).drop("previous")
 
 
-def admit_growth(samples: DataFrame, now_ns: int) -> DataFrame:
-    return samples.where(counts_as_evidence(F.col("admitted"), F.col("accounted_allocated_bytes"),
-                                            F.col("sample_finished_ns"), F.lit(now_ns)))
+def admit_growth(samples: DataFrame, now_ns: int | Column) -> DataFrame:
+    """Samples that count as evidence of growth at ``now_ns``, a time or a column of times."""
+    now = now_ns if isinstance(now_ns, Column) else F.lit(now_ns)
+    return samples.where(counts_as_evidence(F.col("admitted"), F.col("accounted_allocated_bytes"), F.col("sample_finished_ns"), now))
 
 
 def latest_record(records: DataFrame, group: list[str], order: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from chainfold.functions import scalars as X
 from chainfold.operators import (continuity as N, digest as D, latest as L, paging as G, quality as Q,
                                  retention as R)
-from chainfold.session import cut
+from chainfold.plans import growth as W, store
+from chainfold.session import cut, shared_folder
 from chainfold.queries.base import EV, LATEST, changes, events, query, resets, sql_address, table
 
 NONZERO = f"WITH {EV}, {LATEST}, nz AS (SELECT * FROM st WHERE value <> '{X.ZERO_WORD}')"
@@ -268,9 +271,11 @@ def keyset_page(spark, d):
     return page.select("slot", G.token_column(F.lit("s"), F.lit(ONE), F.col("slot")).alias("token"))
 
 
-@query("account_lookup", f"{NONZERO} SELECT address, count(*) AS nonzero_slots FROM nz WHERE address = '{ONE}' GROUP BY address")
+@query("account_lookup", f"{NONZERO} SELECT address, count(*) AS nonzero_slots FROM nz WHERE address = (SELECT min(address) FROM nz) GROUP BY address")
 def account_lookup(spark, d):
-    return L.slot_counts(G.account_row(state(spark, d), ONE))
+    """The first account that holds anything, looked up by its address."""
+    held = L.slot_counts(state(spark, d))
+    return G.account_row(held, held.agg(F.min("address")).first()[0])
 
 
 @query("sample_slots", f"{NONZERO} SELECT address, slot, value FROM nz ORDER BY address, slot LIMIT 50")
@@ -284,8 +289,10 @@ pg AS (SELECT address, page, count(*) AS rows, min(slot) AS first_slot, max(slot
 
 
 def pages(spark, d):
-    slots = changes(spark, d).select("address", "slot").distinct().withColumn("value", F.lit(""))
-    return cut(G.page_facts(G.numbered_pages(slots, 7)))     # stored, as an export stores its page facts
+    """All slots ever written, stored in key order as a checkpoint stores them, in pages of 7."""
+    at = f"{shared_folder(spark)}/slots-{uuid.uuid4().hex}"
+    store.write_sorted(changes(spark, d).select("address", "slot").distinct().withColumn("value", F.lit("")), at)
+    return G.page_facts(G.stored_pages(spark.read.parquet(at), 7))
 
 
 @query("page_chunks", f"{PAGES} SELECT * FROM pg")
@@ -402,3 +409,24 @@ b AS (SELECT substr(leaf, 1, 3) AS branch, sum(n) AS n, sha256(string_agg(leaf |
 SELECT sha256(string_agg(branch || h, '' ORDER BY branch)) AS accounts_sha256, CAST(sum(n) AS BIGINT) AS rows FROM b""")
 def account_digest(spark, d):
     return D.account_digest(proven(spark, d).select(F.col("address").cast("string").alias("address"), "balance", "nonce"))
+
+
+# ---------------------------------------------------------------- growth
+
+@query("growth_record", """WITH g AS (SELECT event_id, user_id % 2 AS cohort, event_id // 40 AS generation, event_type = 'signup' AS phase,
+  event_type <> 'error' AND user_id > 3 AND event_id % 120 - 20 BETWEEN 0 AND 60 AS counts FROM events),
+c AS (SELECT *, lag(generation) OVER w AS pg, lag(phase) OVER w AS pp FROM g WHERE counts WINDOW w AS (PARTITION BY cohort ORDER BY event_id))
+SELECT event_id, cohort, generation, phase FROM c WHERE pg IS NULL OR generation <> pg OR phase <> pp""")
+def growth_record(spark, d):
+    """A third of the samples is recorded, then all of them twice: the record is that of one run."""
+    at, n = f"{shared_folder(spark)}/growth-{uuid.uuid4().hex}", F.col("event_id")
+    samples = table(spark, d, "events").select(
+        (F.col("user_id") % 2).alias("cohort"), n.alias("sample_finished_ns"), (F.col("event_type") == "signup").alias("phase"),
+        F.expr("event_id div 40").alias("generation"), (F.col("event_type") != "error").alias("admitted"),
+        F.when(F.col("user_id") > 3, F.col("user_id")).alias("accounted_allocated_bytes"))
+    now = F.col("sample_finished_ns") + (F.col("sample_finished_ns") % 120 - 20) * 1_000_000_000
+    third = samples.agg(F.max("sample_finished_ns")).first()[0] // 3
+    for part in (samples.where(F.col("sample_finished_ns") <= third), samples, samples):
+        W.record_growth(spark, at, part, now)
+    schema = "cohort bigint, sample_finished_ns bigint, phase boolean, generation bigint"
+    return W.recorded(spark, at, schema).select(F.col("sample_finished_ns").alias("event_id"), "cohort", "generation", "phase")

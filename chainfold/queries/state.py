@@ -496,14 +496,26 @@ def code_dedup(spark, d):
 
 
 @query("snapshot_json", f"""{NONZERO},
-h AS (SELECT max(number) AS number FROM ev),
-a AS (SELECT address, CAST(count(*) AS BIGINT) AS n FROM ev GROUP BY address),
-s AS (SELECT address, slot, value FROM nz)
-SELECT '{{"header":{{"number":' || (SELECT number FROM h) || '}},"accounts":[' ||
- (SELECT string_agg('{{"address":"' || address || '","n":' || n || '}}', ',' ORDER BY address) FROM a) || '],"storage":[' ||
- (SELECT string_agg('{{"address":"' || address || '","slot":"' || slot || '","value":"' || value || '"}}', ',' ORDER BY address, slot) FROM s)
- || ']}}' AS snapshot""")
+a AS (SELECT address, CAST(count(*) AS BIGINT) AS n FROM ev GROUP BY address)
+SELECT 'header' AS section, CAST(max(number) AS VARCHAR) AS key, '{{"number":' || max(number) || '}}' AS body FROM ev
+UNION ALL SELECT 'accounts', address, '{{"address":"' || address || '","n":' || n || '}}' FROM a
+UNION ALL SELECT 'storage', address || '/' || slot, '{{"address":"' || address || '","slot":"' || slot || '","value":"' || value || '"}}' FROM nz""")
 def snapshot_json(spark, d):
     ev = events(spark, d)
     return Q.snapshot_json(ev.agg(F.max("number").alias("number")), ev.groupBy("address").agg(F.count("*").alias("n")),
                            state(spark, d))
+
+
+@query("canonical_documents", f"""WITH {EV} SELECT event_id, '{{"a":' || event_id || ',"b":{{"list":[{{"x":null,"y":true}},"é"],"props":' ||
+  '{{"k":' || k || '}}}},"name":"' || event_type || '"}}' AS document, user_id AS owner, true AS same FROM (SELECT ordinal AS event_id, * FROM ev)""")
+def canonical_documents(spark, d):
+    """The same document written in two orders of its keys, nested ones too, around each event's own JSON."""
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    n, kind, props, user = (F.col(c) for c in ("event_id", "event_type", "props", "user_id"))
+    rows = table(spark, d, "events").select("event_id", user.alias("owner_id"), *[doc.alias(name) for name, doc in {
+        "one": text('{"name":"', kind, '", "b":{"props":', props, ',"list":[{"y":true,"x":null},"é"]},"a":', n, "}"),
+        "two": text('{ "b" : {"list":[ {"x":null,"y":true},"é"], "props":', props, '}, "a":', n, ',"name":"', kind, '"}'),
+        "owned": text('{"owner":{"id":', user, '},"tags":[]}')}.items()])
+    return rows.select("event_id", X.canonical_document("one").alias("document"), X.document_value("owned", "$.owner.id", "bigint").alias("owner"),
+                       (X.canonical_document("one") == X.canonical_document("two")).alias("same"))
