@@ -11,6 +11,7 @@ from chainfold.operators import (continuity as N, digest as D, latest as L, pagi
                                  retention as R)
 from chainfold.plans import growth as W, store
 from chainfold.session import cut, shared_folder
+from chainfold.sources import page_source as P
 from chainfold.queries.base import EV, LATEST, changes, events, query, resets, sql_address, table
 
 NONZERO = f"WITH {EV}, {LATEST}, nz AS (SELECT * FROM st WHERE value <> '{X.ZERO_WORD}')"
@@ -300,6 +301,18 @@ def page_chunks(spark, d):
     return pages(spark, d)
 
 
+@query("page_source", f"""{PAGES} SELECT address, slot, page FROM n WHERE page BETWEEN 1 AND 2""")
+def page_source(spark, d):
+    """Pages written by the page source in two commits, then some of them read back through pushed filters."""
+    at = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    store.write_sorted(changes(spark, d).select("address", "slot").distinct().withColumn("value", F.lit("")), f"{at}/slots")
+    numbered = G.stored_pages(spark.read.parquet(f"{at}/slots"), 7).select("page", "address", "slot", "value")
+    P.register(spark)
+    for part in (F.col("page") < 2, F.col("page") >= 2):
+        numbered.where(part).repartitionByRange("page", "address").write.format(P.NAME).mode("append").save(f"{at}/pages")
+    return spark.read.format(P.NAME).load(f"{at}/pages").where("page >= 1 AND page <= 2").select("address", "slot", "page")
+
+
 @query("page_coverage", f"""{PAGES}, k AS (SELECT * FROM pg WHERE NOT (address LIKE '%3' AND page = 1)),
 t AS (SELECT address, count(*) AS n, max(page) AS top, sum(rows) AS slots FROM k GROUP BY address),
 a AS (SELECT address, count(*) AS declared FROM s WHERE address NOT LIKE '%5' GROUP BY address)
