@@ -146,6 +146,44 @@ def nested_changes(spark, d):
                        value.alias("value"), X.scope_name("scope").alias("scope"))
 
 
+LIFE_SQL = f"""k AS (SELECT DISTINCT number, o_orderkey, call_index, o_orderkey % 40 + call_index % 2 AS a, (o_orderkey + call_index) % 3 = 0 AS made,
+  (o_orderkey + call_index) % 4 = 0 AS destroys FROM c WHERE part_of = 'tx' AND status = 1 AND NOT reverted),
+del AS (SELECT DISTINCT number, {sql_address('a')} AS address FROM k d WHERE destroys AND (number % 2 = 0 OR EXISTS (
+  SELECT 1 FROM k x WHERE x.o_orderkey = d.o_orderkey AND x.made AND x.a = d.a))),
+cl AS (SELECT DISTINCT number, {sql_address('o_orderkey % 40')} AS address, CASE WHEN set_code THEN 'deleted' WHEN o_orderkey % 2 = 0 THEN 'equal'
+  ELSE 'different' END AS must FROM o),
+bal AS (SELECT o_orderkey // 50 AS number, o_orderkey AS ordinal, {sql_address('o_custkey % 60')} AS address, CAST(CAST(round(o_totalprice) AS BIGINT) % 5 AS VARCHAR) AS balance FROM orders),
+sd AS (SELECT cl.number, cl.address, cl.must, arg_max(balance, (bal.number, ordinal)) FILTER (WHERE bal.number < cl.number) AS before,
+  arg_max(balance, (bal.number, ordinal)) AS after FROM cl LEFT JOIN bal ON bal.address = cl.address AND bal.number <= cl.number
+  WHERE must <> 'deleted' GROUP BY ALL)"""
+
+
+@query("lifecycle_audit", f"""WITH {NESTED_SQL}, {LIFE_SQL}
+SELECT number, address, 'deleted but not declared' AS reason FROM del ANTI JOIN (SELECT * FROM cl WHERE must = 'deleted') q USING (number, address)
+UNION ALL SELECT number, address, 'declared but not deleted' FROM cl ANTI JOIN del USING (number, address) WHERE must = 'deleted'
+UNION ALL SELECT number, address, 'balance is not ' || must FROM sd WHERE (must = 'equal') = (before IS DISTINCT FROM after)""")
+def lifecycle_audit(spark, d):
+    """Nested blocks with creations and destroying calls on both sides of the fork, balances before and after, claims from the orders."""
+    from chainfold.operators import lifecycle_audit as A
+    key = lambda c: F.unhex(F.lpad(F.hex(c), 40, "0"))
+
+    def call(tx, c):
+        sum_ = tx["index"] + c["index"]
+        return c.withField("suicide", sum_ % 4 == 0).withField("call_type", F.when(sum_ % 3 == 0, P.CREATE).otherwise(1)).withField(
+            "address", key(tx["index"] % 40 + c["index"] % 2)).withField("end_ordinal", F.lit(900).cast("bigint"))
+    blocks = nested_blocks(spark, d).withColumn("transaction_traces", F.transform("transaction_traces", lambda tx: tx.withField(
+        "calls", F.transform(tx["calls"], lambda c: call(tx, c))))).withColumn("header", F.col("header").withField(
+            "timestamp.seconds", F.lit(E.DELETION_FORK_TIME - 1) + F.col("number") % 2))
+    place = F.expr("o_orderkey div 50").alias("number")
+    claims = table(spark, d, "orders").select(
+        place, X.number_word(F.col("o_orderkey") % 40, 40).alias("address"), F.lit("balance").alias("field"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", A.DELETED).when(F.col("o_orderkey") % 2 == 0, A.EQUAL).otherwise(A.DIFFERENT).alias("must"))
+    rows = table(spark, d, "orders").select(
+        place, F.col("o_orderkey").alias("ordinal"), X.number_word(F.col("o_custkey") % 60, 40).alias("address"),
+        (F.round("o_totalprice").cast("bigint") % 5).cast("string").alias("balance"))
+    return A.lifecycle_audit(blocks, rows, claims, ["balance"])
+
+
 @query("sender_effects", f"""WITH {TX_SQL}, c AS (SELECT o_orderkey, min(ordinal) AS ordinal FROM li
   WHERE status <> 1 AND ordinal > 0 AND l_suppkey % 3 = o_custkey % 3 GROUP BY o_orderkey)
 SELECT o_orderkey, ordinal, 'tx_failed_persistent' AS scope FROM c""")

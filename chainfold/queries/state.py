@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chainfold.functions import scalars as X
 from chainfold.operators import as_of as A, block_end as E, current_state as C, digest as D, latest as L, quality as Q
-from chainfold.queries.base import (EV, LATEST, ZERO, changes, events, query, resets, spread, sql_address,
+from chainfold.queries.base import (EV, LATEST, ZERO, changes, events, query, resets, sql_address,
                                     sql_word, table)
 
 STATE = f"WITH {EV}, {LATEST}"
@@ -263,7 +263,7 @@ def envelope_roundtrip(spark, d):
   'value': CAST(round(l_extendedprice * 100) AS BIGINT)}).value AS value FROM lineitem GROUP BY 1, 2""")
 def wide_state(spark, d):
     """Newest value per key over the largest table: line items as changes."""
-    rows = spread(table(spark, d, "lineitem")).select(
+    rows = table(spark, d, "lineitem").select(
         F.col("l_suppkey").alias("address"), F.col("l_partkey").alias("slot"), F.col("l_orderkey").alias("number"),
         F.col("l_linenumber").alias("ordinal"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("value"))
     return L.latest_slots(rows).select("address", "slot", "value")

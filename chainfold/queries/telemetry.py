@@ -12,7 +12,7 @@ from chainfold.queries.base import EV, LATEST, changes, events, query, table
 from chainfold.queries.state import envelopes, kinds
 from chainfold.session import shared_folder
 from chainfold.sources.files import log_lines
-from chainfold.streaming import bucketed as SB, current as CU, follow as W, linked as SL
+from chainfold.streaming import bucketed as SB, current as CU, follow as W, linked as SL, progress as SP
 
 NEAREST = """count(*) AS samples, min({v}) AS min, quantile_disc({v}, 0.5) AS p50, quantile_disc({v}, 0.95) AS p95, max({v}) AS max"""
 
@@ -269,6 +269,23 @@ def stream_follow(spark, d):
     return W.read_envelope_table(spark, f"{at}/blocks").select("number", "hash")
 
 
+@query("measured_progress", """SELECT count(*) + count(*) FILTER (WHERE event_id % 10 = 3) AS rows, min(event_id) AS oldest, max(event_id) AS newest,
+  true AS many_batches, true AS equal_to_data FROM events""")
+def measured_progress(spark, d):
+    """What the listener recorded of a followed stream, batch by batch, against counts of what each batch stored."""
+    at, run = fresh_folder(spark), f"run{uuid.uuid4().hex}"
+    blocks = event_stream(spark, d, delivered(spark, d)).select(F.col("ordinal").alias("number"), "user_id")
+    SP.follow_measured(blocks, lambda batch, n: batch.write.mode("overwrite").parquet(f"{at}/rows/batch={n}"),
+                       f"{at}/offsets", f"{at}/progress", run)
+    told = SP.progress_table(spark, f"{at}/progress").where(F.col("run") == run)
+    found = spark.read.parquet(f"{at}/rows").groupBy(F.col("batch").cast("bigint").alias("of")).agg(
+        F.count("*").alias("n"), F.min("number").alias("low"), F.max("number").alias("high"))
+    same = F.col("rows").eqNullSafe(F.col("n")) & F.col("oldest").eqNullSafe(F.col("low")) & F.col("newest").eqNullSafe(F.col("high"))
+    return told.join(found, F.col("batch") == F.col("of"), "full").agg(
+        F.sum("rows").alias("rows"), F.min("oldest").alias("oldest"), F.max("newest").alias("newest"),
+        (F.count("*") >= 10).alias("many_batches"), F.every(same).alias("equal_to_data"))
+
+
 @query("stream_ingest_grows", "SELECT event_id AS number, sha256('b' || event_id) AS hash FROM events")
 def stream_ingest_grows(spark, d):
     """Half of the range, then all of it, on one checkpoint."""

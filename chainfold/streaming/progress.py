@@ -27,11 +27,10 @@ class Recorder(StreamingQueryListener):
     """Writes the observed figures of every batch of one query; other queries of the session are not its business."""
 
     def __init__(self, spark: SparkSession, path: str, run: str):
-        self.spark, self.path, self.run, self.query = spark, path, run, None
+        self.spark, self.path, self.run = spark, path, run
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
-        if event.name == self.run:
-            self.query = str(event.id)
+        pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         progress = event.progress
@@ -51,13 +50,6 @@ class Recorder(StreamingQueryListener):
         pass
 
 
-def recorded(query: StreamingQuery, path: str, run: str) -> None:
-    """Write the figures of a query that has ended and had no listener: its last progress reports."""
-    recorder = Recorder(query._sparkSession if hasattr(query, "_sparkSession") else SparkSession.active(), path, run)
-    for progress in query.recentProgress:
-        recorder.onQueryProgress(type("Event", (), {"progress": progress})())
-
-
 def follow_measured(blocks: DataFrame, sink, checkpoint: str, path: str, run: str, tip: str | None = None,
                     interval: str | None = None) -> StreamingQuery:
     """Run ``sink(batch, batch_id)`` for every batch of a stream(number, ...) under the name ``run``, with measured progress.
