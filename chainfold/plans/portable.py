@@ -43,7 +43,7 @@ def _borders(lines: DataFrame) -> DataFrame:
 
 
 def global_pages(storage: DataFrame, page_size: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with a page number over all accounts, and the page facts, in (account, slot) order."""
+    """Rows with a page number over all accounts, and the page facts, of files stored in (account, slot) order."""
     pages = G.stored_pages(storage, page_size)        # by position in the checkpoint's own sorted files
     facts = G.page_facts(pages).withColumnRenamed("page", "account_page")
     # One row per account decides where its pages start.

@@ -11,6 +11,7 @@ from chainfold.operators import block_end as E, current_state as C, retention as
 from chainfold.queries.base import EV, LATEST, changes, events, query, table
 from chainfold.queries.state import envelopes, kinds
 from chainfold.session import shared_folder
+from chainfold.sources import files as FI
 from chainfold.sources.files import log_lines
 from chainfold.streaming import bucketed as SB, current as CU, follow as W, linked as SL, progress as SP
 
@@ -349,23 +350,95 @@ def stream_current_state(spark, d):
     return CU.read_current(spark, f"{at}/state")["storage"]
 
 
-@query("compacted_prefix", f"""WITH {EV}, de AS (SELECT number, ordinal, event_type, value,
+PREFIX = f"""WITH {EV}, de AS (SELECT number, ordinal, event_type, value,
   '0x' || lpad(lower(to_hex(user_id % 10)), 40, '0') AS address, '0x' || lpad(lower(to_hex(k % 5)), 64, '0') AS slot FROM ev),
 la AS (SELECT address, slot, max(ordinal) AS p, arg_max(value, ordinal) AS value FROM de WHERE event_type <> 'signup' GROUP BY ALL),
-rc AS (SELECT address, max(ordinal) AS r FROM de WHERE event_type = 'signup' GROUP BY 1)
-SELECT la.address, la.slot, la.value FROM la LEFT JOIN rc USING (address) WHERE (r IS NULL OR p > r) AND value <> '{X.ZERO_WORD}'""")
-def compacted_prefix(spark, d):
-    """Envelopes folded in two steps through private generations: the second starts from the first."""
-    from chainfold.plans import compaction, store
+rc AS (SELECT address, max(ordinal) AS r FROM de WHERE event_type = 'signup' GROUP BY 1),
+fs AS (SELECT la.address, la.slot, la.value FROM la LEFT JOIN rc USING (address) WHERE (r IS NULL OR p > r) AND value <> '{X.ZERO_WORD}')"""
+ACCOUNTS = ["0x" + f"{i:040x}" for i in range(10)]
+
+
+def prefix_of(spark, d) -> tuple[str, dict]:
+    """Envelopes folded in two steps through private generations: the second starts from the first. Folder and record."""
+    from chainfold.plans import compaction
     at = fresh_folder(spark)
-    accounts = ["0x" + f"{i:040x}" for i in range(10)]
     word = lambda c: F.concat(F.lit("0x"), c)
     rows = envelopes(spark, d).withColumns({
-        "hash": word(F.col("hash")), "parent_hash": word(F.col("parent_hash")), "accounts": F.lit(",".join(accounts)),
+        "hash": word(F.col("hash")), "parent_hash": word(F.col("parent_hash")), "accounts": F.lit(",".join(ACCOUNTS)),
         "state_root": word(F.col("hash")), "schema_version": F.lit(1), "producer_version": F.lit(5)})
     rows.write.parquet(f"{at}/blocks")
     stored = spark.read.parquet(f"{at}/blocks")
     top = stored.agg(F.max("number")).first()[0]
-    compaction.compact(spark, f"{at}/prefix", stored, accounts, 0, top // 2)
-    record = compaction.compact(spark, f"{at}/prefix", stored, accounts, 0)
+    compaction.compact(spark, f"{at}/prefix", stored, ACCOUNTS, 0, top // 2)
+    return at, compaction.compact(spark, f"{at}/prefix", stored, ACCOUNTS, 0)
+
+
+@query("compacted_prefix", f"{PREFIX} SELECT * FROM fs")
+def compacted_prefix(spark, d):
+    from chainfold.plans import store
+    at, record = prefix_of(spark, d)
     return store.generation_storage(spark, f"{at}/prefix", record["generation"])
+
+
+@query("prefix_copy", f"""{PREFIX} SELECT f.address, count(*) AS slots, min(slot) AS first_slot, max(slot) AS last_slot,
+  (SELECT max(number) FROM ev) AS folded_to, 1 AS generations, true AS audited FROM fs f GROUP BY f.address""")
+def prefix_copy(spark, d):
+    """A folded prefix audited, copied elsewhere and audited there; one generation is left, and the report knows it."""
+    from chainfold.plans import compaction, store
+    at, record = prefix_of(spark, d)
+    audit = compaction.audit_prefix(spark, f"{at}/prefix")
+    measured = compaction.isolated_copy(spark, f"{at}/prefix", f"{at}/copy")
+    again = compaction.audit_prefix(spark, f"{at}/copy")
+    same = audit["generation"] == again["generation"] and all(audit[name] == value for name, value in measured.items())
+    report = compaction.growth_report(spark, f"{at}/copy").agg(
+        F.count("*").alias("generations"), F.sum("rows").alias("stored"), F.every("active").alias("active")).first()
+    rows = store.generation_storage(spark, f"{at}/copy", record["generation"])
+    good = same and report["active"] and report["stored"] == measured["nonzero_slots"]
+    return rows.groupBy("address").agg(
+        F.count("*").alias("slots"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot")).withColumns({
+            "folded_to": F.lit(again["header"]["number"]), "generations": F.lit(report["generations"]), "audited": F.lit(bool(good))})
+
+
+# ---------------------------------------------------------------- files
+
+@query("appended_records", "SELECT event_type, count(*) AS records, min(event_id) AS first, max(event_id) AS last, sum(user_id) AS users FROM events GROUP BY event_type")
+def appended_records(spark, d):
+    """A JSON-lines log appended to three times, its last line torn; the complete records are all that is read."""
+    at, schema = fresh_folder(spark), "event_id bigint, event_type string, user_id bigint"
+    rows = table(spark, d, "events").select("event_id", "event_type", "user_id")
+    for part in range(3):
+        FI.append_rows(rows.where(F.col("event_id") % 3 == part), f"{at}/log")
+    torn = rows.where("event_id % 50 = 0").select(F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"event_ty')).alias("value"))
+    torn.write.mode("append").text(f"{at}/log")
+    return FI.complete_rows(spark, f"{at}/log", schema).groupBy("event_type").agg(
+        F.count("*").alias("records"), F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.sum("user_id").alias("users"))
+
+
+@query("json_documents", "SELECT c_custkey // 1000 AS part, count(*) AS customers, CAST(sum(c_nationkey) AS BIGINT) AS nations FROM customer GROUP BY 1")
+def json_documents(spark, d):
+    """A document for each thousand customers, each in a file of several lines, read with a declared schema."""
+    at = fresh_folder(spark)
+    held = table(spark, d, "customer").groupBy(F.expr("c_custkey div 1000").alias("part")).agg(
+        F.collect_list(F.struct(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("nation"))).alias("customers"))
+    doc = F.to_json(F.struct("part", "customers"), {"pretty": "true"})
+    held.select("part", doc.alias("value")).write.partitionBy("part").text(f"{at}/docs")
+    read = FI.json_document(spark, f"{at}/docs/*", "part bigint, customers array<struct<key:bigint,nation:bigint>>")
+    return read.select("part", F.size("customers").cast("bigint").alias("customers"),
+                       F.aggregate("customers", F.lit(0).cast("bigint"), lambda a, c: a + c["nation"]).alias("nations"))
+
+
+@query("scalar_forms", f"""WITH {EV} SELECT ordinal AS event_id, address, CAST(CASE WHEN user_id % 3 = 0 THEN NULL ELSE CAST(ordinal AS HUGEINT) * 1048576 END AS VARCHAR) AS quantity,
+  CASE WHEN user_id % 2 = 0 THEN 2 ELSE 1 END AS named, k AS generation, 'https_' || event_type AS source FROM ev""")
+def scalar_forms(spark, d):
+    """Addresses in mixed case, hex quantities (some too wide), keys by prefix, and fields of a JSON manifest."""
+    ev, n = table(spark, d, "events"), F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    mixed = F.concat(F.lit("0x"), F.upper(F.lpad(F.hex("user_id"), 40, "0")))
+    wide = F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("0x1"), F.repeat(F.lit("0"), 16))).otherwise(
+        F.concat(F.lit("0x000"), F.hex(n), F.lit("00000")))
+    labels = F.map_from_arrays(F.array(F.lit("net.a"), F.when(F.col("user_id") % 2 == 0, "net.b").otherwise("disk"), F.lit("cpu")), F.array(n, n, n))
+    manifest = F.to_json(F.struct(F.struct(k.alias("generation")).alias("header"), F.concat(F.lit("https_"), "event_type").alias("source")))
+    typed = X.manifest_fields(manifest, "header struct<generation: bigint>, source string")
+    return ev.select("event_id", X.canonical_address(mixed).alias("address"), X.quantity_u64(wide).cast("string").alias("quantity"),
+                     F.size(X.keys_with_prefix(labels, "net.")).alias("named"), typed["header"]["generation"].alias("generation"),
+                     typed["source"].alias("source"))

@@ -187,7 +187,8 @@ def test_export_files_hold_bounded_pages(spark, tmp_path, monkeypatch):
     """Pages stay whole in files of at most PAGES_PER_FILE pages; an empty state has no page."""
     monkeypatch.setattr(P, "PAGES_PER_FILE", 4)
     rows = [(a, w(i), w(i + 1)) for a, n in ((A, 61), (B, 3)) for i in range(n)]
-    numbered, facts = P.global_pages(spark.createDataFrame(rows, "address string, slot string, value string"), 5)
+    store.write_sorted(spark.createDataFrame(rows, "address string, slot string, value string"), str(tmp_path / "sorted"))
+    numbered, facts = P.global_pages(spark.read.parquet(str(tmp_path / "sorted")), 5)
     assert facts.count() == 14 and numbered.count() == 64
     spread = numbered.repartitionById(4, F.floor(F.col("page") / 4).cast("int")).groupBy(F.spark_partition_id().alias("p")).agg(
         F.min("page").alias("low"), F.max("page").alias("high"), F.count_distinct("address").alias("accounts")).orderBy("p").collect()
