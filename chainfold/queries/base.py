@@ -35,23 +35,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 BLOCK_SIZE = 100
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
+def events(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    """All events, or those of the blocks up to ``upto``: the bound is one on the stored column, so it reaches the scan."""
     zero = F.lit(X.ZERO_WORD)
     k = F.get_json_object("props", "$.k").cast("bigint")
-    return table(spark, folder, "events").select(
+    stored = table(spark, folder, "events")
+    if upto is not None:
+        stored = stored.where(F.col("event_id") < (upto + 1) * BLOCK_SIZE)
+    return stored.select(
         F.expr(f"event_id div {BLOCK_SIZE}").alias("number"), F.col("event_id").alias("ordinal"),
         X.number_word("user_id", 40).alias("address"), X.number_word(k).alias("slot"),
         F.when(F.col("event_type") == "error", zero).otherwise(X.number_word(F.col("event_id") + 1)).alias("value"),
         "event_type", "user_id", k.alias("k"), F.round(F.col("value") * 100).cast("bigint").alias("cents"), "ts", "props")
 
 
-def changes(spark: SparkSession, folder: str) -> DataFrame:
-    return events(spark, folder).where("event_type <> 'signup'").select(
+def changes(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    return events(spark, folder, upto).where("event_type <> 'signup'").select(
         "number", "ordinal", "address", "slot", "value")
 
 
-def resets(spark: SparkSession, folder: str) -> DataFrame:
-    return events(spark, folder).where("event_type = 'signup'").select("number", "ordinal", "address")
+def resets(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    return events(spark, folder, upto).where("event_type = 'signup'").select("number", "ordinal", "address")
 
 
 def address_of(column) -> "Column":

@@ -47,8 +47,8 @@ AT = "(SELECT max(number) FROM ev WHERE ts < TIMESTAMP '2024-01-21')"
     "WHERE event_type = 'signup'", "WHERE event_type = 'signup' AND number <= " + AT)}, {LATEST}
     SELECT * FROM st WHERE value <> '{ZERO}'""")
 def state_as_of_block(spark, d):
-    return L.state_as_of(changes(spark, d), resets(spark, d), block_at(spark, d, "2024-01-21")).select(
-        "address", "slot", "value")
+    end = block_at(spark, d, "2024-01-21")
+    return L.state_as_of(changes(spark, d, end), resets(spark, d, end), end).select("address", "slot", "value")
 
 
 DAYS = ["2024-01-11", "2024-01-21", "2024-01-31"]

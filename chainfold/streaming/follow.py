@@ -40,11 +40,24 @@ def append_envelopes(batch: DataFrame, path: str, batch_id: int) -> None:
 
 
 def ask(spark: SparkSession, path: str, start: int, stop: int | None) -> None:
-    """Note that the table at ``path`` is to show ``[start, stop)``; a table shows all that was asked for so far."""
+    """Note that the table at ``path`` is to show ``[start, stop)``; a table shows the union of what was asked for so far."""
     bounds = spark.createDataFrame([(start, stop)], "start bigint, stop bigint").coalesce(1)
     bounds.write.mode("overwrite").parquet(f"{path}/bounds/from={start}/to={'open' if stop is None else stop}")
 
 
+def asked_ranges(spark: SparkSession, path: str) -> list[tuple[int, int | None]]:
+    """The union of all ranges asked for, as few ranges as it takes; one row per call is read."""
+    bounds = spark.read.schema("start bigint, stop bigint").parquet(f"{path}/bounds").select("start", "stop").collect()
+    merged: list[tuple[int, int | None]] = []
+    for start, stop in sorted(bounds, key=lambda b: b["start"]):
+        if merged and (merged[-1][1] is None or start <= merged[-1][1]):
+            last = merged[-1][1]
+            merged[-1] = (merged[-1][0], None if last is None or stop is None else max(last, stop))
+        else:
+            merged.append((start, stop))
+    return merged
+
+
 def visible(spark: SparkSession, path: str) -> DataFrame:
     """The stored blocks that were asked for and are final, each with its batch.
 
@@ -53,10 +66,11 @@ def visible(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
     if folders.exists(spark, f"{path}/bounds"):
-        low, open_, high = spark.read.schema("start bigint, stop bigint").parquet(f"{path}/bounds").agg(
-            F.min("start"), F.max(F.col("stop").isNull()), F.max("stop")).first()
-        rows = rows.where(F.col("number") >= low)
-        rows = rows if open_ else rows.where(F.col("number") < high)
+        shown = F.lit(False)
+        for start, stop in asked_ranges(spark, path):
+            inside = F.col("number") >= start
+            shown = shown | (inside if stop is None else inside & (F.col("number") < stop))
+        rows = rows.where(shown)
     if TIP in rows.columns:
         tip = rows.agg(F.max(TIP)).first()[0]
         rows = rows.where(F.col("number") <= F.lit(tip))

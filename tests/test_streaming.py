@@ -53,6 +53,16 @@ def test_a_block_waits_until_a_later_one_proves_it(spark, tmp_path):
         assert sorted(r.number for r in W.read_envelope_table(spark, table).collect()) == seen
 
 
+def test_the_union_of_asked_ranges_shows(spark, tmp_path):
+    source, table, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    spark.createDataFrame([envelope(n, A) for n in range(0, 12)], S.ENVELOPE).coalesce(1).write.parquet(source)
+    blocks = W.stream_files(spark, source, S.ENVELOPE)
+    for start, stop, shown in ((0, 3, [0, 1, 2]), (7, 9, [0, 1, 2, 7, 8]), (2, 4, [0, 1, 2, 3, 7, 8]), (10, None, [0, 1, 2, 3, 7, 8, 10, 11])):
+        W.follow(blocks, table, offsets, start, stop).awaitTermination()
+        assert sorted(r.number for r in W.read_envelope_table(spark, table).collect()) == shown
+    assert W.asked_ranges(spark, table) == [(0, 4), (7, 9), (10, None)]
+
+
 def test_only_final_blocks_enter(spark, tmp_path):
     source, table = str(tmp_path / "in"), str(tmp_path / "out")
     rows = spark.createDataFrame([envelope(n, A) for n in range(1, 6)], S.ENVELOPE).withColumn("finalized_number", F.lit(3).cast("bigint"))
