@@ -47,7 +47,18 @@ def linked(rows: DataFrame, payload: DataFrame, close: Callable[[list[np.ndarray
     dealt = members.join(payload, F.col("_node") == F.col(node)).withColumn("_own", own).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
         F.xxhash64(F.lit(1), "_k", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_g"), "_k", *name)
-    schema = payload.select(F.col(node).alias("a"), F.col(node).alias("b")).schema
+    return forests(dealt, name, close, pairs)
+
+
+def forests(dealt: DataFrame, name: list[str], close: Callable[[list[np.ndarray]], Callable[[int], np.ndarray]],
+            pairs: Callable[[list[np.ndarray], np.ndarray, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """Edges of a spanning forest of each group (_g, _k) of ``dealt``; the first column of ``name`` is a member's label.
+
+    Members are taken by ascending label, so that buckets with common members hang them under the same one and give the
+    same edges. Edges between equal labels are left out.
+    """
+    node = name[0]
+    schema = dealt.select(F.col(node).alias("a"), F.col(node).alias("b")).schema
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -75,4 +86,4 @@ def linked(rows: DataFrame, payload: DataFrame, close: Callable[[list[np.ndarray
             ids = rows.column(node).combine_chunks()
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right))], names=["a", "b"])
 
-    return dealt.repartition("_g").sortWithinPartitions("_g", "_k").mapInArrow(edges, schema).distinct()
+    return dealt.repartition("_g").sortWithinPartitions("_g", "_k", node).mapInArrow(edges, schema).where("a != b").distinct()

@@ -49,6 +49,13 @@ def text_bytes(text: str) -> Column:
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
 
 
+def without(docs: DataFrame, mark: Column, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose mark is not in ``gone`` (one column), with their own columns, whatever these are called."""
+    name = gone.columns[0]
+    rows = docs.select(mark.alias("mark"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return rows.join(gone.select(F.col(name).alias("gone")), F.col("mark") == F.col("gone"), "left_anti").select("doc.*")
+
+
 def remainder(key: str, divisor: int, value: int) -> Column:
     """crc32 of the key as text, modulo; false where the key is null."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % divisor == value, F.lit(False))

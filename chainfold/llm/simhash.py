@@ -12,8 +12,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from chainfold.llm.buckets import linked
-from chainfold.llm.common import MIX, arrow_pass, mix, query, shingles, stored, table, text_bytes, word_hashes
+from chainfold.llm.buckets import forests, linked
+from chainfold.llm.common import MIX, arrow_pass, mix, query, shingles, stored, table, text_bytes, without, word_hashes
 from chainfold.llm.components import components
 from chainfold.llm.passages import SIMILARITY, alike
 
@@ -23,6 +23,7 @@ ROWS = 1 << 15
 LANES = np.arange(64, dtype=np.uint64) * MIX
 CELLS = 24              # bits of a cell in the bitmap of texts to compare
 SETS = 256              # shingle sets that a block holds
+WEIGHT = 1 << 22        # and shingles in them, unless one set has more
 
 
 def fingerprint(text: bytes, words: int = 4, lanes: int = 1) -> bytes:
@@ -239,6 +240,56 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return cut_.join(asked, F.col("mark") == F.col("m")).select("node", "shingles").dropDuplicates(["node"])
 
 
+def verified(loose: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root): the members of each loose component (root, node) that chains of alike sets (node, shingles) connect.
+
+    A component of up to SETS members and WEIGHT shingles is one block. A larger one is dealt into blocks; then each tree
+    found there sends its smallest member, and these are dealt and compared in turn, while a round leaves half of them or
+    fewer. So a family of near copies is one tree before blocks meet in pairs. Members of trees still apart are then
+    compared whole: blocks of one large tree, or of several small ones, meet all others but those of the same tree, and
+    give links between trees only. Nodes that nothing connects have no row.
+    """
+    payload = sets.withColumnRenamed("node", "id")
+    loose = stored(loose.join(sets.select("node", F.size("shingles").alias("weight")), "node"))
+    parts = F.ceil(F.greatest(F.col("n") / SETS, F.col("w") / WEIGHT)).cast("int")
+    load = [F.count("*").alias("n"), F.sum("weight").alias("w")]
+    crowded = loose.groupBy("root").agg(*load).where(parts > 1).select("root")
+    heads, before, edges = loose, None, None
+    for turn in itertools.count():
+        dealt = heads.join(heads.groupBy("root").agg(*load), "root").select(
+            F.xxhash64(F.lit(turn), "root", F.pmod(F.xxhash64("node", F.lit(turn)), parts)).alias("key"), "node")
+        now = stored(linked(dealt, payload, alike, block=2 * SETS))
+        edges = now if edges is None else edges.unionByName(now)
+        roots = stored(components(edges, "a", "b"))
+        trees = stored(loose.join(crowded, "root", "left_semi").join(
+            roots.select("node", F.col("root").alias("r")), "node", "left").select(
+            "root", "node", "weight", F.coalesce("r", "node").alias("tree")))
+        heads = trees.where("tree = node").select("root", "node", "weight")
+        heads = stored(heads.join(heads.groupBy("root").count().where("count > 1"), "root", "left_semi"))
+        left = heads.count()
+        if left == 0:
+            return roots
+        if before is not None and left > before / 2:
+            break
+        before = left
+    apart = trees.join(heads.select("root").distinct(), "root", "left_semi")
+    large = apart.groupBy("root", "tree").agg(*load).withColumn("own", parts)
+    small = large.where("own = 1").groupBy("root").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).select("root", parts.alias("shared"))
+    alone = F.col("own") > 1
+    placed = apart.join(large.select("root", "tree", "own"), ["root", "tree"]).join(small, "root", "left").select(
+        "root", "node", "tree", F.when(alone, F.col("tree")).alias("only"),
+        F.when(alone, F.xxhash64(F.lit(1), "tree", F.pmod(F.xxhash64("node"), F.col("own"))))
+        .otherwise(F.xxhash64(F.lit(2), "root", F.pmod(F.xxhash64("tree"), F.col("shared")))).alias("block"))
+    blocks = stored(placed.select("root", "block", "only").distinct())
+    other = blocks.select(F.col("root").alias("r"), F.col("block").alias("b"), F.col("only").alias("o"))
+    met = blocks.join(other, (F.col("root") == F.col("r")) & (F.col("block") <= F.col("b"))
+                      & F.coalesce(F.col("only") != F.col("o"), F.lit(True)))
+    asked = met.select(F.xxhash64("root", "block", "b").alias("_g"), F.explode(F.array_distinct(F.array("block", "b"))).alias("at"))
+    between = asked.join(placed, F.col("at") == F.col("block")).select("_g", F.col("root").alias("_k"), F.col("tree").alias("label"), "node").join(
+        sets, "node").select("_g", "_k", "label", "shingles")
+    return components(edges.unionByName(forests(between, ["label", "shingles"], alike)), "a", "b")
+
+
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, lanes: int = 4,
              max_bits: int = 57, recall: float = 0.97) -> DataFrame:
     """The documents that stay when one document of each group of near copies is kept, that of the smallest id.
@@ -265,11 +316,9 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     loose = stored(components(near_edges(nodes, lanes, max_bits, recall), "a", "b").select("root", F.col("node").alias("id")).join(
         nodes.select("id", F.col("first.mark").alias("mark")), "id").select("root", F.col("id").alias("node"), "mark"))
     sets = stored(sets_of(docs.select(mark.alias("mark"), text_bytes(text).alias("text")), loose.select("node", "mark"), words))
-    edges = linked(loose.select(F.col("root").alias("key"), "node"), sets.withColumnRenamed("node", "id"), alike, block=SETS)
-    roots = components(edges, "a", "b")
+    roots = verified(loose.select("root", "node"), sets)
     rooted = nodes.join(roots, F.col("id") == F.col("node"), "left").select("content", "first", F.coalesce("root", "id").alias("root"))
     least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("best"))
     named = rooted.join(least, F.col("root") == F.col("r")).select(F.col("content").alias("c"), "best")
-    go = prints.join(named, F.col("content") == F.col("c")).where("mark != best.mark").select(F.col("mark").alias("__gone")).distinct()
-    return docs.withColumn("__mark", mark).join(go.hint("shuffle_hash"), F.col("__mark") == F.col("__gone"), "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    gone = prints.join(named, F.col("content") == F.col("c")).where("mark != best.mark").select("mark").distinct()
+    return without(docs, mark, gone)
