@@ -9,12 +9,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from chainfold.llm.common import arrow_pass, mix, query, shingles, table, text_bytes
+from chainfold.llm.common import STEP, arrow_pass, mix, query, shingles, table, text_bytes, without
 
 WIDTH = 8           # words of a window
 LITERAL = 5         # of which so many are no slots
 COVERAGE = 0.5      # part of an item's windows that makes a leak
 LONG = 30           # or so many windows of an item, whatever its length
+RUN = 13            # consecutive words of an item, or all of a shorter one, that make a leak when copied as they are
+LEAST = 5           # words of the shortest item that is looked for
 BITS = 24
 NUMBER, UNIT, NAME = 1, 2, 3
 
@@ -67,31 +69,45 @@ def canonical(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.where(kind > 0, kind.astype(np.uint64), value + np.uint64(16)), np.where(kind > 0, value, np.uint64(0))
 
 
-def windows(text: bytes, widths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first word and width of each window with enough literal words, and the slot values of the text."""
+def windows(text: bytes, widths: list[int], runs: list[int]) -> tuple[np.ndarray, ...]:
+    """Hash, first word, width and kind of each window, and the slot values of the text.
+
+    Kind 0: templates of ``widths`` words, with enough literal ones. Kind 1: the words themselves, ``runs`` of them,
+    without case and outer punctuation, whatever they are.
+    """
     template, slots = canonical(text)
     literal = np.r_[0, np.cumsum(slots == 0)]
-    out = [[], [], []]
+    out = [[], [], [], []]
+
+    def add(hashes, at, width, kind):
+        for column, values in zip(out, (hashes, at, np.full(len(at), width), np.full(len(at), kind)), strict=True):
+            column.append(values)
     for width in widths:
-        if len(template) < width:
-            continue
-        at = np.flatnonzero(literal[width:] - literal[:-width] >= LITERAL)
-        out[0].append(mix(shingles(template, width)[at] + np.uint64(width)))
-        out[1].append(at)
-        out[2].append(np.full(len(at), width))
-    return *(np.concatenate(o) if o else np.empty(0, t) for o, t in zip(out, (np.uint64, np.int64, np.int64), strict=True)), slots
+        if len(template) >= width:
+            at = np.flatnonzero(literal[width:] - literal[:-width] >= LITERAL)
+            add(mix(shingles(template, width)[at] + np.uint64(width)), at, width, 0)
+    said, rolled = np.where(slots > 0, slots, template - np.uint64(16)), np.zeros(len(template) + 1, np.uint64)
+    for width in range(1, min(max(runs, default=0), len(said)) + 1):
+        rolled = rolled[:-1] * STEP + said[width - 1:]
+        if width in runs:
+            add(mix(mix(rolled) + np.uint64(width << 8)), np.arange(len(rolled)), width, 1)
+    kinds = (np.uint64, np.int64, np.int64, np.int64)
+    return *(np.concatenate(o) if o else np.empty(0, t) for o, t in zip(out, kinds, strict=True)), slots
 
 
-HIT = "hash bigint, at int, slots array<bigint>"
+HIT = "hash bigint, at int, width int, slots array<bigint>"
 
 
 def _rows(ids, found) -> dict:
-    out = {"id": [], "hash": [], "at": [], "slots": []}
-    for i, (hashes, starts, widths, slots) in zip(ids, found, strict=True):
+    """Columns of the windows found; a verbatim one has no slots."""
+    out = {"id": [], "hash": [], "at": [], "width": [], "slots": []}
+    for i, (hashes, starts, widths, kinds, slots) in zip(ids, found, strict=True):
         out["id"] += [i] * len(hashes)
         out["hash"] += hashes.view(np.int64).tolist()
         out["at"] += starts.tolist()
-        out["slots"] += [slots[a:a + w].view(np.int64) for a, w in zip(starts.tolist(), widths.tolist(), strict=True)]
+        out["width"] += widths.tolist()
+        out["slots"] += [slots[:0].view(np.int64) if k else slots[a:a + w].view(np.int64)
+                         for a, w, k in zip(starts.tolist(), widths.tolist(), kinds.tolist(), strict=True)]
     return out
 
 
@@ -104,10 +120,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
     all that tasks get ahead; windows that it lets through are joined by hash. Windows at the same offset form a match.
     If every slot value of the item stands for one value of the document throughout the match, all its windows count: it
     is ``verbatim`` if the values are the same, else ``reparameterised``. Otherwise only windows with the same values
-    count. A leak is an item of which COVERAGE of the windows, or LONG windows, are matched.
+    count. A leak is an item of which COVERAGE of the windows, or LONG windows, are matched. Templates need LITERAL words
+    that are no slots; so the words themselves are looked for too, slots or not: RUN consecutive words of an item, or all
+    words of a shorter one, are a ``verbatim`` leak, and matched, windows and coverage then count such runs.
 
     Null texts count as empty and give no row, as do empty tables. Rows that repeat a doc_id are looked at one by one; a
-    null id stays null. Other columns are not looked at.
+    null id stays null. Very long texts are cut whole, one at a time. Other columns are not looked at.
     """
     kind = docs.select(F.col(id).alias("id")).schema["id"].dataType.simpleString()
     item_kind = benchmark.select(F.col(item).alias("id")).schema["id"].dataType.simpleString()
@@ -116,11 +134,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
         found = []
         for t in batch.column(1).to_pylist():
             n = len(t.split())
-            found.append(windows(t, [min(WIDTH, n)] if n >= LITERAL else []))
+            found.append(windows(t, [min(WIDTH, n)], [min(RUN, n)]) if n >= LEAST else windows(b"", [], []))
         return _rows(batch.column(0).to_pylist(), found)
     items = arrow_pass(benchmark.select(F.col(item).alias("id"), text_bytes(item_text)), f"id {item_kind}, {HIT}", cut_items).distinct()
     items = items.persist()
-    lengths = sorted({r.w for r in items.select(F.size("slots").alias("w")).distinct().collect()})
+    is_run = F.size("slots") == 0
+    lengths = sorted((r.width, r.run) for r in items.select("width", is_run.alias("run")).distinct().collect())
+    widths, runs = [w for w, run in lengths if not run], [w for w, run in lengths if run]
     cell = F.shiftrightunsigned("hash", 64 - BITS)
     words = items.groupBy(F.shiftright(cell, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITS}) & 63 as int))")).alias("bits")).collect()
     bitmap = np.zeros(1 << (BITS - 6), np.uint64)
@@ -131,18 +151,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
     def search(batch: pa.RecordBatch) -> dict:
         found, bits = [], held.value
         for t in batch.column(1).to_pylist():
-            hashes, starts, widths, slots = windows(t, lengths)
-            at = hashes >> np.uint64(64 - BITS)
+            *columns, slots = windows(t, widths, runs)
+            at = columns[0] >> np.uint64(64 - BITS)
             hit = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) > 0
-            found.append((hashes[hit], starts[hit], widths[hit], slots))
+            found.append((*(c[hit] for c in columns), slots))
         out = _rows(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True), found)
         return {**out, "row": [r for _, r in out["id"]], "id": [i for i, _ in out["id"]]}
     hits = arrow_pass(docs.select(F.col(id).alias("id"), text_bytes(text), F.monotonically_increasing_id()),
                       f"id {kind}, {HIT}, row bigint", search)
     asked = items.select(F.col("id").alias("item_id"), F.col("hash").alias("h"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
+    sizes = items.groupBy(F.col("id").alias("i")).agg(
+        F.countDistinct(F.when(~is_run, F.col("at"))).alias("windows"), F.countDistinct(F.when(is_run, F.col("at"))).alias("runs"))
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != 0)
-    met = hits.join(asked, F.col("hash") == F.col("h")).select(
-        "row", "id", "item_id", "at", "item_at", F.size("slots").alias("width"), pairs.alias("pairs"))
+    met = hits.where(~is_run).join(asked, F.col("hash") == F.col("h")).select(
+        "row", "id", "item_id", "at", "item_at", "width", pairs.alias("pairs"))
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
     matches = met.groupBy("row", "id", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(
         F.collect_set("item_at").alias("every"), F.collect_set(F.when(same, F.col("item_at"))).alias("equal"),
@@ -150,14 +172,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     counted = matches.withColumn("windows_in", F.when(consistent, F.col("every")).otherwise(F.col("equal"))).withColumn(
         "changed", consistent & ~same)
-    found = counted.where(F.size("windows_in") > 0).groupBy("row", "id", "item_id").agg(
+    by_template = counted.where(F.size("windows_in") > 0).groupBy("row", "id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("windows_in")))).alias("matched"), F.max("changed").alias("changed"),
         F.min("low").alias("first_word"), F.max("high").alias("last_word"))
-    sizes = items.groupBy(F.col("id").alias("i")).agg(F.countDistinct("at").alias("windows"))
-    return found.join(sizes, F.col("item_id").eqNullSafe(F.col("i"))).withColumn("coverage", F.col("matched") / F.col("windows")).where(
-        (F.col("coverage") >= COVERAGE) | (F.col("matched") >= LONG)).select(
+    share = F.col("matched") / F.col("windows")
+    by_template = by_template.join(sizes, F.col("item_id").eqNullSafe(F.col("i"))).where((share >= COVERAGE) | (F.col("matched") >= LONG))
+    by_words = hits.where(is_run).join(asked, F.col("hash") == F.col("h")).groupBy("row", "id", "item_id").agg(
+        F.countDistinct("item_at").cast("int").alias("matched"), F.lit(False).alias("changed"), F.min("at").alias("first_word"),
+        F.max(F.col("at") + F.col("width")).alias("last_word")).join(sizes, F.col("item_id").eqNullSafe(F.col("i"))).withColumn("windows", F.col("runs"))
+    told = ["matched", "windows", "changed", "first_word", "last_word"]
+    found = by_template.withColumn("first", F.lit(1)).unionByName(by_words.withColumn("first", F.lit(0))).groupBy("row", "id", "item_id").agg(
+        F.max(F.struct("first", *told)).alias("best")).select("id", "item_id", "best.*")
+    return found.select(
         F.col("id").alias("doc_id"), "item_id", F.when(F.col("changed"), "reparameterised").otherwise("verbatim").alias("kind"),
-        "matched", "windows", "coverage", "first_word", "last_word")
+        "matched", "windows", share.alias("coverage"), "first_word", "last_word")
 
 
 @query("op6_template_leaks")
@@ -168,6 +196,5 @@ def op6_template_leaks(spark, d):
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents in which no item leaks, all columns kept."""
     mark = F.xxhash64(F.col(id).cast("string"), text_bytes(text))
-    go = leaks(docs.select(mark.alias("mark"), F.col(text).alias("text")), benchmark, id="mark").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.withColumn("__mark", mark).join(go.hint("shuffle_hash"), F.col("__mark") == F.col("__gone"), "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    gone = leaks(docs.select(mark.alias("mark"), F.col(text).alias("text")), benchmark, id="mark").select("doc_id").distinct()
+    return without(docs, mark, gone)
