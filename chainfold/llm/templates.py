@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from chainfold.llm.common import STEP, arrow_pass, mix, query, shingles, table, text_bytes, without
+from chainfold.llm.common import STEP, arrow_pass, mix, query, shingles, stored, table, text_bytes, without
 
 WIDTH = 8           # words of a window
 LITERAL = 5         # of which so many are no slots
@@ -157,8 +157,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
             found.append((*(c[hit] for c in columns), slots))
         out = _rows(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True), found)
         return {**out, "row": [r for _, r in out["id"]], "id": [i for i, _ in out["id"]]}
-    hits = arrow_pass(docs.select(F.col(id).alias("id"), text_bytes(text), F.monotonically_increasing_id()),
-                      f"id {kind}, {HIT}, row bigint", search)
+    hits = stored(arrow_pass(docs.select(F.col(id).alias("id"), text_bytes(text), F.monotonically_increasing_id()),
+                             f"id {kind}, {HIT}, row bigint", search))
     asked = items.select(F.col("id").alias("item_id"), F.col("hash").alias("h"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     sizes = items.groupBy(F.col("id").alias("i")).agg(
         F.countDistinct(F.when(~is_run, F.col("at"))).alias("windows"), F.countDistinct(F.when(is_run, F.col("at"))).alias("runs"))
