@@ -140,7 +140,7 @@ def words_and_lines(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         piece = text[at:end].lower()
         at = end
         if len(piece) > SLICE and (word := piece.strip()):
-            found = np.frombuffer(hashlib.blake2b(word, digest_size=8).digest(), np.uint64), np.zeros(1, np.int64)
+            found = np.frombuffer(hashlib.blake2b(word, digest_size=8).digest(), np.uint64), np.array([piece[:piece.find(word)].count(b"\n")])
         else:
             found = _hash_slice(piece)
         out.append(found[0])

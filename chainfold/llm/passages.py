@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from chainfold.llm.buckets import linked
-from chainfold.llm.common import MIX, arrow_pass, mix, query, shingles, stored, table, text_bytes, words_and_lines
+from chainfold.llm.common import MIX, SLICE, arrow_pass, mix, query, shingles, stored, table, text_bytes, words_and_lines
 from chainfold.llm.components import components
 
 SHINGLE = 5
@@ -20,8 +20,8 @@ WINDOW = 20             # words of an anchored window
 GAP = 27                # shingle positions without an anchor, at most; GAP + WINDOW + 3 <= 50
 RECALL = 0.99           # of the bands, for a pair at SIMILARITY
 ALL_EQUAL = math.ceil(SIMILARITY / (1 - SIMILARITY) - 1e-9) - 1   # shingles up to which similar sets are equal sets
-SALTS = mix(np.arange(1, 65, dtype=np.uint64) * MIX)
-NODE = 1 << 24          # words that fit in the lower part of a place
+ODDS = mix(np.arange(1, 65, dtype=np.uint64) * MIX) | np.uint64(1)      # one order of all shingles each, as these are well mixed
+NODE = 1 << 31          # more than the words of any text: a place is first word * NODE + words
 
 
 def tune(similarity: float, recall: float, hashes: int = 16) -> tuple[int, int]:
@@ -46,69 +46,109 @@ def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(out[:len(values) - width + 1], out[width - size:]) if size < width else out
 
 
-def anchors(hashed: np.ndarray) -> np.ndarray:
-    """Positions with the least hash of some run of GAP positions: the same in every copy of a passage."""
-    if len(hashed) < GAP:
-        return np.flatnonzero(hashed == hashed.min()) if len(hashed) else np.empty(0, np.int64)
-    least = sliding(hashed, GAP, np.minimum)
-    padded = np.r_[np.zeros(GAP - 1, np.uint64), least, np.zeros(GAP - 1, np.uint64)]
-    return np.flatnonzero(sliding(padded, GAP, np.maximum) == hashed)
+def anchored(hashed: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Positions with the least hash of some run of GAP positions in a text: the same in every copy of a passage.
 
-
-def units(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, content, first word, words): a row for each band of each paragraph and window.
+    Several texts are looked at at once: owner is the text of each word, and a run or shingle lies in one text.
+    """
+    whole = owner[:len(hashed)] == owner[SHINGLE - 1:]
+    marked = np.zeros(len(hashed), bool)
+    if len(hashed) >= GAP:
+        least = sliding(hashed, GAP, np.minimum)
+        least[owner[:len(least)] != owner[GAP + SHINGLE - 2:]] = 0      # a run lies in one text
+        padded = np.r_[np.zeros(GAP - 1, np.uint64), least, np.zeros(GAP - 1, np.uint64)]
+        marked = (sliding(padded, GAP, np.maximum) == hashed) & whole
+    # a text with no whole run has its least hash as anchor
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    sizes = np.diff(np.r_[starts, len(owner)])
+    for start, size in zip(starts[sizes < GAP + SHINGLE - 1].tolist(), sizes[sizes < GAP + SHINGLE - 1].tolist(), strict=True):
+        own = hashed[start:start + size - SHINGLE + 1]
+        marked[start:start + len(own)] = own == own.min()
+    return np.flatnonzero(marked)
+
+
+class Pieces:
+    """The paragraphs and windows of some texts, cut together, as lines of one text, since many are short.
 
     A paragraph is a line of PARAGRAPH words or more. Windows of WINDOW words start at anchors, so that a passage of over 50
-    words holds the same window wherever it stands, also within a line. Content is a hash of all words of a unit.
+    words holds the same window wherever it stands, also within a line. Per unit, paragraphs first: text (its number), first (word
+    of its text), count (of words), content (a hash of all its words). ``once`` are the units with the first place of a content in
+    a text, ``later`` the others.
     """
-    words, lines = words_and_lines(text)
-    none = np.empty(0, np.int64)
-    if len(words) < min(PARAGRAPH, WINDOW):
-        return none.astype(np.uint64), none.astype(np.uint64), none, none
-    hashed = shingles(words, SHINGLE)
-    border = np.flatnonzero(np.r_[True, lines[1:] != lines[:-1], True])
-    starts, sizes = border[:-1], np.diff(border)
-    starts, sizes = starts[sizes >= PARAGRAPH], sizes[sizes >= PARAGRAPH]
-    at = anchors(hashed)
-    at = at[at + WINDOW <= len(words)]
-    first, count = np.r_[starts, at], np.r_[sizes, np.full(len(at), WINDOW)]
-    # the content by sums of words marked with their place in the unit
-    step = np.uint64(0x9E3779B1)
-    content = np.empty(len(first), np.uint64)
-    for s in range(0, len(starts)):
-        own = words[starts[s]:starts[s] + sizes[s]]
-        content[s] = mix(own + np.arange(len(own), dtype=np.uint64) * step).sum(dtype=np.uint64)
-    if len(at):
-        content[len(starts):] = sum(mix(words[at + i] + np.uint64(i) * step) for i in range(WINDOW))
-    _, once = np.unique(content, return_index=True)
-    is_window = once >= len(starts)
-    keys, rows = [], []
-    bands, deep = tune(SIMILARITY, RECALL)
-    # short lines are similar only to lines of the same shingles, which agree in every band
-    lines_, short = once[~is_window], sizes[once[~is_window]] < SHINGLE + ALL_EQUAL
-    edges = np.c_[starts, starts + sizes - SHINGLE + 1].ravel()
-    edges = edges[:-1] if len(edges) and edges[-1] >= len(hashed) else edges
-    band, wide = np.zeros(len(starts), np.uint64), np.zeros(len(at), np.uint64)
-    for k in range(bands * deep):
-        value = mix(hashed ^ SALTS[k])
-        if len(starts):
-            band = mix(band + np.minimum.reduceat(value, edges)[::2])
-            if k % deep == deep - 1:
-                chosen = lines_ if k < deep else lines_[~short]
-                keys.append(band[chosen] + np.uint64(k))
-                rows.append(chosen)
-                band = np.zeros(len(starts), np.uint64)
+
+    def __init__(self, texts: list[bytes]):
+        words, lines = words_and_lines(b"\n".join(texts))
+        owner = np.searchsorted(np.cumsum([t.count(b"\n") + 1 for t in texts]), lines, "right")
+        enough = np.bincount(owner, minlength=len(texts))[owner] >= PARAGRAPH
+        words, lines, owner = words[enough], lines[enough], owner[enough]
+        self.hashed = shingles(words, SHINGLE)
+        border = np.flatnonzero(np.r_[True, lines[1:] != lines[:-1], True]) if len(words) else np.zeros(1, np.int64)
+        sizes, step = np.diff(border), np.uint64(0x9E3779B1)
+        # the content by sums of words marked with their place in the unit
+        inside = (np.arange(len(words)) - np.repeat(border[:-1], sizes)).astype(np.uint64)
+        content = np.add.reduceat(mix(words + inside * step), border[:-1])[sizes >= PARAGRAPH] if len(words) else words
+        self.starts, self.sizes = border[:-1][sizes >= PARAGRAPH], sizes[sizes >= PARAGRAPH]
+        at = anchored(self.hashed, owner) if len(words) else border[:0]
+        at = at[at + WINDOW <= len(words)]
+        self.at = at = at[owner[at] == owner[at + WINDOW - 1]]
         if len(at):
-            wide = mix(wide + sliding(value, WINDOW - SHINGLE + 1, np.minimum)[at])
-            if k % deep == deep - 1:
-                chosen = once[is_window]
-                keys.append(wide[chosen - len(starts)] + np.uint64(k))
-                rows.append(chosen)
-                wide = np.zeros(len(at), np.uint64)
-    if not keys:
-        return none.astype(np.uint64), none.astype(np.uint64), none, none
-    row = np.concatenate(rows)
-    return mix(np.concatenate(keys) * MIX), content[row], first[row], count[row]
+            content = np.r_[content, sum(mix(words[at + i] + np.uint64(i) * step) for i in range(WINDOW))]
+        first = np.r_[self.starts, at]
+        self.content, self.count, self.text = content, np.r_[self.sizes, np.full(len(at), WINDOW)], owner[first]
+        self.first = first - np.searchsorted(owner, self.text)
+        order = np.lexsort((content, self.text))
+        again = np.zeros(len(order), bool)
+        again[1:] = (content[order[1:]] == content[order[:-1]]) & (self.text[order[1:]] == self.text[order[:-1]])
+        self.once, self.later = np.sort(order[~again]), order[again]
+
+    def banded(self) -> tuple[np.ndarray, np.ndarray]:
+        """(key, unit): a row for each band of each unit in ``once``."""
+        lines = self.once[self.once < len(self.starts)]
+        windows = self.once[len(lines):] - len(self.starts)
+        keys, units_ = [], []
+        bands, deep = tune(SIMILARITY, RECALL)
+        # short lines are similar only to lines of the same shingles, which agree in every band
+        long_ = lines[self.sizes[lines] >= SHINGLE + ALL_EQUAL]
+        edges = np.c_[self.starts, self.starts + self.sizes - SHINGLE + 1].ravel()
+        edges = edges[:-1] if len(edges) and edges[-1] >= len(self.hashed) else edges
+        band, wide = np.zeros(len(self.starts), np.uint64), np.zeros(len(windows), np.uint64)
+        for k in range(bands * deep):
+            value, last = self.hashed * ODDS[k], k % deep == deep - 1
+            if len(lines):
+                band = mix(band + np.minimum.reduceat(value, edges)[::2])
+                if last:
+                    chosen = lines if k < deep else long_
+                    keys.append(band[chosen] + np.uint64(k))
+                    units_.append(chosen)
+                    band = np.zeros(len(self.starts), np.uint64)
+            if len(windows):
+                wide = mix(wide + sliding(value, WINDOW - SHINGLE + 1, np.minimum)[self.at[windows]])
+                if last:
+                    keys.append(wide + np.uint64(k))
+                    units_.append(windows + len(self.starts))
+                    wide = np.zeros(len(windows), np.uint64)
+        if not keys:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return mix(np.concatenate(keys) * MIX), np.concatenate(units_)
+
+
+def units(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, content, first word, words): a row for each band of each paragraph and window of a text."""
+    cut = Pieces([text])
+    key, row = cut.banded()
+    return key, cut.content[row], cut.first[row], cut.count[row]
+
+
+def together(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of about SLICE bytes in all, with the number of texts before; a longer text is alone or the last."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= SLICE:
+            yield start, texts[start:i + 1]
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,6 +185,17 @@ def alike(columns):
     return near
 
 
+def columns(batch: pa.RecordBatch, choose: Callable[[Pieces], tuple[np.ndarray, np.ndarray]]) -> dict:
+    """The chosen units (key, unit) of a batch (doc, text) as columns."""
+    out = []
+    for start, some in together(batch.column(1).to_pylist()):
+        cut = Pieces(some)
+        key, row = choose(cut)
+        out.append((start + cut.text[row], key, cut.content[row], cut.first[row] * NODE + cut.count[row]))
+    text, key, content, place = (np.concatenate(c) for c in zip(*out, strict=True))
+    return {"key": key.view(np.int64), "content": content.view(np.int64), "doc": batch.column(0).to_numpy()[text], "place": place}
+
+
 def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with a repeated passage: doc_id, passages, removed_words, keeps_all.
 
@@ -161,10 +212,8 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     base = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc"), text_bytes(text).alias("text"))
 
     def cut_units(batch: pa.RecordBatch) -> dict:
-        out = [units(t) for t in batch.column(1).to_pylist()]
-        keys, contents, first, count = (np.concatenate(c) for c in zip(*out, strict=True))
-        return {"key": keys.view(np.int64), "content": contents.view(np.int64),
-                "doc": np.repeat(batch.column(0).to_numpy(), [len(o[0]) for o in out]), "place": first * NODE + np.minimum(count, NODE - 1)}
+        return columns(batch, Pieces.banded)
+
     schema = "key bigint, content bigint, doc bigint, place bigint"
     found = stored(arrow_pass(base, schema, cut_units).repartition("key").sortWithinPartitions("key").mapInArrow(_shared, schema))
     # buckets of several contents are verified; equal content needs no look
@@ -190,9 +239,9 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     members = found.select("content", "doc", "place").distinct().join(roots, F.col("content") == F.col("node"), "left").select(
         "doc", "place", F.coalesce("root", "content").alias("class_id"))
     classes = members.groupBy(F.col("class_id").alias("cls")).agg(F.min("doc").alias("keep_doc_id"), F.max("doc").alias("last")).where("keep_doc_id != last")
-    first = F.floor(F.col("place") / NODE).cast("long")
+    first = F.shiftright("place", 31)
     spans = members.join(classes, F.col("class_id") == F.col("cls")).select("doc", F.struct(
-        first.alias("first_word"), (first + F.col("place") % NODE).alias("last_word"), "class_id", "keep_doc_id",
+        first.alias("first_word"), (first + F.col("place").bitwiseAND(NODE - 1)).alias("last_word"), "class_id", "keep_doc_id",
         (F.col("doc") != F.col("keep_doc_id")).alias("removed")).alias("span"))
     cover = F.aggregate(F.filter("passages", lambda s: s.removed), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
                         lambda a, s: F.struct((a.n + F.greatest(F.lit(0).cast("long"), s.last_word - F.greatest(a.to, s.first_word))).alias("n"),
