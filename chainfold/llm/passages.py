@@ -73,7 +73,7 @@ class Pieces:
     A paragraph is a line of PARAGRAPH words or more. Windows of WINDOW words start at anchors, so that a passage of over 50
     words holds the same window wherever it stands, also within a line. Per unit, paragraphs first: text (its number), first (word
     of its text), count (of words), content (a hash of all its words). ``once`` are the units with the first place of a content in
-    a text, ``later`` the others.
+    a text, ``later`` its other places, by text and content.
     """
 
     def __init__(self, texts: list[bytes]):
@@ -96,10 +96,11 @@ class Pieces:
         first = np.r_[self.starts, at]
         self.content, self.count, self.text = content, np.r_[self.sizes, np.full(len(at), WINDOW)], owner[first]
         self.first = first - np.searchsorted(owner, self.text)
-        order = np.lexsort((content, self.text))
-        again = np.zeros(len(order), bool)
+        order = np.lexsort((self.first, content, self.text))
+        again, same = np.zeros(len(order), bool), np.zeros(len(order), bool)
         again[1:] = (content[order[1:]] == content[order[:-1]]) & (self.text[order[1:]] == self.text[order[:-1]])
-        self.once, self.later = np.sort(order[~again]), order[again]
+        same[1:] = again[1:] & (self.first[order[1:]] == self.first[order[:-1]])      # a line that is a window too
+        self.once, self.later = np.sort(order[~again]), order[again & ~same]
 
     def banded(self) -> tuple[np.ndarray, np.ndarray]:
         """(key, unit): a row for each band of each unit in ``once``."""
@@ -201,8 +202,8 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
 
     ``passages`` has, in order, first_word and last_word (exclusive), class_id, keep_doc_id (the smallest id of the class) and
     removed (another document keeps it). A class is a component of units that are equal or have a Jaccard similarity of
-    0.8 of their five-word shingles, A-Z as a-z, and that at least two documents hold. removed_words counts the words in
-    removed passages once.
+    0.8 of their five-word shingles, A-Z as a-z, and that at least two documents hold. All places of a unit in a document are
+    passages. removed_words counts the words in removed passages once.
 
     The id must be an integer; rows without id are left out. Rows that repeat an id count as one document, so they do not
     repeat each other. Null, empty and short texts hold no unit; an empty table gives no row; other columns are not looked at.
@@ -214,8 +215,15 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     def cut_units(batch: pa.RecordBatch) -> dict:
         return columns(batch, Pieces.banded)
 
+    def cut_later(batch: pa.RecordBatch) -> dict:
+        out = columns(batch, lambda cut: (cut.content[cut.later], cut.later))
+        content, doc = out["content"], out["doc"]
+        border = np.flatnonzero(np.r_[True, (content[1:] != content[:-1]) | (doc[1:] != doc[:-1]), True]) if len(doc) else np.zeros(1, int)
+        return {"content": content[border[:-1]], "doc": doc[border[:-1]],
+                "places": pa.ListArray.from_arrays(pa.array(border, pa.int32()), pa.array(out["place"]))}
     schema = "key bigint, content bigint, doc bigint, place bigint"
     found = stored(arrow_pass(base, schema, cut_units).repartition("key").sortWithinPartitions("key").mapInArrow(_shared, schema))
+    later = arrow_pass(base, "content bigint, doc bigint, places array<bigint>", cut_later)
     # buckets of several contents are verified; equal content needs no look
     several = found.groupBy(F.col("key").alias("k")).agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low != high").select("k")
     pairs = stored(found.join(several, F.col("key") == F.col("k"), "left_semi").groupBy("key", "content").agg(
@@ -236,17 +244,20 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
                       "content bigint, shingles array<bigint>", cut_shingles).withColumnRenamed("content", "c").dropDuplicates(["c"])
     edges = linked(pairs.select("key", F.col("content").alias("node")), sets, alike)
     roots = components(edges, "a", "b")
-    members = found.select("content", "doc", "place").distinct().join(roots, F.col("content") == F.col("node"), "left").select(
-        "doc", "place", F.coalesce("root", "content").alias("class_id"))
+    # a content in one document only has no class in another, so its later places go with the classes of one document
+    members = found.select("content", "doc", F.array("place").alias("places")).distinct().unionByName(later).join(
+        roots, F.col("content") == F.col("node"), "left").select("doc", "places", F.coalesce("root", "content").alias("class_id"))
     classes = members.groupBy(F.col("class_id").alias("cls")).agg(F.min("doc").alias("keep_doc_id"), F.max("doc").alias("last")).where("keep_doc_id != last")
-    first = F.shiftright("place", 31)
-    spans = members.join(classes, F.col("class_id") == F.col("cls")).select("doc", F.struct(
-        first.alias("first_word"), (first + F.col("place").bitwiseAND(NODE - 1)).alias("last_word"), "class_id", "keep_doc_id",
-        (F.col("doc") != F.col("keep_doc_id")).alias("removed")).alias("span"))
+    held = members.join(classes, F.col("class_id") == F.col("cls")).groupBy("doc").agg(F.collect_list(F.struct("class_id", "keep_doc_id", "places")).alias("held"))
+    spans = F.array_sort(F.flatten(F.transform("held", lambda h: F.transform(h.places, lambda p: F.struct(
+        F.shiftright(p, 31).alias("first_word"), (F.shiftright(p, 31) + p.bitwiseAND(NODE - 1)).alias("last_word"), h.class_id.alias("class_id"),
+        h.keep_doc_id.alias("keep_doc_id"), (F.col("doc") != h.keep_doc_id).alias("removed"))))))
     cover = F.aggregate(F.filter("passages", lambda s: s.removed), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to")),
                         lambda a, s: F.struct((a.n + F.greatest(F.lit(0).cast("long"), s.last_word - F.greatest(a.to, s.first_word))).alias("n"),
                                               F.greatest(a.to, s.last_word).alias("to")), lambda a: a.n)
-    return spans.groupBy("doc").agg(F.array_sort(F.collect_set("span")).alias("passages")).select(
+    # rows that repeat an id may repeat a span
+    new = F.filter("spans", lambda s, i: (i == 0) | (s != F.get("spans", i - 1)))
+    return held.select("doc", spans.alias("spans")).select("doc", new.alias("passages")).select(
         F.col("doc").alias("doc_id"), "passages", cover.alias("removed_words")).withColumn("keeps_all", F.col("removed_words") == 0)
 
 

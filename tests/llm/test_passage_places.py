@@ -52,9 +52,20 @@ def test_units_of_many_texts_are_those_of_each():
         alone = passages.units(text)
         own = cut.text[rows] == i
         assert sorted(keys[own].tolist()) == sorted(alone[0].tolist())
-    assert len(cut.once) + len(cut.later) == len(cut.text) and len(cut.later)
+        assert len(once) + int((cut.text[cut.later] == i).sum()) == len({w[:2] for w in want})
 
 
 def test_a_giant_word_keeps_the_line_of_its_own():
     words, lines = words_and_lines(b"a b\n\n" + b"x" * 400_000 + b" c\nd")
     assert lines.tolist() == [0, 0, 2, 2, 3] and len(words) == 5
+
+
+def test_every_place_of_a_passage_is_reported(spark):
+    draw = random.Random(8)
+    rare = lambda n: " ".join(f"r{draw.randrange(10 ** 6)}" for _ in range(n))
+    line = rare(24)
+    rows = [(1, f"{rare(30)}\n{line}"), (2, f"{line}\n{rare(9)}\n{line.upper()}\n{rare(40)}\n{line}"), (3, f"{rare(8)}\n" * 3), (4, None)] * 2
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert set(got) == {1, 2} and got[1].keeps_all and got[2].removed_words == 72
+    whole = {(s.first_word, s.last_word) for s in got[2].passages if s.last_word - s.first_word == 24}
+    assert whole == {(0, 24), (33, 57), (97, 121)}
