@@ -68,11 +68,11 @@ def state_as_of(changes: DataFrame, resets: DataFrame, end: int) -> DataFrame:
 
 
 def state_as_of_each(changes: DataFrame, resets: DataFrame, targets: list[int]) -> DataFrame:
-    """Nonzero state at a few named blocks (a parameter, so short by nature) in one pass over the changes.
+    """State at a few named blocks (a parameter, so short by nature) in one pass over the changes: every slot at every target.
 
     A row goes to the first target that sees it, and the reduction keeps at most one row per key and target, from which
-    each target takes the newest up to it. Slots that read as zero at a target give no row. A table of
-    (address, slot, block) is answered by ``as_of.values_as_of`` instead.
+    each target takes the newest up to it. A slot that is cleared, reset or not yet written at a target reads as zero, also
+    one first written behind the last target. A table of (address, slot, block) is answered by ``as_of.values_as_of`` instead.
     """
     wanted = sorted(set(targets))
     if not wanted:
@@ -82,9 +82,9 @@ def state_as_of_each(changes: DataFrame, resets: DataFrame, targets: list[int])
 
     def per_target(rows: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
         best = F.max(F.struct("number", "ordinal", *fields)).alias("best")
-        return (rows.where(F.col("number") <= wanted[-1]).withColumn("target", first_seen)
-                .groupBy(*keys, "target").agg(best)
-                .groupBy(*keys).agg(F.collect_list(F.struct("target", "best")).alias("steps")))
+        step = F.when(F.col("target").isNotNull(), F.struct("target", "best"))
+        return (rows.withColumn("target", first_seen).groupBy(*keys, "target").agg(best)
+                .groupBy(*keys).agg(F.collect_list(step).alias("steps")))
 
     def carried(steps: str, n: Column) -> Column:
         seen = F.filter(F.col(steps), lambda s: s["target"] <= n)
@@ -92,12 +92,11 @@ def state_as_of_each(changes: DataFrame, resets: DataFrame, targets: list[int])
 
     slots = per_target(changes, ["address", "slot"], ["value"])
     cuts = per_target(resets, ["address"], []).withColumnRenamed("steps", "cuts")
-    at = F.filter(F.transform(marks, lambda n: F.struct(
-        n.alias("target"), carried("steps", n).alias("best"), carried("cuts", n).alias("cut"))), lambda a: a["best"].isNotNull() & (
-            a["best"]["value"] != X.ZERO_WORD) & (a["cut"].isNull() | (
-                X.position(a["best"]["number"], a["best"]["ordinal"]) > X.position(a["cut"]["number"], a["cut"]["ordinal"]))))
+    at = F.transform(marks, lambda n: F.struct(n.alias("target"), carried("steps", n).alias("best"), carried("cuts", n).alias("cut")))
+    best, cut = F.col("at.best"), F.col("at.cut")
+    held = best.isNotNull() & (cut.isNull() | (X.position(best["number"], best["ordinal"]) > X.position(cut["number"], cut["ordinal"])))
     return (slots.join(cuts, "address", "left").select("address", "slot", F.explode(at).alias("at"))
-            .select("at.target", "address", "slot", F.col("at.best.value").alias("value")))
+            .select("at.target", "address", "slot", F.when(held, best["value"]).otherwise(F.lit(X.ZERO_WORD)).alias("value")))
 
 
 def slot_values(state: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -57,6 +57,17 @@ def test_state_is_order_and_copy_independent(spark, history):
         assert {(r.address, r.slot): r.value for r in many if r.target == end} == brute(changes, resets, end)
 
 
+def test_every_slot_has_a_value_at_every_target(spark):
+    """A slot that is cleared, reset, not yet written or first written behind the last target reads as zero there."""
+    word = lambda n: f"0x{n:064x}"
+    changes = spark.createDataFrame([(1, 0, "a", "s", word(1)), (5, 0, "a", "s", X.ZERO_WORD), (2, 0, "b", "s", word(2)),
+                                     (9, 0, "c", "late", word(3))], CHANGE)
+    got = L.state_as_of_each(changes, spark.createDataFrame([(4, 0, "b")], RESET), [3, 6]).collect()
+    assert {(r.target, r.address, r.slot): r.value for r in got} == {
+        (3, "a", "s"): word(1), (6, "a", "s"): X.ZERO_WORD, (3, "b", "s"): word(2), (6, "b", "s"): X.ZERO_WORD,
+        (3, "c", "late"): X.ZERO_WORD, (6, "c", "late"): X.ZERO_WORD}
+
+
 def test_chunked_folds_equal_one_pass(spark, history):
     changes, resets = history
     ch, rs = spark.createDataFrame(changes, CHANGE), spark.createDataFrame(resets, RESET)
