@@ -102,7 +102,7 @@ def _sum_logs(terms: np.ndarray) -> np.ndarray:
         return safe + np.log(np.exp(terms - safe).sum(0))
 
 
-def _one_word(word: bytes, v: Vocabulary) -> float:
+def _forward(word: bytes, v: Vocabulary) -> list[float]:
     """The forward recursion for a single long word."""
     most, index, logs = max(v.lengths), v.index, v.logs.tolist()
     alpha = [0.0] * (len(word) + 1)
@@ -110,7 +110,23 @@ def _one_word(word: bytes, v: Vocabulary) -> float:
         terms = [alpha[j - n] + logs[i] for n in range(1, min(j, most) + 1) if (i := index.get(word[j - n:j])) is not None]
         top = max(terms)
         alpha[j] = top + math.log(sum(math.exp(t - top) for t in terms))
-    return alpha[-1]
+    return alpha
+
+
+def _one_word(word: bytes, v: Vocabulary) -> float:
+    return _forward(word, v)[-1]
+
+
+def _count_pieces(word: bytes, v: Vocabulary, total: np.ndarray) -> None:
+    """Add the expected pieces of a single long word to ``total``: the backward recursion behind the forward one."""
+    most, index, logs, alpha = max(v.lengths), v.index, v.logs.tolist(), _forward(word, v)
+    beta = [0.0] * (len(word) + 1)
+    for j in range(len(word) - 1, -1, -1):
+        arcs = [(i, logs[i] + beta[j + n]) for n in range(1, min(len(word) - j, most) + 1) if (i := index.get(word[j:j + n])) is not None]
+        for i, through in arcs:
+            total[i] += math.exp(alpha[j] + through - alpha[-1])
+        top = max(through for _, through in arcs)
+        beta[j] = top + math.log(sum(math.exp(through - top) for _, through in arcs))
 
 
 def _lattices(words: list[bytes], v: Vocabulary):
@@ -152,11 +168,13 @@ def _by_length(words: list[bytes]):
 
 
 def expected_pieces(words: list[bytes], v: Vocabulary) -> np.ndarray:
-    """How often each piece is expected in these words, over all segmentations. Words of over LONG bytes add nothing."""
+    """How often each piece is expected in these words, over all segmentations."""
     total = np.zeros(len(v.pieces) + 1)
     logs = np.r_[v.logs, -np.inf]
     for size, at in _by_length(words):
         if size > LONG:
+            for i in at:
+                _count_pieces(b" " + words[i], v, total)
             continue
         alpha, steps = np.zeros((size + 1, len(at))), []
         for j, lengths, pieces in _lattices([b" " + words[i] for i in at], v):
