@@ -92,7 +92,8 @@ def nested_blocks(spark, d):
     """Blocks of 50 orders: most orders are transactions, some are system calls, some block-level changes.
 
     The lines of one number and flag are a call with one change of each kind per line; line 2 also authorizes. A
-    block is one row by its format, so its orders and lines are collected.
+    block is one row by its format, so its orders and lines are collected. Orders and lines meet in the order's block by one
+    exchange of bare values; both groupings and the padded words of the format are made behind it.
     """
     from chainfold import schema as S
     sized = lambda c, digits: F.unhex(F.lpad(F.hex(c), digits, "0"))
@@ -101,8 +102,17 @@ def nested_blocks(spark, d):
                     F.when(F.col("l_linestatus") == "F", 7).otherwise(5).alias("reason"),
                     F.round(F.col("l_discount") * 100).cast("bigint").alias("old"),
                     F.round(F.col("l_tax") * 100).cast("bigint").alias("new"))
-    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.sort_array(F.collect_list(line)).alias("lines"))
+    status = F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "F", 2).otherwise(3)
+    order = F.struct("o_custkey", status.alias("status"), (F.col("o_orderpriority") == "1-URGENT").alias("set_code"))
+    place = F.expr("o_orderkey div 50").alias("number")
+    items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), line.alias("line"))
+    both = items.select(place, "o_orderkey", "line").unionByName(
+        table(spark, d, "orders").select(place, "o_orderkey", order.alias("order")), allowMissingColumns=True)
+    orders = (both.repartition("number").groupBy("number", "o_orderkey").agg(
+        F.sort_array(F.collect_list("line")).alias("lines"), F.collect_list("order").alias("orders"))
+        .where((F.size("lines") > 0) & F.col("o_orderkey").isNotNull()).select("number", "o_orderkey", "lines", F.explode("orders").alias("order"))
+        .select("number", "o_orderkey", "lines", "order.*"))
+    blocks = orders.groupBy("number").agg(F.collect_list(F.struct("o_orderkey", "o_custkey", "status", "set_code", "lines")).alias("orders"))
     ordinal = lambda x: x["part"] % 8
     small = lambda x: sized(x["supp"] % 5, 40)
     balance = lambda x: F.struct(sized(x["supp"], 40), sized(x["old"], 16), sized(x["new"], 16), x["reason"], ordinal(x))
@@ -110,26 +120,27 @@ def nested_blocks(spark, d):
     storage = lambda x: F.struct(sized(x["supp"], 40), sized(x["part"], 64), sized(x["old"], 64), sized(x["new"], 64), ordinal(x))
     nonce = lambda x: F.struct(small(x), x["old"] % 2, x["new"] % 3, ordinal(x))
 
-    def call(key, place):
-        own = F.filter("lines", lambda x: (x["line"] == key["line"]) & (x["reverted"] == key["reverted"]))
-        return F.struct(place, F.lit(0), F.lit(1), F.lit(b""), key["reverted"], F.lit(False), F.lit(4), F.lit(1000),
-                        *[F.transform(own, make) for make in (storage, balance, nonce, code)])
-    keys = F.array_distinct(F.transform("lines", lambda x: F.struct(x["line"].alias("line"), x["reverted"].alias("reverted"))))
-    grants = F.transform(F.filter("lines", lambda x: x["line"] == 2),
-                         lambda x: F.struct(small(x), sized(x["part"], 40), F.lit(0), x["reverted"]))
-    status = F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "F", 2).otherwise(3)
-    tx = F.struct(sized(F.col("o_orderkey"), 64), F.col("o_orderkey"), F.when(F.col("o_orderpriority") == "1-URGENT", 4).otherwise(0),
-                  status, sized(F.col("o_custkey") % 5, 40), F.lit(0), F.lit(1000), grants, F.col("calls"))
-    kind = F.col("o_custkey") % 10
-    together = lambda array: F.flatten(F.collect_list(array))
-    blocks = (table(spark, d, "orders").join(lines, "o_orderkey").withColumn("calls", F.transform(keys, call))
-              .groupBy(F.expr("o_orderkey div 50").alias("number")).agg(
-        F.collect_list(F.when(kind > 1, tx)).alias("transaction_traces"), together(F.when(kind == 0, F.col("calls"))).alias("system_calls"),
-        together(F.when(kind == 1, F.transform("lines", balance))).alias("balance_changes"),
-        together(F.when(kind == 1, F.transform("lines", code))).alias("code_changes")))
+    def calls(o):
+        def call(key, place):
+            own = F.filter(o["lines"], lambda x: (x["line"] == key["line"]) & (x["reverted"] == key["reverted"]))
+            return F.struct(place, F.lit(0), F.lit(1), F.lit(b""), key["reverted"], F.lit(False), F.lit(4), F.lit(1000),
+                            *[F.transform(own, make) for make in (storage, balance, nonce, code)])
+        return F.transform(F.array_distinct(F.transform(o["lines"], lambda x: F.struct(
+            x["line"].alias("line"), x["reverted"].alias("reverted")))), call)
+
+    def tx(o):
+        grants = F.transform(F.filter(o["lines"], lambda x: x["line"] == 2),
+                             lambda x: F.struct(small(x), sized(x["part"], 40), F.lit(0), x["reverted"]))
+        return F.struct(sized(o["o_orderkey"], 64), o["o_orderkey"], F.when(o["set_code"], 4).otherwise(0),
+                        o["status"], sized(o["o_custkey"] % 5, 40), F.lit(0), F.lit(1000), grants, calls(o))
+    of = lambda test: F.filter("orders", lambda o: test(o["o_custkey"] % 10))
+    outside = F.flatten(F.transform(of(lambda kind: kind == 1), lambda o: o["lines"]))
+    parts = {"transaction_traces": F.transform(of(lambda kind: kind > 1), tx),
+             "system_calls": F.flatten(F.transform(of(lambda kind: kind == 0), calls)),
+             "balance_changes": F.transform(outside, balance), "code_changes": F.transform(outside, code)}
     word = sized(F.col("number"), 64)
     other = {"ver": F.lit(5), "detail_level": F.lit(0), "hash": word,
-             "header": F.struct("number", word, word, word, F.struct(F.lit(1), F.lit(0)))}
+             "header": F.struct("number", word, word, word, F.struct(F.lit(1), F.lit(0))), **parts}
     return blocks.select(*[other.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in S.BLOCK.fields])
 
 
