@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chainfold.functions import scalars as X
-from chainfold.operators.ordered import previous_row
+from chainfold.operators.ordered import previous_row, row_rank
 
 
 def violations(rows: DataFrame, keys: list[str], rules: dict[str, Column]) -> DataFrame:
@@ -113,16 +113,25 @@ def side_claims(states: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def snapshot_json(head: DataFrame, accounts: DataFrame, storage: DataFrame) -> DataFrame:
-    """Head, accounts and slots as JSON, one row each: (section, key, body). In key order they are the whole snapshot.
+    """Head, accounts and slots as one JSON document in pieces (part, place, text).
 
-    Rows are written and read in parallel; no account, let alone the state, is put together in one value.
+    The texts, put together in the order of (part, place), are the document: accounts by address, slots by address and
+    slot. Places come from ranges of the keys, so no account, let alone the state, is put together in one task or value.
     """
-    def listed(rows: DataFrame, order: list[str], name: str) -> DataFrame:
-        body = F.to_json(F.struct(*order, *[c for c in rows.columns if c not in order]), {"ignoreNullFields": "false"})
-        return rows.select(F.lit(name).alias("section"), F.concat_ws("/", *order).alias("key"), body.alias("body"))
-
-    return listed(head, head.columns[:1], "header").unionByName(listed(accounts, ["address"], "accounts")).unionByName(
-        listed(storage, ["address", "slot"], "storage"))
+    def body(rows: DataFrame, order: list[str]):
+        return F.to_json(F.struct(*order, *[c for c in rows.columns if c not in order]), {"ignoreNullFields": "false"})
+
+    def listed(rows: DataFrame, order: list[str], part: int) -> DataFrame:
+        return rows.select(F.lit(part).alias("part"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)],
+                           *[F.lit("").alias(f"_k{i}") for i in range(len(order), 2)], body(rows, order).alias("body"))
+
+    rows = listed(accounts, ["address"], 1).unionByName(listed(storage, ["address", "slot"], 3))
+    placed = row_rank(rows, ["part"], ["_k0", "_k1"], "place")
+    pieces = placed.select("part", "place", F.concat(F.when(F.col("place") > 1, ",").otherwise(""), "body").alias("text"))
+    one = F.lit(1).cast("bigint").alias("place")
+    opening = head.select(F.lit(0).alias("part"), one, F.concat(F.lit('{"header":'), body(head, []), F.lit(',"accounts":[')).alias("text"))
+    rest = head.sparkSession.createDataFrame([(2, 1, '],"storage":['), (4, 1, "]}")], "part int, place bigint, text string")
+    return opening.unionByName(pieces).unionByName(rest)
 
 
 def sample_verdict(sample: DataFrame, reference: DataFrame) -> DataFrame:

@@ -498,10 +498,13 @@ def code_dedup(spark, d):
 
 
 @query("snapshot_json", f"""{NONZERO},
-a AS (SELECT address, CAST(count(*) AS BIGINT) AS n FROM ev GROUP BY address)
-SELECT 'header' AS section, CAST(max(number) AS VARCHAR) AS key, '{{"number":' || max(number) || '}}' AS body FROM ev
-UNION ALL SELECT 'accounts', address, '{{"address":"' || address || '","n":' || n || '}}' FROM a
-UNION ALL SELECT 'storage', address || '/' || slot, '{{"address":"' || address || '","slot":"' || slot || '","value":"' || value || '"}}' FROM nz""")
+a AS (SELECT address, CAST(count(*) AS BIGINT) AS n FROM ev GROUP BY address),
+b AS (SELECT 1 AS part, address AS key, '{{"address":"' || address || '","n":' || n || '}}' AS body FROM a
+  UNION ALL SELECT 3, address || '/' || slot, '{{"address":"' || address || '","slot":"' || slot || '","value":"' || value || '"}}' FROM nz),
+p AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY key) AS place, body FROM b)
+SELECT part, place, CASE WHEN place > 1 THEN ',' ELSE '' END || body AS text FROM p
+UNION ALL SELECT 0, 1, '{{"header":{{"number":' || max(number) || '}},"accounts":[' FROM ev
+UNION ALL SELECT 2, 1, '],"storage":[' UNION ALL SELECT 4, 1, ']}}'""")
 def snapshot_json(spark, d):
     ev = events(spark, d)
     return Q.snapshot_json(ev.agg(F.max("number").alias("number")), ev.groupBy("address").agg(F.count("*").alias("n")),
