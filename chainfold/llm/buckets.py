@@ -28,7 +28,8 @@ def forest(close: Callable[[int], np.ndarray], n: int) -> list[tuple[int, int]]:
 
 
 def linked(rows: DataFrame, payload: DataFrame, close: Callable[[list[np.ndarray]], Callable[[int], np.ndarray]],
-           pairs: Callable[[list[np.ndarray], np.ndarray, np.ndarray], np.ndarray] | None = None, block: int = BLOCK) -> DataFrame:
+           pairs: Callable[[list[np.ndarray], np.ndarray, np.ndarray], np.ndarray] | None = None, block: int = BLOCK,
+           label: str | None = None) -> DataFrame:
     """Edges (a, b) that connect, in each bucket of ``rows`` (key, node), the members that are close to each other.
 
     Two members of a bucket end up connected exactly if a chain of close members of that bucket joins them: a
@@ -36,10 +37,11 @@ def linked(rows: DataFrame, payload: DataFrame, close: Callable[[list[np.ndarray
     joined once a bucket is known to have several members; a node is in a bucket once. A bucket of more than
     ``block`` members is dealt into blocks of about that size, and each pair of blocks is compared in its own
     group, so no task holds more than a few blocks at once, whatever the bucket. ``pairs`` may tell for many
-    buckets of two at once whether their members are close.
+    buckets of two at once whether their members are close. With ``label``, a column of ``payload`` that is equal for nodes
+    known to be connected, edges join labels instead of nodes, and those within a label are left out.
     """
     node = payload.columns[0]
-    name = payload.columns
+    name = payload.columns if label is None else [label, *[c for c in payload.columns[1:] if c != label]]
     counts = rows.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1")
     parts = F.ceil(F.col("_n") / block).cast("int")
     own = F.pmod(F.xxhash64("_node", F.lit(7)), parts).cast("int")

@@ -24,6 +24,7 @@ LANES = np.arange(64, dtype=np.uint64) * MIX
 CELLS = 24              # bits of a cell in the bitmap of texts to compare
 SETS = 256              # shingle sets that a block holds
 WEIGHT = 1 << 22        # and shingles in them, unless one set has more
+FIRST = 8               # tables whose edges are put together before many others are looked at
 
 
 def fingerprint(text: bytes, words: int = 4, lanes: int = 1) -> bytes:
@@ -155,7 +156,9 @@ def sampled_tables(count: int, bits: int, max_bits: int, recall: float) -> list[
 def near_edges(prints: DataFrame, lanes: int, max_bits: int, recall: float | None = None) -> DataFrame:
     """Edges (a, b) of node ids that connect the fingerprints of ``prints`` (id, p) within ``max_bits`` of each other.
 
-    Without ``recall`` every such pair is found; else one whose texts are at SIMILARITY with that probability.
+    Without ``recall`` every such pair is found; else one whose texts are at SIMILARITY with that probability. Where tables are
+    many, the first few connect most of a family, and the others give edges between the components found so far only:
+    so a family costs a few edges a member, not one for each table.
     """
     count, bits = prints.count(), 64 * lanes
     tables = exact_tables(count, bits, max_bits) if recall is None else sampled_tables(count, bits, max_bits, recall)
@@ -176,8 +179,18 @@ def near_edges(prints: DataFrame, lanes: int, max_bits: int, recall: float | Non
         raw = batch.column(1).to_pylist()
         return {"id": batch.column(0), "p": raw, "far": [row.tobytes() for row in pivot_table(words_of(raw))]}
     ids = prints.select("id", "p")
-    rows = arrow_pass(ids, "node bigint, keys array<bigint>", keys).select(F.explode("keys").alias("key"), "node")
-    return linked(rows, arrow_pass(ids, "id bigint, p binary, far binary", measured), close_by(max_bits), pairs_by(max_bits))
+    keyed = arrow_pass(ids, "node bigint, keys array<bigint>", keys)
+    payload = arrow_pass(ids, "id bigint, p binary, far binary", measured)
+
+    def edges(start: int, stop: int, payload: DataFrame, label: str | None = None) -> DataFrame:
+        rows = keyed.select(F.explode(F.slice("keys", start + 1, stop - start)).alias("key"), "node")
+        return linked(rows, payload, close_by(max_bits), pairs_by(max_bits), label=label)
+    if len(tables) <= 2 * FIRST:
+        return edges(0, len(tables), payload)
+    roots = stored(components(edges(0, FIRST, payload), "a", "b"))
+    labelled = payload.join(roots, F.col("id") == F.col("node"), "left").select("id", "p", "far", F.coalesce("root", "id").alias("label"))
+    known = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return known.unionByName(edges(FIRST, len(tables), labelled, "label"))
 
 
 def with_fingerprint(docs: DataFrame, text: str, name: str, words: int = 4, lanes: int = 1) -> DataFrame:
