@@ -224,10 +224,19 @@ def partition_bounds(spark, d):
 
 # ---------------------------------------------------------------- streams
 
+FILE_ROWS = 100_000
+
+
+def files_per_batch(rows) -> int:
+    """Files that a tenth of the table is dealt over, so that a micro-batch of any size is read by many tasks."""
+    return max(1, -(-rows.count() // (10 * FILE_ROWS)))
+
+
 def event_stream(spark, d, files: str | None = None):
-    """The event file as a stream, with the views' columns; or the files of ``delivered``, one in each micro-batch."""
-    schema = table(spark, d, "events").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1 if files else 64)
+    """The event file as a stream, with the views' columns; or the files of ``delivered``, a tenth of them in each micro-batch."""
+    rows = table(spark, d, "events")
+    schema = rows.schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch(rows) if files else 64)
     raw = reader.parquet(files) if files else reader.option("pathGlobFilter", "events.parquet").parquet(d)
     k = F.get_json_object("props", "$.k").cast("bigint")
     return raw.select(
@@ -242,10 +251,11 @@ def fresh_folder(spark) -> str:
 
 
 def delivered(spark, d) -> str:
-    """All events in ten files by range of ids, which arrive in any order, then a tenth of the events once more."""
+    """All events in files by range of ids for ten batches, which arrive in any order, then a tenth of the events once more for two."""
     at, rows = f"{fresh_folder(spark)}/in", table(spark, d, "events")
-    rows.repartitionByRange(10, "event_id").write.parquet(at)
-    rows.where("event_id % 10 = 3").write.mode("append").parquet(at)
+    files = files_per_batch(rows)
+    rows.repartitionByRange(10 * files, "event_id").write.parquet(at)
+    rows.where("event_id % 10 = 3").repartitionByRange(2 * files, "event_id").write.mode("append").parquet(at)
     return at
 
 

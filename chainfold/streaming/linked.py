@@ -7,9 +7,12 @@ closes when its block arrives, and a rival hash is found however long ago the fi
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -17,12 +20,15 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from chainfold.operators.ordered import previous_row
 
 STRIPE = 256
-HELD = "version bigint, number array<bigint>, h1 array<string>, h2 array<string>, p1 array<string>, p2 array<string>"
+HELD = "version bigint, blocks string"      # JSON text: arrays would be converted element by element at every call
 REPORT = ("source string, stripe bigint, version bigint, first bigint, last bigint, holes array<struct<number:bigint,last:bigint>>, "
           "conflicts array<bigint>, broken array<bigint>, overdue boolean")
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_SIDES = {"h1": "min", "h2": "max", "p1": "min", "p2": "max"}
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+PARTITIONS = "spark.sql.shuffle.partitions"
+STORES_PER_CORE = 4
+Held = dict[int, tuple[str, str, str, str]]     # number, in order: smallest and largest hash, smallest and largest parent
 
 
 class Stripe(StatefulProcessor):
@@ -35,41 +41,52 @@ class Stripe(StatefulProcessor):
         self.handle = handle
         self.held = handle.getValueState("held", HELD)
 
-    def _load(self) -> tuple[int, pd.DataFrame]:
-        if not self.held.exists():
-            return 0, pd.DataFrame({"number": pd.Series(dtype="int64"), **{side: pd.Series(dtype="object") for side in _SIDES}})
-        version, *columns = self.held.get()
-        return version, pd.DataFrame(dict(zip(("number", *_SIDES), columns, strict=True)))
+    def _load(self) -> tuple[int, Held]:
+        stored = self.held.get()
+        if stored is None:
+            return 0, {}
+        version, blocks = stored
+        return version, {number: tuple(sides) for number, *sides in json.loads(blocks)}
 
-    def _report(self, key: tuple, version: int, held: pd.DataFrame, overdue: bool) -> pd.DataFrame:
+    def _store(self, version: int, held: Held) -> None:
+        self.held.update((version, json.dumps([(number, *sides) for number, sides in held.items()])))
+
+    def _report(self, key: tuple, version: int, held: Held, overdue: bool) -> pd.DataFrame:
         source, stripe = key
-        linked = held.number.diff() == 1
-        broken = linked & ((held.p1 != held.h1.shift()) | (held.p2 != held.h2.shift()))
-        own = held[held.number >= stripe * self.size]       # the number before belongs to the stripe before
-        jump = own.number.diff() > 1
-        holes = [{"number": int(a) + 1, "last": int(b) - 1} for a, b in zip(own.number.shift()[jump], own.number[jump], strict=True)]
-        first, last = (int(own.number.iloc[0]), int(own.number.iloc[-1])) if len(own) else (None, None)
+        numbers = list(held)
+        broken = [b for a, b in pairwise(numbers) if b == a + 1 and held[b][2:] != held[a][:2]]
+        own = [n for n in numbers if n >= stripe * self.size]       # the number before belongs to the stripe before
+        holes = [{"number": a + 1, "last": b - 1} for a, b in pairwise(own) if b > a + 1]
+        first, last = (own[0], own[-1]) if own else (None, None)
         return pd.DataFrame({"source": [source], "stripe": [stripe], "version": [version], "first": pd.array([first], "Int64"),
-                             "last": pd.array([last], "Int64"), "holes": [holes], "conflicts": [own.number[own.h1 != own.h2].tolist()],
-                             "broken": [held.number[broken].tolist()], "overdue": [overdue]})
+                             "last": pd.array([last], "Int64"), "holes": [holes], "conflicts": [[n for n in own if held[n][0] != held[n][1]]],
+                             "broken": [broken], "overdue": [overdue]})
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         version, held = self._load()
+        changed = False
         for part in rows:
-            new = pd.DataFrame({"number": part.number, "h1": part["hash"], "h2": part["hash"], "p1": part.parent_hash, "p2": part.parent_hash})
-            held = pd.concat([held, new]).groupby("number", as_index=False).agg(_SIDES)
-        held["number"] = held.number.astype("int64")
-        self.held.update((version + 1, held.number.tolist(), *[held[side].tolist() for side in _SIDES]))
+            for block in chain.from_iterable(map(zip, part["number"], part["hash"], part["parent_hash"])):
+                number, own, parent = int(block[0]), *block[1:]
+                old = held.get(number)
+                new = (own, own, parent, parent) if old is None else (
+                    min(old[0], own), max(old[1], own), min(old[2], parent), max(old[3], parent))
+                if new != old:
+                    held[number], changed = new, True
+        if not changed and self.patience_ms is None:
+            return                              # repeats alone: the newest report still holds
+        held = dict(sorted(held.items()))
+        self._store(version + 1, held)
         if self.patience_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            if (held.number >= key[1] * self.size).sum() < self.size:
+            if sum(n >= key[1] * self.size for n in held) < self.size:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
         yield self._report(key, version + 1, held, False)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         version, held = self._load()
-        self.held.update((version + 1, held.number.tolist(), *[held[side].tolist() for side in _SIDES]))
+        self._store(version + 1, held)
         yield self._report(key, version + 1, held, True)
 
     def close(self) -> None:
@@ -90,6 +107,21 @@ def striped(blocks: DataFrame, size: int = STRIPE) -> DataFrame:
     return rows
 
 
+PACKED = "source string, stripe bigint, number array<bigint>, hash array<string>, parent_hash array<string>"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lists = ["number", "hash", "parent_hash"]
+    for batch in batches:
+        packed = pa.Table.from_batches([batch]).group_by(["source", "stripe"], use_threads=False).aggregate([(name, "list") for name in lists])
+        yield from packed.select(["source", "stripe", *[f"{name}_list" for name in lists]]).rename_columns(["source", "stripe", *lists]).to_batches()
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """Blocks of one stripe that come together as one row: Spark hands a keyed processor row after row, which costs more than the work."""
+    return rows.mapInArrow(_pack, PACKED)
+
+
 def watch(blocks: DataFrame, path: str, checkpoint: str, patience_ms: int | None = None, interval: str | None = None,
           size: int = STRIPE) -> StreamingQuery:
     """Follow a stream(source, number, hash, parent_hash); ``path`` gets a report of every stripe that changed.
@@ -102,16 +134,22 @@ def watch(blocks: DataFrame, path: str, checkpoint: str, patience_ms: int | None
     if patience_ms is not None and interval is None:
         raise ValueError("timers need a query that keeps running: give an interval")
     spark = blocks.sparkSession
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)       # value states with timers live in RocksDB; the setting is taken at the start
+    # Value states with timers live in RocksDB. Each partition is a store that commits in every batch, so there are no more
+    # of them than keep the cores busy. The settings are taken at the start.
+    stores = min(int(spark.conf.get(PARTITIONS)), STORES_PER_CORE * spark.sparkContext.defaultParallelism)
+    asked = {PROVIDER: ROCKSDB, CHANGELOG: "true", PARTITIONS: str(stores)}
+    before = {name: spark.conf.get(name, None) for name in asked}
+    for name, value in asked.items():
+        spark.conf.set(name, value)
     try:
-        reports = striped(blocks, size).groupBy("source", "stripe").transformWithStateInPandas(
+        reports = packed(striped(blocks, size)).groupBy("source", "stripe").transformWithStateInPandas(
             Stripe(patience_ms, size), REPORT, "append", "None" if patience_ms is None else "ProcessingTime")
         writer = reports.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
         writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
         return writer.start(path)
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def reports(spark: SparkSession, path: str) -> DataFrame:
