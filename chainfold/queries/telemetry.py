@@ -344,7 +344,7 @@ def stream_continuity(spark, d):
 def stream_current_state(spark, d):
     at = fresh_folder(spark)
 
-    def merge(batch, batch_id):
+    def reduced(batch):
         rows = batch.where("kind <> 'signup'")
         nothing = rows.limit(0)
         at_block = nothing.select("number", "ordinal", "address")
@@ -353,9 +353,10 @@ def stream_current_state(spark, d):
             at_block.withColumn("new_value", F.lit(0)), at_block.withColumn("new_hash", F.lit("")))
         head = batch.agg(F.max("number").alias("number")).select(
             F.col("number").alias("block_num"), "number", F.lit("").alias("hash"), F.lit("").alias("state_root"))
-        CU.merge_batch(spark, f"{at}/state", batch_id, C.current_storage(rows), accounts, head)
+        return C.current_storage(rows), accounts, head
 
-    event_stream(spark, d, delivered(spark, d)).writeStream.option("checkpointLocation", f"{at}/offsets").foreachBatch(merge).trigger(
+    event_stream(spark, d, delivered(spark, d)).writeStream.option("checkpointLocation", f"{at}/offsets").foreachBatch(
+        lambda batch, batch_id: CU.reduce_batch(spark, f"{at}/state", batch_id, batch, reduced)).trigger(
         availableNow=True).start().awaitTermination()
     return CU.read_current(spark, f"{at}/state")["storage"]
 
